@@ -4,11 +4,13 @@ Both sides are read once and reduced to counts per distinct value; everything af
 that a third of all rows share is one row by then, so no later step sees skew.
 """
 
+from functools import reduce
+
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from ..functions.columns import number
-from ..session import checkpoint_dir
+from ..staging import stage
 
 # Floor of a share, default number of quantile bins, drift threshold.
 SHARE_FLOOR = 1e-4
@@ -20,59 +22,56 @@ _CELLS_PER_DECADE = 1000
 _CELLS_PER_RANGE = 4096
 
 
-def value_rows(df: DataFrame, numeric=(), text=()) -> DataFrame:
-    """Rows ``(feature, number, label)``: one per known value of every named column. NaN counts as unknown."""
+def known_values(df: DataFrame, columns, numeric) -> DataFrame:
+    """Rows ``(feature, value)``: one per known value of every named column, as double or as text. NaN is unknown."""
     types = dict(df.dtypes)
-    no_number, no_label = F.lit(None).cast("double"), F.lit(None).cast("string")
-    cells = [F.struct(F.lit(c).alias("feature"), number(c).alias("number"), no_label.alias("label")) for c in numeric]
-    for c in text:
+
+    def text(c):
         known = F.when(~F.isnan(c), F.col(c)) if types[c] in ("double", "float") else F.col(c)
-        cells.append(
-            F.struct(F.lit(c).alias("feature"), no_number.alias("number"), known.cast("string").alias("label"))
-        )
-    return df.select(F.inline(F.array(*cells))).where(F.col("number").isNotNull() | F.col("label").isNotNull())
+        return known.cast("string")
 
+    typed = df.select(*[(number(c) if numeric else text(c)).alias(c) for c in columns])
+    return typed.unpivot([], list(columns), "feature", "value").where(F.col("value").isNotNull())
 
-def value_counts(reference: DataFrame, current: DataFrame, numeric=(), text=()) -> DataFrame:
-    """``(feature, number, label, n_ref, n_cur)`` per distinct value, from one pass over each side."""
-    sides = value_rows(reference, numeric, text).withColumn("is_ref", F.lit(1)).unionByName(
-        value_rows(current, numeric, text).withColumn("is_ref", F.lit(0))
+
+def value_counts(reference: DataFrame, current: DataFrame, columns, numeric) -> DataFrame:
+    """``(feature, value, n_ref, n_cur)`` per distinct value of the columns, from one pass over each side."""
+    sides = known_values(reference, columns, numeric).withColumn("is_ref", F.lit(1)).unionByName(
+        known_values(current, columns, numeric).withColumn("is_ref", F.lit(0))
     )
-    return sides.groupBy("feature", "number", "label").agg(
+    return sides.groupBy("feature", "value").agg(
         F.sum("is_ref").alias("n_ref"), F.sum(1 - F.col("is_ref")).alias("n_cur")
     )
 
 
-def stored_counts(reference, current, numeric=(), text=()) -> DataFrame:
-    """:func:`value_counts`, written to the checkpoint folder because several passes follow.
+def number_counts(reference: DataFrame, current: DataFrame, columns) -> DataFrame:
+    """The counts of numeric columns, as a fixed copy because several passes follow. This runs one job."""
+    return stage(value_counts(reference, current, columns, numeric=True))
 
-    This runs one job. The files survive the loss of an executor, and the source tables are not read again.
-    """
-    checkpoint_dir(reference.sparkSession)
-    return value_counts(reference, current, numeric, text).checkpoint()
+
+def label_counts(reference: DataFrame, current: DataFrame, columns) -> DataFrame:
+    """The counts of text columns."""
+    return value_counts(reference, current, columns, numeric=False)
 
 
 def frequency(df: DataFrame, columns) -> DataFrame:
     """``(feature, value, n, share)``: how often each known value of every column occurs."""
-    counts = value_rows(df, text=columns).groupBy("feature", F.col("label").alias("value")).agg(F.count("*").alias("n"))
+    counts = known_values(df, columns, numeric=False).groupBy("feature", "value").agg(F.count("*").alias("n"))
     totals = counts.groupBy("feature").agg(F.sum("n").alias("total"))
     return counts.join(F.broadcast(totals), "feature").select(
         "feature", "value", "n", (F.col("n") / F.col("total")).alias("share")
     )
 
 
-def _magnitude_cell(v):
-    """A cell number that never decreases with ``v``: the sign, then 1000 cells per power of ten."""
-    size = F.least(F.abs(v), F.lit(1.7e308))
-    steps = F.floor((F.log10(size) + 325) * _CELLS_PER_DECADE)
-    return F.when(v == 0, F.lit(0).cast("long")).when(v > 0, steps).otherwise(-steps)
-
-
-def _range_cell(v, low, high):
-    """Equal cells between ``low`` and ``high``; everything in one cell when the range is empty or not finite."""
-    width = high - low
-    usable = (width > 0) & (width < F.lit(float("inf")))
-    return F.when(usable, F.floor((v - low) / width * _CELLS_PER_RANGE)).otherwise(F.lit(0).cast("long"))
+# Two cell numbers that never decrease with the value: the sign and then 1000 cells per power of ten; and equal parts of
+# a cell's own range, or a single part where that range is empty or not finite.
+_MAGNITUDE_CELL = f"""
+    CASE WHEN value = 0 THEN 0L ELSE
+        cast(signum(value) AS bigint) * floor((log10(least(abs(value), 1.7e308D)) + 325) * {_CELLS_PER_DECADE})
+    END"""
+_RANGE_PART = f"""
+    CASE WHEN high > low AND high - low < double('infinity')
+         THEN floor((value - low) / (high - low) * {_CELLS_PER_RANGE}) ELSE 0L END"""
 
 
 def exact_quantiles(counts: DataFrame, probabilities) -> DataFrame:
@@ -83,63 +82,45 @@ def exact_quantiles(counts: DataFrame, probabilities) -> DataFrame:
     cells that hold a wanted rank are divided once more, and only values in the parts that remain are put in order. The
     size of both histograms is bounded whatever the data.
     """
-    position = [(F.col("total") - 1) * F.lit(float(q)) for q in probabilities]
-    lower = [F.floor(p) for p in position]
-    upper = [F.least(low + 1, F.col("total") - 1) for low in lower]
-
-    def covers(rank):
-        return rank.between(F.col("below"), F.col("below") + F.col("n") - 1)
-
-    def wanted(cells):
-        any_rank = covers(lower[0])
-        for rank in lower[1:] + upper:
-            any_rank = any_rank | covers(rank)
-        return cells.where(any_rank)
+    wanted = "array({})".format(", ".join(f"{float(q)!r}D" for q in probabilities))
+    lower, upper = "floor((total - 1) * q)", "least(floor((total - 1) * q) + 1, total - 1)"
+    ranks = f"array_distinct(flatten(transform({wanted}, q -> array({lower}, {upper}))))"
+    ranks_here = f"filter({ranks}, r -> r BETWEEN below AND below + n - 1)"
 
     def preceding(order, *by):
         window = Window.partitionBy(*by).orderBy(order).rowsBetween(Window.unboundedPreceding, -1)
         return F.coalesce(F.sum("n").over(window), F.lit(0))
 
     size = [F.sum("n").alias("n"), F.min("value").alias("low"), F.max("value").alias("high")]
-    rows = counts.withColumn("cell", _magnitude_cell(F.col("value")))
+    found = ["feature", "cell", "total", "below", "low", "high"]
+    rows = counts.withColumn("cell", F.expr(_MAGNITUDE_CELL))
 
-    coarse = rows.groupBy("feature", "cell").agg(*size)
-    coarse = coarse.withColumns(
+    coarse = rows.groupBy("feature", "cell").agg(*size).withColumns(
         {"total": F.sum("n").over(Window.partitionBy("feature")), "below": preceding("cell", "feature")}
     )
     # Every probability keeps at most two cells per feature: this bounds both broadcasts.
-    coarse = wanted(coarse).select("feature", "cell", "total", "below", "low", "high")
+    coarse = coarse.where(f"size({ranks_here}) > 0").select(*found)
 
-    part = _range_cell(F.col("value"), F.col("low"), F.col("high")).alias("part")
-    fine = rows.join(F.broadcast(coarse), ["feature", "cell"]).groupBy("feature", "cell", "total", "below", part).agg(*size)
+    fine = rows.join(F.broadcast(coarse), ["feature", "cell"])
+    fine = fine.groupBy("feature", "cell", "total", "below", F.expr(_RANGE_PART).alias("part")).agg(*size)
     fine = fine.withColumn("below", F.col("below") + preceding("part", "feature", "cell"))
-    fine = wanted(fine).select("feature", "cell", "total", "below", "low", "high")
+    fine = fine.where(f"size({ranks_here}) > 0").select(*found)
 
-    ordered = rows.join(F.broadcast(fine), ["feature", "cell"]).where(F.col("value").between(F.col("low"), F.col("high")))
+    ordered = rows.join(F.broadcast(fine), ["feature", "cell"]).where("value BETWEEN low AND high")
     ordered = ordered.withColumn("below", F.col("below") + preceding("value", "feature", F.col("below")))
-
-    def value_at(rank):
-        return F.max(F.when(covers(rank), F.col("value")))
-
-    found = ordered.groupBy("feature", "total").agg(
-        *[value_at(r).alias(f"lo{i}") for i, r in enumerate(lower)],
-        *[value_at(r).alias(f"hi{i}") for i, r in enumerate(upper)],
+    at_rank = ordered.select("feature", "total", "value", F.explode(F.expr(ranks_here)).alias("r"))
+    at_rank = at_rank.groupBy("feature", "total").agg(
+        F.map_from_entries(F.collect_list(F.struct("r", "value"))).alias("at")
     )
-
-    def interpolated(i):
-        # Measured from the nearer end, as numpy does, so that both give the same double.
-        lo, hi, weight = F.col(f"lo{i}"), F.col(f"hi{i}"), position[i] - lower[i]
-        step = hi - lo
-        return F.when(lo == hi, lo).when(weight < 0.5, lo + step * weight).otherwise(hi - step * (1 - weight))
-
-    return found.select("feature", F.array(*[interpolated(i) for i in range(len(probabilities))]).alias("quantiles"))
+    # Measured from the nearer end, as numpy does, so that both give the same double.
+    ends = f"transform({wanted}, q -> struct(at[{lower}] AS a, at[{upper}] AS b, (total - 1) * q - {lower} AS w))"
+    between = "CASE WHEN e.a = e.b THEN e.a WHEN e.w < 0.5 THEN e.a + (e.b - e.a) * e.w ELSE e.b - (e.b - e.a) * (1 - e.w) END"
+    return at_rank.select("feature", F.expr(f"transform({ends}, e -> {between})").alias("quantiles"))
 
 
 def quantile_edges(counts: DataFrame, bins=BINS) -> DataFrame:
     """``(feature, edges)``: the distinct reference quantiles 0, 1/bins, ..., 1 of every numeric feature, ascending."""
-    reference = counts.where(F.col("number").isNotNull() & (F.col("n_ref") > 0)).select(
-        "feature", F.col("number").alias("value"), F.col("n_ref").alias("n")
-    )
+    reference = counts.where(F.col("n_ref") > 0).select("feature", "value", F.col("n_ref").alias("n"))
     quantiles = exact_quantiles(reference, [i * (1.0 / bins) for i in range(bins)] + [1.0])
     return quantiles.select("feature", F.array_sort(F.array_distinct("quantiles")).alias("edges"))
 
@@ -149,53 +130,53 @@ def bin_counts(counts: DataFrame, bins=BINS) -> DataFrame:
 
     A reference with a single edge is constant: bin 0 then holds the values equal to it and bin 1 all others.
     """
-    value, n_edges = F.col("number"), F.size("edges")
-    place = F.lit(0)
-    for i in range(1, bins):
-        place = place + F.when((n_edges - 1 > i) & (value >= F.get("edges", F.lit(i))), F.lit(1)).otherwise(F.lit(0))
-    place = F.when(n_edges == 1, (value != F.get("edges", F.lit(0))).cast("int")).otherwise(place)
+    reached = " + ".join(
+        ["0"] + [f"IF({i} < size(edges) - 1 AND value >= get(edges, {i}), 1, 0)" for i in range(1, bins)]
+    )
+    place = F.expr(f"IF(size(edges) = 1, IF(value = get(edges, 0), 0, 1), {reached})")
     # The edges are one row per column, a bound that does not depend on the data.
     return (
-        counts.where(value.isNotNull())
-        .join(F.broadcast(quantile_edges(counts, bins)), "feature")
+        counts.join(F.broadcast(quantile_edges(counts, bins)), "feature")
         .groupBy("feature", place.alias("bin"))
         .agg(F.sum("n_ref").alias("n_ref"), F.sum("n_cur").alias("n_cur"))
     )
 
 
-def psi_of_counts(counts: DataFrame, columns) -> DataFrame:
+def psi_of_cells(cells: DataFrame, totals: DataFrame, columns) -> DataFrame:
     """``(feature, psi)`` for every name in ``columns``, from rows ``(feature, n_ref, n_cur)`` per bin or category.
 
-    NaN when a side has no values. Shares below the floor are raised to it and not rescaled. The totals are one row per
-    column, so they are joined back without a shuffle and without a window over all categories of a feature.
+    NaN when a side has no values. Shares below the floor are raised to it and not rescaled. ``totals`` is one row per
+    column, so it is joined without a shuffle and without a window over all categories.
     """
-    totals = counts.groupBy("feature").agg(F.sum("n_ref").alias("t_ref"), F.sum("n_cur").alias("t_cur"))
     ref = F.greatest(F.try_divide("n_ref", "t_ref"), F.lit(SHARE_FLOOR))
     cur = F.greatest(F.try_divide("n_cur", "t_cur"), F.lit(SHARE_FLOOR))
     summed = (
-        counts.join(F.broadcast(totals), "feature")
-        .where((F.col("t_ref") > 0) & (F.col("t_cur") > 0))
+        cells.join(F.broadcast(totals), "feature")
+        .where("t_ref > 0 AND t_cur > 0")
         .groupBy("feature")
         .agg(F.sum((cur - ref) * F.log(cur / ref)).alias("psi"))
     )
-    names = counts.sparkSession.range(1).select(F.explode(F.array(*[F.lit(c) for c in columns])).alias("feature"))
+    names = cells.sparkSession.range(1).select(F.explode(F.array(*[F.lit(c) for c in columns])).alias("feature"))
     return names.join(F.broadcast(summed), "feature", "left").select(
         "feature", F.coalesce("psi", F.lit(float("nan"))).alias("psi")
     )
 
 
-def _categories(counts):
-    return counts.where(F.col("label").isNotNull()).select("feature", "n_ref", "n_cur")
+def side_totals(counts: DataFrame) -> DataFrame:
+    """``(feature, t_ref, t_cur)``: known values per column and side."""
+    return counts.groupBy("feature").agg(F.sum("n_ref").alias("t_ref"), F.sum("n_cur").alias("t_cur"))
 
 
 def numeric_psi(reference: DataFrame, current: DataFrame, columns, bins=BINS) -> DataFrame:
     """``(feature, psi)`` of the numeric columns."""
-    return psi_of_counts(bin_counts(stored_counts(reference, current, numeric=columns), bins), columns)
+    counts = number_counts(reference, current, columns)
+    return psi_of_cells(bin_counts(counts, bins), side_totals(counts), columns)
 
 
 def categorical_psi(reference: DataFrame, current: DataFrame, columns) -> DataFrame:
     """``(feature, psi)`` of the text columns; a category only one side has counts as drift."""
-    return psi_of_counts(_categories(value_counts(reference, current, text=columns)), columns)
+    counts = label_counts(reference, current, columns)
+    return psi_of_cells(counts, side_totals(counts), columns)
 
 
 def compute_drift(
@@ -212,13 +193,17 @@ def compute_drift(
     The prediction column has a row of its own and is never listed as a drifted feature.
     """
     numeric = [*numeric_cols, *([prediction_col] if prediction_col else [])]
-    counts = stored_counts(reference, current, numeric, categorical_cols)
-    cells = _categories(counts)
+    parts = []
     if numeric:
-        cells = cells.unionByName(bin_counts(counts).drop("bin"))
+        counts = number_counts(reference, current, numeric)
+        parts.append((bin_counts(counts).drop("bin"), side_totals(counts)))
+    if categorical_cols:
+        counts = label_counts(reference, current, categorical_cols)
+        parts.append((counts.drop("value"), side_totals(counts)))
+    cells, totals = (reduce(DataFrame.unionByName, frames) for frames in zip(*parts))
     of_prediction = F.col("feature") == prediction_col if prediction_col else F.lit(False)
     return (
-        psi_of_counts(cells, [*numeric, *categorical_cols])
+        psi_of_cells(cells, totals, [*numeric, *categorical_cols])
         .withColumn("is_prediction", of_prediction)
         .withColumn("drifted", ~F.col("is_prediction") & ~F.isnan("psi") & (F.col("psi") > threshold))
     )

@@ -23,7 +23,8 @@ from ..schema import (
     PREDICTION,
     RUN_DATE,
 )
-from ..sources.tables import create_table, merge_table, replace_partitions, stage
+from ..sources.tables import create_table, merge_table, replace_partitions
+from ..staging import stage
 
 # Fixed value: length of the monitoring window.
 WINDOW_DAYS = 7

@@ -12,7 +12,7 @@ from ..operators.price_model import TrainingParams, predict, train_model
 from ..operators.quality import filter_valid
 from ..operators.regression import prediction_sanity, regression_metrics
 from ..schema import LABEL, LISTING_DATE, LISTING_ID, MODEL_VERSION, PREDICTION
-from ..sources.tables import stage
+from ..staging import stage
 
 # History used for training and length of the holdout.
 LOOKBACK_DAYS = 365

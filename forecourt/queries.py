@@ -235,13 +235,13 @@ def numeric_psi(spark, sf_dir):
 
 @query(sql.QUANTILE_EDGES)
 def quantile_edges(spark, sf_dir):
-    counts = psi.stored_counts(*_periods(view(spark, sf_dir, "listings")), numeric=[*DRIFT_NUMERIC, LABEL])
+    counts = psi.number_counts(*_periods(view(spark, sf_dir, "listings")), [*DRIFT_NUMERIC, LABEL])
     return psi.quantile_edges(counts).select("feature", F.posexplode("edges").alias("position", "edge"))
 
 
 @query(sql.HISTOGRAM_SHARES)
 def histogram_shares(spark, sf_dir):
-    counts = psi.stored_counts(*_periods(view(spark, sf_dir, "listings")), numeric=[*DRIFT_NUMERIC, LABEL])
+    counts = psi.number_counts(*_periods(view(spark, sf_dir, "listings")), [*DRIFT_NUMERIC, LABEL])
     return psi.bin_counts(counts)
 
 
