@@ -1,0 +1,140 @@
+import datetime as dt
+
+import pytest
+
+from forecourt.operators.decisions import (
+    RetrainPolicy,
+    alert_count,
+    days_since_training,
+    decide_promotion,
+    decide_retraining,
+)
+
+POLICY = RetrainPolicy(max_mape=0.12, min_labeled_rows=100, min_rows_for_drift=100, cooldown_days=3)
+
+
+def metrics(spark, **by_version):
+    rows = [(v, float(x), float(x)) for v, x in by_version.items()]
+    return spark.createDataFrame(rows, "model_version string, mape double, r2 double")
+
+
+def promoted(spark, new, old=None, **kw):
+    table = metrics(spark, v2=new, **({} if old is None else {"v1": old}))
+    return decide_promotion(table, "v2", None if old is None else "v1", **kw).first()
+
+
+def test_first_model_is_promoted(spark):
+    row = promoted(spark, 0.1)
+    assert row.promote and row.reason == "no existing champion" and row.champion is None
+
+
+def test_a_version_is_not_compared_with_itself(spark):
+    row = decide_promotion(metrics(spark, v2=0.5), "v2", "v2").first()
+    assert row.promote and row.reason == "no existing champion"
+
+
+def test_lower_is_better(spark):
+    row = promoted(spark, 0.09, 0.10)
+    assert row.promote and row.reason == "challenger mape=0.0900 beats required 0.1000 (champion 0.1000)"
+    assert promoted(spark, 0.10, 0.10).promote
+    row = promoted(spark, 0.11, 0.10)
+    assert not row.promote and "does not beat" in row.reason
+    assert not promoted(spark, float("nan"), 0.10).promote
+
+
+def test_margins(spark):
+    assert not promoted(spark, 0.0995, 0.100, min_relative_improvement=0.01).promote
+    assert promoted(spark, 0.098, 0.100, min_relative_improvement=0.01).promote
+    assert promoted(spark, 0.101, 0.100, min_relative_improvement=-0.02).promote
+
+
+def test_higher_is_better(spark):
+    assert promoted(spark, 0.95, 0.90, metric="r2").promote
+    assert not promoted(spark, 0.85, 0.90, metric="r2").promote
+    assert not promoted(spark, float("nan"), 0.90, metric="r2").promote
+    assert promoted(spark, -0.9, -1.0, metric="r2", min_relative_improvement=0.1).promote
+
+
+def test_unknown_metric(spark):
+    with pytest.raises(ValueError):
+        promoted(spark, 1.0, 1.0, metric="foo")
+
+
+def decide(spark, mape=0.06, labeled=500, scored=500, drifted=(), max_psi=0.02, prediction_psi=0.03, days=10.0, base=True, **kw):
+    row = (labeled, scored, mape, max_psi, prediction_psi, list(drifted), len(drifted) if base else None, days)
+    df = spark.createDataFrame(
+        [row],
+        "labeled_rows long, scored_rows long, mape double, max_feature_psi double, prediction_psi double, "
+        "drifted_features array<string>, n_drifted long, days_since_training double",
+    )
+    return decide_retraining(df, POLICY, **kw).first()
+
+
+def test_healthy_model(spark):
+    d = decide(spark)
+    assert not d.retrain_recommended and not d.alert_triggered and d.triggers == []
+    assert d.reason == "performance: mape 0.0600 ok; data drift: max PSI 0.020 ok"
+
+
+def test_each_trigger(spark):
+    assert decide(spark, mape=0.2).triggers == ["performance"]
+    d = decide(spark, mape=None, labeled=0, drifted=["mileage"], max_psi=0.6)
+    assert d.retrain_recommended and d.triggers == ["data_drift"]
+    assert "performance: 0 labeled rows < 100" in d.reason and "for [mileage]" in d.reason
+    assert decide(spark, prediction_psi=0.4).triggers == ["prediction_drift"]
+    assert decide(spark, mape=0.2, drifted=["a"], prediction_psi=0.4).triggers == [
+        "performance",
+        "data_drift",
+        "prediction_drift",
+    ]
+
+
+def test_limits_are_strict(spark):
+    assert decide(spark, mape=0.12, prediction_psi=0.25).triggers == []
+    assert decide(spark, mape=0.2, labeled=100).triggers == ["performance"]
+    assert decide(spark, mape=0.2, days=3.0).retrain_recommended
+
+
+def test_unknown_prediction_psi_is_no_trigger(spark):
+    assert decide(spark, prediction_psi=float("nan")).triggers == []
+    assert decide(spark, prediction_psi=None).triggers == []
+
+
+def test_cooldown_blocks_retraining_but_not_the_alert(spark):
+    d = decide(spark, mape=0.2, days=1.0)
+    assert not d.retrain_recommended and d.alert_triggered and "cooldown: last training 1.0d ago" in d.reason
+    assert "cooldown" not in decide(spark, days=1.0).reason
+
+
+def test_too_few_rows_ignore_all_signals(spark):
+    d = decide(spark, mape=0.9, labeled=10, drifted=["mileage"], prediction_psi=0.9, scored=10)
+    assert not d.retrain_recommended and not d.alert_triggered
+
+
+def test_without_baseline_only_performance_counts(spark):
+    d = decide(spark, prediction_psi=None, max_psi=None, base=False)
+    assert d.triggers == [] and "drift: 500 scored rows" in d.reason
+    assert decide(spark, mape=0.2, prediction_psi=None, max_psi=None, base=False).triggers == ["performance"]
+
+
+def test_never_trained_and_auto_flag(spark):
+    d = decide(spark, mape=0.2, days=None)
+    assert d.retrain_recommended and not d.retrain_triggered
+    assert decide(spark, mape=0.2, auto_retrain=True).retrain_triggered
+    assert not decide(spark, mape=0.2, days=1.0, auto_retrain=True).retrain_triggered
+
+
+def test_days_since_training(spark):
+    at = dt.datetime(2026, 5, 10, 12)
+    versions = spark.createDataFrame([("1", at - dt.timedelta(days=9)), ("2", at)], "v string, trained_at timestamp")
+    assert days_since_training(versions, "2026-05-12").first()[0] == 1.5
+    assert days_since_training(versions.where("false"), "2026-05-12").first()[0] is None
+
+
+def test_alert_count(spark):
+    d = dt.date(2026, 5, 10)
+    rows = [(d - dt.timedelta(days=i), i != 1) for i in range(4)]
+    history = spark.createDataFrame(rows, "run_date date, alert_triggered boolean")
+    assert alert_count(history, d).first().alerts == 1
+    assert alert_count(history, d - dt.timedelta(days=1)).first().alerts == 2
+    assert alert_count(history.where("false"), d).first().alerts == 0

@@ -1,0 +1,192 @@
+import datetime as dt
+
+import pytest
+from conftest import listing
+from pyspark.sql import functions as F
+
+from forecourt.operators.upsert import backfill_labels, upsert
+from forecourt.schema import LISTING_DATE, LISTING_ID, MARKET_INDEX, MARKET_KEYS, RAW_LISTINGS, layout
+from forecourt.sources.listings_csv import read_listings_csv
+from forecourt.sources.tables import (
+    baseline_version,
+    clustered,
+    create_like,
+    create_table,
+    latest_snapshot,
+    merge_table,
+    read_snapshot,
+    refresh_baseline,
+    write_quarantine,
+    write_snapshot,
+)
+
+D = dt.date(2026, 5, 10)
+
+
+def days(n):
+    return dt.timedelta(days=n)
+
+
+def rows(df):
+    return sorted(tuple(r) for r in df.collect())
+
+
+@pytest.fixture
+def target(spark):
+    return spark.createDataFrame([("a", 1, 10.0), ("b", 1, None)], "k string, v int, y double")
+
+
+def test_replace_and_insert(spark, target):
+    source = spark.createDataFrame([("b", 2, 20.0), ("c", 2, None)], "k string, v int, y double")
+    once = upsert(target, source, ["k"])
+    assert rows(once.select("k", "v")) == [("a", 1), ("b", 2), ("c", 2)]
+    assert sorted(map(str, upsert(once, source, ["k"]).collect())) == sorted(map(str, once.collect()))
+
+
+def test_partial_update_keeps_the_other_columns(spark, target):
+    source = spark.createDataFrame([("a", None, 99.0), ("c", 3, 30.0)], "k string, v int, y double")
+    once = upsert(target, source, ["k"], update_cols=["v"])
+    got = {r.k: (r.v, r.y) for r in once.collect()}
+    assert got == {"a": (None, 10.0), "b": (1, None), "c": (3, 30.0)}
+    twice = upsert(once, source, ["k"], update_cols=["v"])
+    assert {r.k: (r.v, r.y) for r in twice.collect()} == got
+
+
+def test_null_keys_match_nothing(spark, target):
+    stored = target.unionByName(spark.createDataFrame([(None, 5, 1.0)], target.schema))
+    source = spark.createDataFrame([(None, 6, 2.0), (None, 7, 3.0)], target.schema)
+    assert upsert(stored, source, ["k"]).where("k IS NULL").count() == 3
+    assert upsert(stored, source, ["k"], update_cols=["v"]).where("k IS NULL").count() == 3
+
+
+def test_repeated_source_key_fails(spark, target):
+    source = spark.createDataFrame([("a", 1, 1.0), ("a", 2, 2.0)], target.schema)
+    for update_cols in (None, ["v"]):
+        with pytest.raises(Exception, match="repeats a key"):
+            upsert(target, source, ["k"], update_cols).collect()
+
+
+def test_composite_key(spark):
+    stored = spark.createDataFrame([("a", "1", 1), ("a", "2", 1)], "k string, m string, v int")
+    source = spark.createDataFrame([("a", "2", 5)], stored.schema)
+    assert rows(upsert(stored, source, ["k", "m"])) == [("a", "1", 1), ("a", "2", 5)]
+
+
+def test_backfill_fills_open_labels_of_every_version_once(spark):
+    predictions = spark.createDataFrame(
+        [("a", "1", None), ("a", "2", None), ("b", "1", 7.0), ("c", "1", None), (None, "1", None)],
+        "listing_id string, model_version string, price double",
+    )
+    listings = spark.createDataFrame([("a", 5.0), ("b", 6.0), ("c", None), ("d", 1.0)], "listing_id string, price double")
+    once = backfill_labels(predictions, listings)
+    got = {(r.listing_id, r.model_version): r.price for r in once.collect()}
+    assert got == {("a", "1"): 5.0, ("a", "2"): 5.0, ("b", "1"): 7.0, ("c", "1"): None, (None, "1"): None}
+    again = backfill_labels(once, listings)
+    assert {(r.listing_id, r.model_version): r.price for r in again.collect()} == got
+    doubled = listings.unionByName(spark.createDataFrame([("a", 8.0)], listings.schema))
+    with pytest.raises(Exception, match="two labels"):
+        backfill_labels(predictions, doubled).collect()
+
+
+def test_small_increment_leaves_the_stored_table_in_place(spark, tmp_path):
+    path = str(tmp_path / "t")
+    spark.range(1000).select(F.col("id").cast("string").alias("k"), F.lit(1).alias("v")).write.parquet(path)
+    stored = spark.read.parquet(path)
+    source = spark.createDataFrame([("5", 2)], stored.schema).coalesce(1)
+    source.write.parquet(str(tmp_path / "s"))
+    source = spark.read.parquet(str(tmp_path / "s"))
+    for update_cols in (None, ["v"]):
+        plan = upsert(stored, source, ["k"], update_cols, checked=False)._jdf.queryExecution().executedPlan().toString()
+        assert "SortMergeJoin" not in plan and "BroadcastHashJoin" in plan
+
+
+def test_merge_rewrites_only_touched_partitions(spark, make_listings):
+    name = "merge_listings"
+    assert not create_table(spark, name, RAW_LISTINGS, partition_by=LISTING_DATE)
+    assert create_table(spark, name, RAW_LISTINGS, partition_by=LISTING_DATE)
+    merge_table(spark, name, make_listings([listing(i, D + days(i % 3)) for i in range(9)]), [LISTING_ID])
+    assert spark.table(name).count() == 9
+    before = {r[0] for r in spark.table(name).where(F.col(LISTING_DATE) == D + days(2)).select(F.input_file_name()).collect()}
+    # id-0 changes its price, id-1 moves to another day, id-9 is new.
+    update = [listing(0, D, price=1.0), listing(1, D, price=2.0), listing(9, D + days(5))]
+    for _ in range(2):
+        merge_table(spark, name, make_listings(update), [LISTING_ID])
+        got = {r.listing_id: (r.listing_date, r.price) for r in spark.table(name).collect()}
+        assert len(got) == 10 == spark.table(name).count()
+        assert got["id-0"] == (D, 1.0) and got["id-1"] == (D, 2.0) and got["id-9"][0] == D + days(5)
+    after = {r[0] for r in spark.table(name).where(F.col(LISTING_DATE) == D + days(2)).select(F.input_file_name()).collect()}
+    assert before == after
+    # The last listing of a day moves away: its partition disappears.
+    merge_table(spark, name, make_listings([listing(9, D)]), [LISTING_ID])
+    assert spark.table(name).where(F.col(LISTING_DATE) == D + days(5)).count() == 0
+    assert spark.table(name).count() == 10
+
+
+def test_merge_on_the_partition_key_and_unpartitioned(spark):
+    create_table(spark, "merge_index", MARKET_INDEX, partition_by="index_date")
+    row = ("a", "b", "c", D, 1, 1.0, 1.0, 1.0)
+    for count in (1, 2):
+        fresh = spark.createDataFrame([(*row[:4], count, *row[5:])], MARKET_INDEX)
+        merge_table(spark, "merge_index", fresh, [*MARKET_KEYS, "index_date"])
+    assert [r.market_listing_count_30d for r in spark.table("merge_index").collect()] == [2]
+
+    create_table(spark, "merge_history", layout(["run_date", "feature", "psi"]))
+    for psi in (0.1, 0.2):
+        fresh = spark.createDataFrame([(D, "x", psi)], layout(["run_date", "feature", "psi"]))
+        merge_table(spark, "merge_history", fresh, ["run_date", "feature"])
+    assert [r.psi for r in spark.table("merge_history").collect()] == [0.2]
+
+
+def test_quarantine_rerun_and_new_columns(spark):
+    first = spark.createDataFrame([("a", 1.5)], "listing_id string, price double")
+    for _ in range(2):
+        write_quarantine(spark, "held_back", first, D)
+    wider = spark.createDataFrame([("b", 2.5, "x")], "listing_id string, price double, note string")
+    write_quarantine(spark, "held_back", wider, D + days(1))
+    got = {r.listing_id: (r.price, r.note, r.ingest_date) for r in spark.table("held_back").collect()}
+    assert got == {"a": ("1.5", None, "2026-05-10"), "b": ("2.5", "x", "2026-05-11")}
+
+
+def test_create_like_is_empty(spark, target):
+    create_like(target, "like_target")
+    create_like(target, "like_target")
+    assert spark.table("like_target").count() == 0 and spark.table("like_target").columns == target.columns
+
+
+def test_snapshots_are_pinned(spark, target, tmp_path):
+    root = str(tmp_path / "snapshots")
+    write_snapshot(target, root, 1)
+    pinned = latest_snapshot(spark, root)
+    write_snapshot(target.limit(1), root, 2)
+    assert read_snapshot(spark, root, pinned).count() == 2
+    assert read_snapshot(spark, root).count() == 1
+    with pytest.raises(Exception, match="PATH_ALREADY_EXISTS"):
+        write_snapshot(target, root, 2)
+
+
+def test_baseline_follows_the_champion(spark):
+    def scored(version):
+        return lambda: spark.createDataFrame([("a", version)], "listing_id string, model_version string")
+
+    assert not refresh_baseline(spark, "base", None, scored("1"))
+    assert baseline_version(spark, "base") is None
+    assert refresh_baseline(spark, "base", "1", scored("1"))
+    assert not refresh_baseline(spark, "base", "1", scored("never used"))
+    assert refresh_baseline(spark, "base", "2", scored("2"))
+    assert baseline_version(spark, "base") == "2"
+
+
+def test_csv_feed(spark, make_listings, tmp_path):
+    path = tmp_path / "feed"
+    df = make_listings([listing(i) for i in range(3)])
+    df.write.option("header", True).csv(str(path))
+    assert rows(read_listings_csv(spark, str(path))) == rows(df)
+    broken = tmp_path / "broken.csv"
+    broken.write_text(",".join(RAW_LISTINGS.names) + "\n" + "x,2026-05-10,a,b,c,d,e,f,Good,w,old,1,2.0,1,true,5\n")
+    (row,) = read_listings_csv(spark, str(broken)).collect()
+    assert row.year is None and row.price == 5.0
+
+
+def test_layout_spreads_a_crowded_day(spark, make_listings):
+    df = clustered(make_listings([listing(i) for i in range(400)]), LISTING_DATE, LISTING_ID, partitions=4)
+    assert df.select(F.spark_partition_id()).distinct().count() > 1
