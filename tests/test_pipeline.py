@@ -24,7 +24,7 @@ from forecourt.plans.training import promote, train, validate_model
 from forecourt.sources.tables import refresh_baseline
 
 END = dt.date(2026, 6, 30)
-FAST = TrainingParams(max_iter=15, learning_rate=0.3, max_depth=5, min_rows_per_leaf=5, early_stopping=False)
+FAST = TrainingParams(max_iter=10, learning_rate=0.4, max_depth=4, min_rows_per_leaf=5, early_stopping=False)
 BASE = {"Toyota": 30000, "Honda": 26000, "BMW": 52000}
 
 
@@ -98,7 +98,7 @@ def test_daily_pipeline(spark, make_listings):
     spark.sql("CREATE DATABASE IF NOT EXISTS daily")
     tables = Tables("daily")
     feed = make_listings(
-        market(60, 10) + [listing("bad", END, price=1.0), listing("old", END - dt.timedelta(days=400), price=5000.0)]
+        market(24, 20) + [listing("bad", END, price=1.0), listing("old", END - dt.timedelta(days=400), price=5000.0)]
     )
 
     with pytest.raises(ValueError):
@@ -108,34 +108,34 @@ def test_daily_pipeline(spark, make_listings):
         first_feed = feed_window(feed, END, table_existed=False)
         report = ingest(spark, first_feed, tables, END)
         assert report.invalid_rows == 1
-        assert spark.table(tables.listings).count() == 600
+        assert spark.table(tables.listings).count() == 480
         assert [r.listing_id for r in spark.table(tables.quarantine).collect()] == ["id-bad"]
-    assert feed_window(feed, END, table_existed=True).count() == 11
+    assert feed_window(feed, END, table_existed=True).count() == 21
 
-    first_day = END - dt.timedelta(days=59)
+    first_day = END - dt.timedelta(days=23)
     assert index_range(spark, tables, END) == (first_day + dt.timedelta(days=1), END)
     build_market_index(spark, tables, END, publish=True)
     n = spark.table(tables.index).count()
-    assert n == 59 * spark.table(tables.latest_index).count()
+    assert n == 23 * spark.table(tables.latest_index).count()
     assert build_market_index(spark, tables, END) == (END - dt.timedelta(days=2), END)
     assert spark.table(tables.index).count() == n
 
     model, holdout, cutoff = train(
-        spark.table(tables.listings), spark.table(tables.index), FAST, holdout_days=14, as_of=END
+        spark.table(tables.listings), spark.table(tables.index), FAST, holdout_days=7, as_of=END
     )
-    assert cutoff == END - dt.timedelta(days=13) and holdout.count() == 140
+    assert cutoff == END - dt.timedelta(days=6) and holdout.count() == 140
     with pytest.raises(RuntimeError):
         score(spark, tables, None, None, END)
     for hour in (1, 2):
-        score(spark, tables, model, "1", END, lookback_days=7, scored_at=f"2026-07-01 0{hour}:00:00")
+        score(spark, tables, model, "1", END, lookback_days=4, scored_at=f"2026-07-01 0{hour}:00:00")
         predictions = spark.table(tables.predictions)
-        assert predictions.count() == 70 and predictions.where("price IS NOT NULL").count() == 0
+        assert predictions.count() == 80 and predictions.where("price IS NOT NULL").count() == 0
         assert {r[0].hour for r in predictions.select("scored_at").distinct().collect()} == {hour}
 
     versions = spark.createDataFrame([("1", dt.datetime(2026, 6, 1))], "model_version string, trained_at timestamp")
     policy = RetrainPolicy(min_labeled_rows=50, min_rows_for_drift=50)
     row = monitor(spark, tables, "1", END, versions, "2026-07-01", policy=policy)
-    assert (row.labeled_rows, row.scored_rows, row.max_feature_psi) == (70, 70, None)
+    assert (row.labeled_rows, row.scored_rows, row.max_feature_psi) == (80, 80, None)
     assert spark.table(tables.predictions).where("price IS NULL").count() == 0
 
     # The baseline is another fleet: cars 30 years older, so the model year has drifted.
