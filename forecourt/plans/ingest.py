@@ -8,7 +8,7 @@ from pyspark.sql import functions as F
 from ..operators.calendar import as_date
 from ..operators.quality import enforce_gate, filter_valid, quarantine, validate_listings
 from ..schema import LISTING_DATE, LISTING_ID, RAW_COLUMNS, RAW_LISTINGS
-from ..sources.tables import clustered, create_table, merge_table, write_quarantine
+from ..sources.tables import create_table, merge_table, write_quarantine
 
 # Days of history a run loads, for a new and for an existing table; largest share of invalid rows.
 FIRST_BACKFILL_DAYS = 365
@@ -30,7 +30,7 @@ def ingest(
     create_table(spark, tables.listings, RAW_LISTINGS, partition_by=LISTING_DATE)
     report = enforce_gate(validate_listings(feed, as_of=run_date), max_invalid_fraction)
     valid = filter_valid(feed, as_of=run_date).select(*RAW_COLUMNS)
-    merge_table(spark, tables.listings, clustered(valid, LISTING_DATE, LISTING_ID), [LISTING_ID])
+    merge_table(spark, tables.listings, valid, [LISTING_ID])
     if report["invalid_rows"]:
         write_quarantine(spark, tables.quarantine, quarantine(feed, by_id=by_id, as_of=run_date), run_date)
     return report

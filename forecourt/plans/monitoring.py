@@ -23,7 +23,7 @@ from ..schema import (
     PREDICTION,
     RUN_DATE,
 )
-from ..sources.tables import create_table, merge_table, replace_partitions
+from ..sources.tables import clustered, create_table, merge_table, replace_partitions
 from ..staging import stage
 
 # Fixed value: length of the monitoring window.
@@ -92,7 +92,8 @@ def backfill(spark: SparkSession, tables):
     dates = [r[0] for r in open_rows.join(labels, LISTING_ID, "left_semi").select(LISTING_DATE).distinct().collect()]
     if dates:
         content = stage(backfill_labels(predictions.where(F.col(LISTING_DATE).isin(dates)), labels))
-        replace_partitions(spark, tables.predictions, content, LISTING_DATE, [])
+        laid_out = clustered(content, LISTING_DATE, LISTING_ID, MODEL_VERSION)
+        replace_partitions(spark, tables.predictions, laid_out, LISTING_DATE, [])
 
 
 def monitor(

@@ -7,7 +7,7 @@ from ..functions.one_row import beside
 from ..operators.asof import point_in_time_join
 from ..operators.calendar import time_based_split, trailing_lookback
 from ..operators.decisions import Thresholds, check_prediction_sanity, check_thresholds, combine, decide_promotion
-from ..operators.model_input import cold_start_probe, complete_requests
+from ..operators.model_input import cold_start_probe
 from ..operators.price_model import TrainingParams, predict, train_model
 from ..operators.quality import filter_valid
 from ..operators.regression import prediction_sanity, regression_metrics
@@ -38,9 +38,8 @@ def train(listings, index, params=TrainingParams(), **window):
 
 def validate_model(model, holdout: DataFrame, index: DataFrame, thresholds=Thresholds()) -> DataFrame:
     """One row: metrics, sanity counts, cold-start counts, ``failures`` and ``passed``."""
-    usable = complete_requests(holdout)
-    scored = stage(predict(model, usable, keep=[LISTING_ID, LABEL]))
-    probe = point_in_time_join(cold_start_probe(usable, COLD_START_ROWS), index)
+    scored = stage(predict(model, holdout, keep=[LISTING_ID, LABEL]))
+    probe = point_in_time_join(cold_start_probe(holdout, COLD_START_ROWS), index)
     cold = prediction_sanity(predict(model, probe, keep=[LISTING_ID]))
     cold_ok = (F.col("n_rows") == COLD_START_ROWS) & (F.col("non_finite") == 0) & (F.col("non_positive") == 0)
     text = "cold-start listing (no market features) did not score correctly"
@@ -55,10 +54,9 @@ def validate_model(model, holdout: DataFrame, index: DataFrame, thresholds=Thres
 
 def evaluate_versions(models, holdout: DataFrame) -> DataFrame:
     """Regression metrics per model version. ``models`` maps version to model; each scores the same rows."""
-    usable = complete_requests(holdout)
     scored = None
     for version, model in models.items():
-        rows = predict(model, usable, keep=[LABEL, LISTING_DATE]).withColumn(MODEL_VERSION, F.lit(str(version)))
+        rows = predict(model, holdout, keep=[LABEL, LISTING_DATE]).withColumn(MODEL_VERSION, F.lit(str(version)))
         scored = rows if scored is None else scored.unionByName(rows)
     return regression_metrics(scored.select(LABEL, PREDICTION, MODEL_VERSION), by=[MODEL_VERSION])
 
