@@ -35,7 +35,7 @@ from .schema import (
 )
 from .session import checkpoint_dir
 from .sources.listings_csv import read_listings_csv
-from .sources.tables import clustered, read_snapshot, refresh_baseline, write_snapshot
+from .sources.tables import clustered, latest_snapshot, read_snapshot, refresh_baseline, write_snapshot
 from .sources.views import view
 
 AS_OF = sql.AS_OF
@@ -326,9 +326,9 @@ def label_backfill(spark, sf_dir):
 def snapshot_read(spark, sf_dir):
     root, listings = _folder(spark), view(spark, sf_dir, "listings")
     write_snapshot(listings.where(F.col(LISTING_DATE) < F.lit(sql.STORED_UNTIL).cast("date")), root, 1)
-    pinned = read_snapshot(spark, root)
+    pinned = latest_snapshot(spark, root)
     write_snapshot(listings, root, 2)
-    return pinned.unionByName(read_snapshot(spark, root, 1)).distinct()
+    return read_snapshot(spark, root, pinned)
 
 
 @query(sql.LISTINGS)
