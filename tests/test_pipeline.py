@@ -76,6 +76,13 @@ def test_unseen_categories_score_and_the_model_survives_saving(model_and_data, t
     assert first == second and len(first) == 3 and min(first) > 0
 
 
+def test_early_stopping_holds_rows_back(make_listings):
+    params = TrainingParams(max_iter=4, max_depth=2, learning_rate=0.5, validation_tol=0.5)
+    model = train_model(make_listings(market(20, 10)), params)
+    # A tolerance no step can reach stops the learner before its limit.
+    assert model.stages[-1].getNumTrees < 4
+
+
 def test_rare_categories_are_pooled(spark, make_listings):
     rows = [listing(i) for i in range(12)] + [listing(20 + i, make=f"rare{i}") for i in range(3)]
     df = make_listings(rows)

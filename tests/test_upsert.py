@@ -185,6 +185,10 @@ def test_csv_feed(spark, make_listings, tmp_path):
     broken.write_text(",".join(RAW_LISTINGS.names) + "\n" + "x,2026-05-10,a,b,c,d,e,f,Good,w,old,1,2.0,1,true,5\n")
     (row,) = read_listings_csv(spark, str(broken)).collect()
     assert row.year is None and row.price == 5.0
+    swapped = tmp_path / "swapped.csv"
+    swapped.write_text(",".join(reversed(RAW_LISTINGS.names)) + "\n" + ",".join("x" * 16) + "\n")
+    with pytest.raises(Exception, match="header"):
+        read_listings_csv(spark, str(swapped)).collect()
 
 
 def test_layout_spreads_a_crowded_day(spark, make_listings):
