@@ -22,15 +22,15 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import functions as F
 
-from .shared import binary_column, fixed
+from .shared import binary_column
 
 LENGTH, GRAM = 50, 16
 #: Bytes of text that a task hashes at a time, and that it works on between two sends.
-SLICE, BATCH = 1 << 19, 16 << 20
+SLICE, BATCH = 1 << 19, 12 << 20
 #: Bytes of text per bucket of anchors, and the number of segments of an anchor from which its windows are dealt singly.
 BUCKET_BYTES, CROWD = 8 << 20, 20_000
-#: A null id is larger than all others.
-NO_ID = (1 << 63) - 1
+#: A null id is larger than all others, and stands for this plus a hash of its text.
+NO_ID = 1 << 62
 
 _RANDOM = np.random.default_rng(20_240_917)
 _TABLE = _RANDOM.integers(0, 1 << 64, 256, dtype=np.uint64)
@@ -137,8 +137,9 @@ def _all_segments(texts):
     return [np.concatenate(c) for c in zip(*parts)] if parts else None
 
 
-#: One segment as it travels: anchor, hash of its bytes, document (id and hash of its text), start, windows.
-SEGMENT = np.dtype([("anchor", "u8"), ("seg", "u8"), ("id", "i8"), ("text", "i8"), ("start", "u4"), ("windows", "u4")])
+#: One segment as it travels: anchor, hash of its bytes, document (id, and hash of its text in case ids repeat), start,
+#: windows.
+SEGMENT = np.dtype([("anchor", "u8"), ("seg", "u8"), ("id", "i8"), ("text", "i4"), ("start", "u4"), ("windows", "u4")])
 
 
 def _packed(records):
@@ -163,10 +164,10 @@ def _unpacked(blob, dtype=SEGMENT):
 #: of crowded anchors apart.
 SEGMENTS, SPANS, CLOSELY, CROWDED = 0, 1, 2, 3
 ROWS = pa.schema(
-    [("bucket", pa.int64()), ("kind", pa.int32()), ("id", pa.int64()), ("text_hash", pa.int64()), ("anchor", pa.int64())]
+    [("bucket", pa.int64()), ("kind", pa.int32()), ("id", pa.int64()), ("text_hash", pa.int32()), ("anchor", pa.int64())]
     + [("start", pa.int64()), ("length", pa.int64()), ("blob", pa.binary())]
 )
-ROWS_SQL = "bucket long, kind int, id long, text_hash long, anchor long, start long, length long, blob binary"
+ROWS_SQL = "bucket long, kind int, id long, text_hash int, anchor long, start long, length long, blob binary"
 
 
 def _rows(n, **columns):
@@ -200,7 +201,7 @@ def _spans(records, buckets):
     last = np.append(first[1:], len(records)) - 1
     heads = records[first]
     start = heads["start"].astype(np.int64)
-    bucket = (mixed(heads["text"].view(np.uint64)) % np.uint64(buckets)).astype(np.int64) if len(heads) else []
+    bucket = (mixed(heads["text"].astype(np.uint64)) % np.uint64(buckets)).astype(np.int64) if len(heads) else []
     return _rows(
         len(heads), bucket=bucket, kind=np.full(len(heads), SPANS), id=heads["id"], text_hash=heads["text"],
         start=start, length=stop[last] - start + LENGTH - 1,
@@ -281,16 +282,17 @@ def _matched(batches, buckets, crowd):
 
 
 CUT = pa.schema(
-    [("bucket", pa.int64()), ("anchor", pa.int64()), ("id", pa.int64()), ("text_hash", pa.int64()), ("start", pa.int64()), ("bytes", pa.binary())]
+    [("bucket", pa.int64()), ("anchor", pa.int64()), ("id", pa.int64()), ("text_hash", pa.int32()), ("start", pa.int64()), ("bytes", pa.binary())]
 )
-CUT_SQL = "bucket long, anchor long, id long, text_hash long, start long, bytes binary"
+CUT_SQL = "bucket long, anchor long, id long, text_hash int, start long, bytes binary"
 
 
-def _cut(batches, buckets):
+def _cut(batches, buckets, text_col):
     """Texts with their segments to be looked at, to a row with the bytes of each."""
     for batch in batches:
-        texts = binary_column(batch, "_text")
-        ids, hashes, parts = batch.column(1).to_pylist(), batch.column(2).to_pylist(), batch.column(3)
+        texts = binary_column(batch, text_col)
+        ids, hashes = batch.column(0).to_pylist(), batch.column(1).to_pylist()
+        parts = batch.column(batch.schema.get_field_index("_segments"))
         rows = []
         for text, i, h, segs in zip(texts, ids, hashes, parts):
             fields = [segs.values.field(k).to_pylist() for k in range(4)]
@@ -464,23 +466,25 @@ def whole_characters(text, spans):
 
 
 def _with_spans(docs, id_col, text_col, bucket_bytes, crowd):
-    """Rows (_text, _id, _hash, _spans, *docs.columns): every row of docs with the repeated spans of its text."""
+    """Rows (_id, _hash, *docs.columns, _spans): every row of docs with the repeated spans of its text."""
     text = F.coalesce(F.col(text_col), F.lit(""))
-    key = [F.coalesce(F.col(id_col).cast("long"), F.lit(NO_ID)).alias("_id"), F.xxhash64(text).alias("_hash")]
+    absent = F.lit(NO_ID) + F.xxhash64(text).bitwiseAND(F.lit(NO_ID - 1))
+    key = [F.coalesce(F.col(id_col).cast("long"), absent).alias("_id"), F.hash(text).alias("_hash")]
     # Bytes of text decide how many buckets there are, so that a bucket fits a task at any size.
     size = docs.agg(F.sum(F.octet_length(text_col))).first()[0] or 0
     buckets = max(1, -(-size // bucket_bytes))
     partitions = max(int(docs.sparkSession.conf.get("spark.sql.shuffle.partitions")), buckets // 4)
     rows = docs.select(text.alias("_text"), *key).mapInArrow(lambda batches: _anchored(batches, buckets), ROWS_SQL)
     rows = rows.repartition(partitions, "bucket").sortWithinPartitions("bucket")
-    found = fixed(rows.mapInArrow(lambda batches: _matched(batches, buckets, crowd), ROWS_SQL))
-    texts = docs.select(text.alias("_text"), *key, *docs.columns).repartition(partitions, "_id", "_hash")
+    found = rows.mapInArrow(lambda batches: _matched(batches, buckets, crowd), ROWS_SQL)
+    # The segments' exchange and this one are each read twice; other columns travel with the text, once.
+    texts = docs.select(*key, *docs.columns).repartition(partitions, "_id", "_hash")
     owner = [F.col("id").alias("_owner"), F.col("text_hash").alias("_owner_hash")]
     owned = (F.col("_id") == F.col("_owner")) & (F.col("_hash") == F.col("_owner_hash"))
     close = found.where(F.col("kind").isin(CLOSELY, CROWDED)).groupBy(*owner)
     close = close.agg(F.collect_list(F.struct("kind", "anchor", "start", "length")).alias("_segments"))
-    cut = texts.join(close, owned).select("_text", "_id", "_hash", "_segments")
-    cut = cut.mapInArrow(lambda batches: _cut(batches, buckets), CUT_SQL)
+    # All columns go into the function: pruning them would make another exchange.
+    cut = texts.join(close, owned).mapInArrow(lambda batches: _cut(batches, buckets, text_col), CUT_SQL)
     cut = cut.repartition(partitions, "bucket").sortWithinPartitions("bucket", "anchor")
     compared = cut.mapInArrow(lambda batches: _compared(batches, buckets), ROWS_SQL)
     spans = found.where(F.col("kind") == SPANS).unionByName(compared).groupBy(*owner)
@@ -488,10 +492,10 @@ def _with_spans(docs, id_col, text_col, bucket_bytes, crowd):
     return texts.join(spans, owned, "left").drop("_owner", "_owner_hash")
 
 
-def _spans_of(batch):
+def _spans_of(batch, text_col):
     """(text, union of its spans) of each row."""
     spans = batch.column(batch.schema.get_field_index("_spans"))
-    for text, found in zip(binary_column(batch, "_text"), spans):
+    for text, found in zip(binary_column(batch, text_col), spans):
         if found.values is None or not len(found.values):
             yield text, np.zeros((0, 2), np.int64)
         else:
@@ -502,7 +506,7 @@ def _described(batches):
     names = ["doc_id", "n_bytes", "n_removed", "n_spans", "kept_sha256"]
     for batch in batches:
         rows = []
-        for text, spans in _spans_of(batch):
+        for text, spans in _spans_of(batch, "_source_text"):
             kept = without(text, spans)
             rows.append((len(text), len(text) - len(kept), len(spans), hashlib.sha256(kept).hexdigest()))
         columns = [batch.column(batch.schema.get_field_index("_doc_id")), *[pa.array(c) for c in zip(*rows)]]
@@ -531,7 +535,7 @@ def drop_passages(docs, id_col="doc_id", text_col="text", bucket_bytes=BUCKET_BY
 
     def cut_out(batches):
         for batch in batches:
-            kept = [without(t, whole_characters(t, s)).decode() for t, s in _spans_of(batch)]
+            kept = [without(t, whole_characters(t, s)).decode() for t, s in _spans_of(batch, text_col)]
             columns = {c: batch.column(batch.schema.get_field_index(c)) for c in names}
             nulls = columns[text_col].is_null().to_pylist()
             columns[text_col] = pa.array([None if n else k for n, k in zip(nulls, kept)], pa.string())
