@@ -46,4 +46,5 @@ def connected_components(edges, a="a", b="b"):
         if after == before:
             break
         before = after
-    return edges.select(F.col("a").alias("node"), F.col("b").alias("root"))
+    centres = edges.select(F.col("b").alias("node"), F.col("b").alias("root")).distinct()
+    return edges.select(F.col("a").alias("node"), F.col("b").alias("root")).union(centres)

@@ -4,10 +4,15 @@ from pathlib import Path
 
 from .decision_list import judge_quality
 from .exact_dedup import exact_dedup
+from .license_scan import scan_licenses
 from .packing import pack_documents
-from .shared import importable
+from .segments import described
+from .shared import folder, importable
 from .simhash import simhash_groups
 from .suffix_dedup import repeated_passages
+from .token_files import read_token_files, with_checksums, write_token_files
+from .url_filter import Rule, judge_urls
+from .warc import read_archives, write_archives
 
 QUERIES = {}
 ORACLES = {}
@@ -55,6 +60,39 @@ def op1_exact_dedup(spark, sf_dir):
     return exact_dedup(table(spark, sf_dir, "documents"))
 
 
+@query()
+def op2_token_files(spark, sf_dir):
+    at = folder(spark, "tokens")
+    manifest = write_token_files(table(spark, sf_dir, "documents"), tokenizer("byte_bpe_50k.json"), at)
+    return with_checksums(read_token_files(manifest, at))
+
+
+@query()
+def op3_segmentation(spark, sf_dir):
+    return described(table(spark, sf_dir, "documents"), tokenizer("piece_bpe_32k.model"))
+
+
+@query(
+    r"""
+WITH payloads AS (
+  SELECT page_id, encode(coalesce(html, '')) AS payload, sha1(coalesce(html, '')) AS hex FROM pages
+), placed AS (
+  SELECT *, min(page_id) OVER (PARTITION BY payload) AS first_id FROM payloads
+)
+SELECT page_id, octet_length(payload) AS payload_bytes,
+       list_aggregate(list_transform(range(0, 32), lambda i: substr('ABCDEFGHIJKLMNOPQRSTUVWXYZ234567',
+         1 + ((((16 * (strpos('0123456789abcdef', substr(hex, 1 + (i * 5) // 4, 1)) - 1)
+               + strpos('0123456789abcdef', substr(hex, 2 + (i * 5) // 4, 1)) - 1) >> (3 - (i * 5) % 4)) & 31)::INTEGER), 1)),
+         'string_agg', '') AS payload_digest,
+       CASE WHEN page_id = first_id THEN 'response' ELSE 'revisit' END AS record_type,
+       CASE WHEN page_id <> first_id THEN first_id END AS refers_to
+FROM placed
+"""
+)
+def op4_warc(spark, sf_dir):
+    return read_archives(write_archives(table(spark, sf_dir, "pages")), payloads=False)
+
+
 @query()
 def op5_quality_rules(spark, sf_dir):
     return judge_quality(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
@@ -70,6 +108,26 @@ def op7_suffix_dedup(spark, sf_dir):
     return repeated_passages(table(spark, sf_dir, "documents"))
 
 
+#: The rules of op8_url_filter.
+URL_RULES = [
+    Rule("allow", "org", "/"),
+    Rule("block", "example.org", "/es/"),
+    Rule("block", "example.org", "/en/1"),
+    Rule("allow", "com", "/fr/"),
+    Rule("block", "com", "/de/"),
+]
+
+
+@query()
+def op8_url_filter(spark, sf_dir):
+    return judge_urls(table(spark, sf_dir, "pages"), URL_RULES)
+
+
 @query()
 def op9_simhash(spark, sf_dir):
     return simhash_groups(table(spark, sf_dir, "documents"))
+
+
+@query()
+def op10_license_scan(spark, sf_dir):
+    return scan_licenses(table(spark, sf_dir, "documents"))

@@ -33,7 +33,7 @@ def put_file(path, data):
     store, name = file_system(path)
     store.create_dir(posixpath.dirname(name), recursive=True)
     part = f"{name}.part-{uuid.uuid4().hex}"
-    with store.open_output_stream(part) as out:
+    with store.open_output_stream(part, compression=None) as out:
         out.write(data)
     store.move(part, name)
 
