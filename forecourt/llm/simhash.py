@@ -6,8 +6,8 @@ so some v is orthogonal to all of them: that mask covers none of them, and the t
 takes 15 tables, each keyed by about 34 of 64 bits, and misses no pair.
 
 Equal fingerprints are one node. A bucket of few nodes is searched in a task; one of many is dealt out again by masks
-over its remaining bits, which leaves 14 free bits, so that no task ever holds more than 16,384 nodes. A search emits a
-spanning forest and not the pairs.
+over its remaining bits, which leaves 16 free bits at most, so that no task ever holds more than 65,536 nodes. A search
+emits a spanning forest and not the pairs.
 """
 
 import numpy as np

@@ -1,0 +1,233 @@
+"""Exact, near and passage deduplication against brute force."""
+
+import hashlib
+import itertools
+import re
+from collections import Counter, defaultdict
+
+import numpy as np
+import xxhash
+from hypothesis import given, settings
+from hypothesis import strategies as st
+
+from forecourt.llm import components, exact_dedup, simhash, suffix_dedup
+
+from llm_cases import ODD, docs, odd, sample  # noqa: F401
+
+
+def rows_of(df):
+    return [tuple(r) for r in df.collect()]
+
+
+def brute_exact(rows):
+    groups = defaultdict(list)
+    for n, (i, t) in enumerate(rows):
+        t = t or ""
+        bare = re.sub(r"[\x20\x09-\x0D]", "", t)
+        groups[hashlib.sha256(bare.encode()).hexdigest()].append((-len(t), i is None, i or 0, n, i))
+    out = []
+    for sha, members in groups.items():
+        keep = min(members)
+        out += [(m[4], keep[4], len(members), m[:3] == keep[:3], sha) for m in members]
+    return out
+
+
+def agree(got, want):
+    """Same rows, where of rows alike in all but ``kept`` one may be kept."""
+    strip = lambda rows: Counter((a, b, c, e) for a, b, c, _, e in rows)
+    kept = lambda rows: Counter((b, e) for _, b, _, k, e in rows if k)
+    return strip(got) == strip(want) and set(kept(got)) == set(kept(want)) and set(kept(got).values()) <= {1}
+
+
+def test_exact_dedup_of_odd_rows(odd):
+    assert agree(rows_of(exact_dedup.exact_dedup(odd)), brute_exact(ODD))
+
+
+def test_exact_dedup_takes_hot_and_cold_groups_alike(docs):
+    rows = [(i, f"text {i % 400 if i % 3 else 0}") for i in range(3000)]
+    got = rows_of(exact_dedup.exact_dedup(docs(rows), counters=8))
+    assert agree(got, brute_exact(rows))
+    assert sorted(got) == sorted(rows_of(exact_dedup.exact_dedup(docs(rows), counters=4000)))
+
+
+def test_drop_copies_keeps_one_row_of_each_group_with_all_columns(odd):
+    kept = exact_dedup.drop_copies(odd)
+    assert kept.columns == odd.columns
+    got = Counter((r.doc_id, r.text) for r in kept.collect())
+    keep = Counter((k, sha) for _, k, _, kept_, sha in brute_exact(ODD) if kept_)
+    assert sum(got.values()) == len({sha for _, sha in keep}) and set(got.values()) == {1}
+
+
+def test_drop_copies_tells_versions_of_one_id_apart(docs):
+    rows = [(1, "a b"), (1, "a  b"), (1, "a  b"), (1, "c"), (2, "a b")]
+    assert sorted((r.doc_id, r.text) for r in exact_dedup.drop_copies(docs(rows)).collect()) == [(1, "a  b"), (1, "c")]
+
+
+def test_empty_tables(docs):
+    empty = docs([])
+    for f in (exact_dedup.exact_dedup, exact_dedup.drop_copies, simhash.simhash_groups, simhash.drop_near_copies,
+              suffix_dedup.repeated_passages, suffix_dedup.drop_passages):
+        assert f(empty).collect() == []
+
+
+@settings(max_examples=60, deadline=None)
+@given(st.lists(st.integers(0, 30), max_size=300), st.integers(1, 6))
+def test_misra_gries_summary_is_low_by_a_bounded_count(values, counters):
+    summary = {}
+    for at in range(0, len(values), 7):
+        summary = exact_dedup.summarise(summary, Counter(values[at : at + 7]), counters)
+    assert len(summary) <= counters
+    for value, n in Counter(values).items():
+        assert n - len(values) / (counters + 1) <= summary.get(value, 0) <= n
+
+
+def test_frequent_values_are_all_found(spark, docs):
+    rows = spark.createDataFrame([(b"%d" % (i % 5 if i % 2 else i),) for i in range(2000)], "v binary").repartition(5)
+    found = {bytes(r.v) for r in exact_dedup.frequent(rows, "v", 20).collect()}
+    assert {b"0", b"1", b"2", b"3", b"4"} <= found and len(found) <= 20
+
+
+def brute_components(edges):
+    label = {v: v for e in edges for v in e}
+    changed = True
+    while changed:
+        changed = False
+        for a, b in edges:
+            low = min(label[a], label[b])
+            changed |= label[a] != low or label[b] != low
+            label[a] = label[b] = low
+    return label
+
+
+def test_components_of_chains_stars_and_repeats(spark):
+    rng = np.random.default_rng(3)
+    chain = [(int(a), int(b)) for a, b in itertools.pairwise(rng.permutation(200))]
+    star = [(1000, 1000 + i) for i in range(1, 50)] + [(1025, 1001)] * 3
+    loose = [tuple(map(int, e)) for e in rng.integers(2000, 2100, (60, 2))]
+    edges = chain + star + loose + [(5000, 5000), (5000, None)]
+    got = {r.node: r.root for r in components.connected_components(spark.createDataFrame(edges, "a long, b long")).collect()}
+    assert got == brute_components([e for e in chain + star + loose if e[0] != e[1]])
+    assert components.connected_components(spark.createDataFrame([], "a long, b long")).collect() == []
+
+
+@settings(max_examples=200, deadline=None)
+@given(st.integers(0, 2**64 - 1), st.lists(st.integers(0, 63), max_size=3, unique=True))
+def test_covering_masks_miss_no_pair(word, flips):
+    other = word
+    for p in flips:
+        other ^= 1 << p
+    assert any(word & m == other & m for m in simhash.covering_masks(range(64)))
+
+
+def test_inner_masks_leave_few_free_bits():
+    for mask in simhash.covering_masks(range(64)):
+        free = [p for p in range(64) if not mask >> p & 1]
+        assert all(len(free) - m.bit_count() <= 16 for m in simhash.covering_masks(free))
+
+
+@settings(max_examples=50, deadline=None)
+@given(st.lists(st.integers(0, 2**12 - 1), max_size=60))
+def test_forest_connects_what_links_connect(nodes):
+    links = [(a, b) for a, b in itertools.combinations(sorted(set(nodes)), 2) if (a ^ b).bit_count() <= 3]
+    got = brute_components([(int(a), int(b)) for a, b in simhash.forest(nodes)])
+    assert got == brute_components(links)
+
+
+def brute_fingerprint(text):
+    words = re.findall(rb"[^\x20\x09-\x0D]+", re.sub(rb"[A-Z]", lambda m: m[0].lower(), (text or "").encode()))
+    grams = [b" ".join(words[i : i + 3]) for i in range(max(1, len(words) - 2))] if words else []
+    hashes = [xxhash.xxh64_intdigest(g, 42) for g in grams]
+    return sum(1 << b for b in range(64) if 2 * sum(h >> b & 1 for h in hashes) > len(hashes))
+
+
+def test_simhash_groups_against_all_pairs(odd, docs, sample):
+    rows = [(r.doc_id, r.text) for r in sample.select("doc_id", "text").collect()]
+    rows += [(1000 + i, t) for i, t in ODD if i is not None] + [(None, "x y z")]
+    marks = [brute_fingerprint(t) for _, t in rows]
+    label = list(range(len(rows)))
+    for i, j in itertools.combinations(range(len(rows)), 2):
+        if (marks[i] ^ marks[j]).bit_count() <= 3 and label[i] != label[j]:
+            old, new = max(label[i], label[j]), min(label[i], label[j])
+            label = [new if x == old else x for x in label]
+    first = defaultdict(list)
+    for (i, _), x in zip(rows, label):
+        first[x] += [i] if i is not None else []
+    want = Counter((i, f"{m:016x}", min(first[x], default=None)) for (i, _), m, x in zip(rows, marks, label))
+    for bucket in (4096, 1):
+        assert Counter(rows_of(simhash.simhash_groups(docs(rows), bucket=bucket))) == want
+    kept = {r.doc_id for r in simhash.drop_near_copies(docs(rows)).collect()}
+    assert kept == {c for _, _, c in want}
+
+
+def brute_passages(rows, length=50):
+    """Per row: (bytes, removed, spans, sha256); null ids come after all others, ordered by nothing."""
+    first = {}
+    for i, t in rows:
+        data = (t or "").encode()
+        for k in range(len(data) - length + 1):
+            gram = data[k : k + length]
+            first[gram] = min(first.get(gram, i), i)
+    out = []
+    for i, t in rows:
+        data = (t or "").encode()
+        cover = np.zeros(len(data), bool)
+        for k in range(len(data) - length + 1):
+            if first[data[k : k + length]] < i:
+                cover[k : k + length] = True
+        kept = np.frombuffer(data, np.uint8)[~cover].tobytes()
+        spans = int(cover[0]) + int((cover[1:] & ~cover[:-1]).sum()) if len(data) else 0
+        out.append((i, len(data), int(cover.sum()), spans, hashlib.sha256(kept).hexdigest()))
+    return Counter(out)
+
+
+def test_passages_against_all_windows(docs, sample):
+    rows = [(r.doc_id, r.text) for r in sample.select("doc_id", "text").collect()]
+    rows += [(1000 + i, t) for i, t in ODD if i is not None]
+    rows += [(2000 + i, "-" * i + "é漢" * 20 + rows[i][1][7:90] + "=" * 60) for i in range(12)]
+    want = brute_passages(rows)
+    assert Counter(rows_of(suffix_dedup.repeated_passages(docs(rows)))) == want
+    assert Counter(rows_of(suffix_dedup.repeated_passages(docs(rows), bucket_bytes=5000, crowd=1))) == want
+    assert sum(r[2] for r in want) > 10_000
+
+
+def test_passages_across_slices_and_batches(docs, monkeypatch):
+    text = "".join(chr(97 + int(x)) for x in np.random.default_rng(1).integers(0, 26, 3000))
+    rows = [(1, text), (2, text[500:2500] + "tail"), (3, "head" + text[100:160] + text[2900:]), (4, text[:49]), (5, text[:50])]
+    monkeypatch.setattr(suffix_dedup, "SLICE", 400)
+    parts = suffix_dedup._all_segments([t.encode() for _, t in rows])
+    assert parts[4].sum() == sum(max(0, len(t) - 49) for _, t in rows)
+    assert Counter(rows_of(suffix_dedup.repeated_passages(docs(rows)))) == brute_passages(rows)
+
+
+def test_passages_without_an_id_lose_to_all_others(docs):
+    text = "a passage of more than fifty bytes, which two documents have in common, with and without id"
+    got = {(r.doc_id, r.n_removed) for r in suffix_dedup.repeated_passages(docs([(None, text), (5, text), (None, "x")])).collect()}
+    assert got == {(None, len(text)), (5, 0), (None, 0)}
+
+
+def test_drop_passages_leaves_whole_characters_and_other_columns(docs):
+    text = "é漢" * 30
+    rows = [(1, text), (2, "x" + text[1:] + "ü end"), (3, None), (4, "")]
+    got = suffix_dedup.drop_passages(docs(rows))
+    assert got.columns == docs(rows).columns
+    found = {r.doc_id: r for r in got.collect()}
+    assert found[2].text == "xü end" and found[1].text == text and found[3].text is None and found[4].text == ""
+    assert found[2].digest == "d" and found[2].row == 7
+
+
+@settings(max_examples=40, deadline=None)
+@given(st.lists(st.tuples(st.integers(0, 2), st.text("ab", min_size=8, max_size=20), st.integers(0, 5)), min_size=1, max_size=12))
+def test_suffix_sort_is_the_order_of_the_prefixes(rows):
+    rows = sorted(rows, key=lambda r: r[0])
+    data = "".join(t for _, t, _ in rows).encode()
+    arr = np.frombuffer(data, np.uint8)
+    at, group = [], []
+    start = 0
+    for g, t, _ in rows:
+        at += list(range(start, start + len(t) - 7))
+        group += [g] * (len(t) - 7)
+        start += len(t)
+    at, group = np.array(at), np.array(group)
+    order = suffix_dedup.sort_suffixes(arr, suffix_dedup.PrefixHash(arr), group, at, limit=8)
+    got = [(int(group[i]), data[at[i] : at[i] + 8], int(i)) for i in order]
+    assert got == sorted(got)
