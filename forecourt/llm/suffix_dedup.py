@@ -6,25 +6,31 @@ of neighbouring windows with one anchor is a segment, about one per 20 bytes.
 
 1. In a task, of equal segments only those of the smallest document go on; the others are repeated for certain. So a
    passage that a third of all documents share is one record per task.
-2. Segments are dealt by anchor as packed hashes. Equal ones are settled by the smallest document; where an anchor has
-   segments that differ, its representatives are looked at closely.
+2. Segments are dealt by anchor as packed hashes. Equal ones are settled by the smallest document. Where an anchor has
+   segments that differ, a common window would hold the 17 bytes before or behind the anchor; those that have one of
+   these in common with another document are looked at closely.
 3. Their bytes are fetched and their suffixes sorted: a mergesort in which two suffixes are compared by their common
    extension, found by binary search over prefix polynomial hashes; neighbours that agree in 50 bytes are verified byte
    by byte. Each class of equal 50-byte prefixes keeps its smallest document.
 4. The spans found go back to their documents, where they are united.
 
-The texts are shuffled once, by id, for steps 3 and 4, which read the same exchange.
+The texts are shuffled once, by id and compressed, for steps 3 and 4, which read the same exchange.
 """
 
 import hashlib
 
 import numpy as np
 import pyarrow as pa
+import zstandard
 from pyspark.sql import functions as F
 
 from .shared import binary_column
 
 LENGTH, GRAM = 50, 16
+#: Anchors in a window; bits of an anchor's hash; bytes of context of which a common window holds those on one side of
+#: its anchor at least; marks for a context that isn't there, and for one that may be any.
+WIDTH, ANCHOR_BITS = LENGTH - GRAM + 1, (1 << 48) - 1
+CONTEXT, NO_CONTEXT, ANY_CONTEXT = (LENGTH - GRAM) // 2, 0, 1
 #: Bytes of text that a task hashes at a time, and that it works on between two sends.
 SLICE, BATCH = 1 << 19, 12 << 20
 #: Bytes of text per bucket of anchors, and the number of segments of an anchor from which its windows are dealt singly.
@@ -81,30 +87,48 @@ def window_anchors(grams, width):
     return np.minimum(low[:-rest], low[rest:]) if rest else low
 
 
+def _context(hashes, at, length, inside):
+    """A short hash of the ``length`` bytes at each place that lies inside its text, from 2 on; NO_CONTEXT elsewhere."""
+    short = mixed(hashes.of(np.where(inside, at, 0), length)) % np.uint64(65_534) + np.uint64(2)
+    return np.where(inside, short, NO_CONTEXT).astype(np.uint16)
+
+
 def segments(data, lengths):
     """Runs of windows with one anchor in the texts laid end to end in ``data``.
 
-    Returns arrays: anchor, hash of the run's bytes, text number, start in the text, windows of the run.
+    Returns arrays: anchor, hash of the run's bytes, hashes of the contexts left and right of the anchor, text number,
+    start in the text, windows of the run.
     """
     hashes = PrefixHash(data)
-    low = window_anchors(hashes.grams(GRAM), LENGTH - GRAM + 1)
+    grams = hashes.grams(GRAM) & np.uint64(ANCHOR_BITS)
+    low = window_anchors(grams, WIDTH)
     first = np.concatenate([[0], np.cumsum(lengths)[:-1]])
     long = np.flatnonzero(lengths >= LENGTH)
     if not len(long) or not len(low):
-        return (np.zeros(0, np.uint64), np.zeros(0, np.uint64), *(np.zeros(0, np.int64),) * 3)
+        return tuple(np.zeros(0, t) for t in (np.uint64, np.uint64, np.uint16, np.uint16, np.int64, np.int64, np.int64))
     new = np.zeros(len(low) + 1, bool)
     new[1:-1] = low[1:] != low[:-1]
     new[first[long]] = True
-    ends = first[long] + lengths[long] - LENGTH + 1  # past the last window of each text
-    new[ends] = True
+    new[first[long] + lengths[long] - LENGTH + 1] = True  # past the last window of each text
     starts = np.flatnonzero(new)
     text = np.searchsorted(first, starts, side="right") - 1
     # Texts too short for a window share their start with the next one; the run belongs to the last of them.
     inside = starts + LENGTH <= first[text] + lengths[text]
     stops = np.append(starts[1:], len(low))[inside]
     starts, text = starts[inside], text[inside]
-    windows = stops - starts
-    return low[starts], mixed(hashes.of(starts, windows + LENGTH - 1)), text, starts - first[text], windows
+    windows, anchor = stops - starts, low[starts]
+    # The anchor's place in the run: the first one in its first window and the last one in its last.
+    early, late = np.full(len(starts), -1), np.full(len(starts), -1)
+    for k in reversed(range(WIDTH)):
+        early[grams[starts + k] == anchor] = k
+    for k in range(WIDTH):
+        late[grams[stops - 1 + k] == anchor] = k
+    place = starts + early
+    left = _context(hashes, place - CONTEXT, CONTEXT, place - CONTEXT >= first[text])
+    right = _context(hashes, place + GRAM, CONTEXT, place + GRAM + CONTEXT <= first[text] + lengths[text])
+    several = place != stops - 1 + late  # which of several places counts would depend on the neighbourhood
+    left[several] = right[several] = ANY_CONTEXT
+    return anchor, mixed(hashes.of(starts, windows + LENGTH - 1)), left, right, text, starts - first[text], windows
 
 
 def sliced(texts):
@@ -123,8 +147,8 @@ def _all_segments(texts):
         numbers = np.array([g[0] for g in group])
         offsets = np.array([g[1] for g in group])
         data = np.frombuffer(b"".join(g[2] for g in group), np.uint8)
-        anchor, seg, text, start, windows = segments(data, np.array([len(g[2]) for g in group]))
-        parts.append((anchor, seg, numbers[text], start + offsets[text], windows))
+        *hashes, text, start, windows = segments(data, np.array([len(g[2]) for g in group]))
+        parts.append((*hashes, numbers[text], start + offsets[text], windows))
 
     for piece in sliced(texts):
         if group and size + len(piece[2]) > SLICE:
@@ -137,9 +161,11 @@ def _all_segments(texts):
     return [np.concatenate(c) for c in zip(*parts)] if parts else None
 
 
-#: One segment as it travels: anchor, hash of its bytes, document (id, and hash of its text in case ids repeat), start,
-#: windows.
-SEGMENT = np.dtype([("anchor", "u8"), ("seg", "u8"), ("id", "i8"), ("text", "i4"), ("start", "u4"), ("windows", "u4")])
+#: One segment as it travels: anchor, hash of its bytes, contexts, document (id, and hash of its text in case ids repeat),
+#: start, windows.
+SEGMENT = np.dtype(
+    [("anchor", "u8"), ("seg", "u8"), ("left", "u2"), ("right", "u2"), ("id", "i8"), ("text", "i4"), ("start", "u4"), ("windows", "u4")]
+)
 
 
 def _packed(records):
@@ -215,9 +241,10 @@ def _anchored(batches, buckets):
         found = _all_segments(texts)
         if found is None or not len(found[0]):
             return
-        anchor, seg, text, start, windows = found
+        anchor, seg, left, right, text, start, windows = found
         records = np.zeros(len(anchor), SEGMENT)
         records["anchor"], records["seg"], records["start"], records["windows"] = anchor, seg, start, windows
+        records["left"], records["right"] = left, right
         records["id"], records["text"] = np.array(ids)[text], np.array(hashes)[text]
         records, repeated = _settled(records)
         if repeated.any():
@@ -244,6 +271,19 @@ def _anchored(batches, buckets):
         yield from send(texts, ids, hashes)
 
 
+def _in_common(records, group):
+    """Whether each record of the anchor groups may have a window in common with another document."""
+    found = np.zeros(len(records), bool)
+    for side in ("left", "right"):
+        order = np.lexsort((records["id"], records[side], group))
+        context, ids = records[side][order], records["id"][order]
+        starts, number = _groups(group[order], context)
+        last = np.append(starts[1:], len(order)) - 1
+        found[order] |= ((ids[starts] != ids[last])[number]) & (context > ANY_CONTEXT)
+    loose = np.bincount(group, records["left"] == ANY_CONTEXT) > 0
+    return found | loose[group]
+
+
 def _matched(batches, buckets, crowd):
     """Rows of packed segments, sorted by bucket, to repeated spans and to segments whose bytes are needed."""
 
@@ -256,9 +296,13 @@ def _matched(batches, buckets, crowd):
         low, high = np.minimum.reduceat(records["id"], starts), np.maximum.reduceat(records["id"], starts)
         heads, _ = _groups(records["anchor"], records["seg"])
         kinds = np.bincount(group[heads], minlength=len(starts))
-        close = ((low != high) & (kinds > 1))[group]
-        if close.any():
-            close_, crowded = records[close], (kinds > crowd)[group][close]
+        close = np.flatnonzero(((low != high) & (kinds > 1))[group])
+        if len(close):
+            close = close[_in_common(records[close], group[close])]
+        if len(close):
+            close_ = records[close]
+            left = np.bincount(group[close], minlength=len(starts))
+            crowded = (left > crowd)[group[close]]
             yield _rows(
                 len(close_), kind=np.where(crowded, CROWDED, CLOSELY), id=close_["id"], text_hash=close_["text"],
                 anchor=close_["anchor"].view(np.int64), start=close_["start"].astype(np.int64),
@@ -287,10 +331,25 @@ CUT = pa.schema(
 CUT_SQL = "bucket long, anchor long, id long, text_hash int, start long, bytes binary"
 
 
+def _squeezed(batches, text_col):
+    """Rows with their texts compressed."""
+    squeeze = zstandard.ZstdCompressor(level=3).compress
+    for batch in batches:
+        at = batch.schema.get_field_index(text_col)
+        texts = pa.array([None if t is None else squeeze(t) for t in batch.column(at).to_pylist()], pa.binary())
+        yield batch.set_column(at, batch.schema.field(at), texts)
+
+
+def _texts(batch, text_col):
+    """The texts of rows as bytes; null is empty."""
+    restore = zstandard.ZstdDecompressor().decompress
+    return [restore(t) if t else b"" for t in binary_column(batch, text_col)]
+
+
 def _cut(batches, buckets, text_col):
     """Texts with their segments to be looked at, to a row with the bytes of each."""
     for batch in batches:
-        texts = binary_column(batch, text_col)
+        texts = _texts(batch, text_col)
         ids, hashes = batch.column(0).to_pylist(), batch.column(1).to_pylist()
         parts = batch.column(batch.schema.get_field_index("_segments"))
         rows = []
@@ -478,7 +537,8 @@ def _with_spans(docs, id_col, text_col, bucket_bytes, crowd):
     rows = rows.repartition(partitions, "bucket").sortWithinPartitions("bucket")
     found = rows.mapInArrow(lambda batches: _matched(batches, buckets, crowd), ROWS_SQL)
     # The segments' exchange and this one are each read twice; other columns travel with the text, once.
-    texts = docs.select(*key, *docs.columns).repartition(partitions, "_id", "_hash")
+    packed = docs.select(*key, *docs.columns).withColumn(text_col, F.col(text_col).cast("binary"))
+    texts = packed.mapInArrow(lambda batches: _squeezed(batches, text_col), packed.schema).repartition(partitions, "_id", "_hash")
     owner = [F.col("id").alias("_owner"), F.col("text_hash").alias("_owner_hash")]
     owned = (F.col("_id") == F.col("_owner")) & (F.col("_hash") == F.col("_owner_hash"))
     close = found.where(F.col("kind").isin(CLOSELY, CROWDED)).groupBy(*owner)
@@ -495,7 +555,7 @@ def _with_spans(docs, id_col, text_col, bucket_bytes, crowd):
 def _spans_of(batch, text_col):
     """(text, union of its spans) of each row."""
     spans = batch.column(batch.schema.get_field_index("_spans"))
-    for text, found in zip(binary_column(batch, text_col), spans):
+    for text, found in zip(_texts(batch, text_col), spans):
         if found.values is None or not len(found.values):
             yield text, np.zeros((0, 2), np.int64)
         else:

@@ -195,7 +195,7 @@ def test_passages_across_slices_and_batches(docs, monkeypatch):
     rows = [(1, text), (2, text[500:2500] + "tail"), (3, "head" + text[100:160] + text[2900:]), (4, text[:49]), (5, text[:50])]
     monkeypatch.setattr(suffix_dedup, "SLICE", 400)
     parts = suffix_dedup._all_segments([t.encode() for _, t in rows])
-    assert parts[4].sum() == sum(max(0, len(t) - 49) for _, t in rows)
+    assert parts[6].sum() == sum(max(0, len(t) - 49) for _, t in rows)
     assert Counter(rows_of(suffix_dedup.repeated_passages(docs(rows)))) == brute_passages(rows)
 
 
