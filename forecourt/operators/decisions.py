@@ -8,8 +8,6 @@ from pyspark.sql import functions as F
 from ..schema import MODEL_VERSION
 from .regression import HIGHER_IS_BETTER
 
-REASON_LIMIT = 5000
-
 
 @dataclass(frozen=True)
 class Thresholds:
@@ -66,9 +64,9 @@ def check_prediction_sanity(counts: DataFrame) -> DataFrame:
     return counts.withColumn(
         "sanity_failures",
         _texts(
-            F.when(F.col("n_rows") == 0, F.lit("model produced no predictions")),
-            F.when(F.col("non_finite") > 0, F.format_string("%d non-finite predictions", "non_finite")),
-            F.when(F.col("non_positive") > 0, F.format_string("%d non-positive predictions", "non_positive")),
+            F.when(F.col("n_rows") == 0, F.lit("nothing was scored")),
+            F.when(F.col("non_finite") > 0, F.format_string("%d predictions missing or not finite", "non_finite")),
+            F.when(F.col("non_positive") > 0, F.format_string("%d predictions at or below zero", "non_positive")),
         ),
     )
 
@@ -78,7 +76,7 @@ def combine(checked: DataFrame, *failure_cols) -> DataFrame:
     failures = F.concat(*[F.coalesce(c, F.array().cast("array<string>")) for c in map(F.col, failure_cols)])
     return (
         checked.withColumn("failures", failures)
-        .withColumn("failure_text", F.substring(F.array_join("failures", "; "), 1, REASON_LIMIT))
+        .withColumn("failure_text", F.array_join("failures", "; "))
         .withColumn("passed", F.size("failures") == 0)
     )
 
@@ -104,10 +102,8 @@ def decide_promotion(
     required = old + margin if HIGHER_IS_BETTER[metric] else old - margin
     reached = new >= required if HIGHER_IS_BETTER[metric] else new <= required
     better = F.coalesce(_known(new) & _known(old) & reached, F.lit(False))
-    verdict = F.when(better, "beats").otherwise("does not beat")
-    told = F.format_string(
-        f"challenger {metric}=%.4f %s required %.4f (champion %.4f)", new, verdict, required, old
-    )
+    verdict = F.when(better, "good enough").otherwise("not good enough")
+    told = F.format_string(f"{metric} %.4f is %s: needed %.4f, champion has %.4f", new, verdict, required, old)
     return row.select(
         F.lit(str(challenger)).alias("challenger"),
         F.lit(rival).cast("string").alias("champion"),
@@ -115,7 +111,7 @@ def decide_promotion(
         old,
         required.alias("required_value"),
         (better if rival else F.lit(True)).alias("promote"),
-        (told if rival else F.lit("no existing champion")).alias("reason"),
+        (told if rival else F.lit("no other version to compare with")).alias("reason"),
     )
 
 
@@ -131,12 +127,13 @@ def decide_retraining(signals: DataFrame, policy=RetrainPolicy(), auto_retrain=F
 
     Expected columns: labeled_rows, scored_rows, mape, max_feature_psi, prediction_psi, drifted_features (array),
     n_drifted, days_since_training. ``n_drifted`` is NULL where there is no baseline to compare with; a NULL
-    ``days_since_training`` means never trained, so no cooldown applies. Every comparison is strict.
+    ``days_since_training`` means never trained, so no cooldown applies. Every comparison is strict. A NaN error, from
+    labelled rows without a finite prediction, counts as too large.
     """
     mape, labeled, scored = F.col("mape"), F.col("labeled_rows"), F.col("scored_rows")
     enough_labels = F.coalesce(labeled >= policy.min_labeled_rows, F.lit(False)) & mape.isNotNull()
     enough_rows = F.coalesce(scored >= policy.min_rows_for_drift, F.lit(False)) & F.col("n_drifted").isNotNull()
-    slow = enough_labels & _known(mape) & (mape > policy.max_mape)
+    slow = enough_labels & (F.isnan(mape) | (mape > policy.max_mape))
     shifted = enough_rows & (F.col("n_drifted") >= policy.min_drifted_features)
     psi = F.col("prediction_psi")
     moved = enough_rows & F.coalesce(_known(psi) & (psi > policy.max_prediction_psi), F.lit(False))
@@ -145,20 +142,20 @@ def decide_retraining(signals: DataFrame, policy=RetrainPolicy(), auto_retrain=F
     alert = slow | shifted | moved
 
     performance = (
-        F.when(~enough_labels, F.format_string(f"performance: %d labeled rows < {policy.min_labeled_rows}", labeled))
-        .when(slow, F.format_string(f"performance: mape %.4f > {policy.max_mape}", mape))
-        .otherwise(F.format_string("performance: mape %.4f ok", mape))
+        F.when(~enough_labels, F.format_string(f"errors not judged with %d of {policy.min_labeled_rows} labels", labeled))
+        .when(slow, F.format_string(f"mape %.4f is above {policy.max_mape}", mape))
+        .otherwise(F.format_string("mape %.4f is fine", mape))
     )
     names = F.array_join("drifted_features", ", ")
     data = (
-        F.when(~enough_rows, F.format_string(f"drift: %d scored rows < {policy.min_rows_for_drift}", scored))
-        .when(shifted, F.format_string(f"data drift: PSI > {policy.max_feature_psi} for [%s]", names))
-        .otherwise(F.format_string("data drift: max PSI %.3f ok", "max_feature_psi"))
+        F.when(~enough_rows, F.format_string(f"drift not judged with %d of {policy.min_rows_for_drift} scored rows", scored))
+        .when(shifted, F.format_string(f"PSI above {policy.max_feature_psi} in %s", names))
+        .otherwise(F.format_string("largest PSI %.3f is fine", "max_feature_psi"))
     )
-    output = F.when(moved, F.format_string(f"prediction drift: PSI %.3f > {policy.max_prediction_psi}", psi))
+    output = F.when(moved, F.format_string(f"PSI of predictions %.3f is above {policy.max_prediction_psi}", psi))
     waiting = F.when(
         alert & cooling,
-        F.format_string(f"cooldown: last training %.1fd ago < {policy.cooldown_days}d; not retraining", days),
+        F.format_string(f"too soon: trained %.1f of {policy.cooldown_days} days ago", days),
     )
     triggers = _texts(
         F.when(slow, F.lit("performance")),

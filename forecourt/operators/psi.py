@@ -1,7 +1,7 @@
 """Population stability index (PSI) of many columns at once.
 
-Both sides are read once and reduced to counts per distinct value; everything after that works on the counts. A value
-that a third of all rows share is one row by then, so no later step sees skew.
+Nothing is shuffled by value: every pass over a side ends in an aggregate whose groups are bounded (histogram cells, bins,
+categories), so its partial counts leave a task as few rows, however many rows share a value.
 """
 
 from functools import reduce
@@ -10,16 +10,16 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from ..functions.columns import number
-from ..staging import stage
 
 # Floor of a share, default number of quantile bins, drift threshold.
 SHARE_FLOOR = 1e-4
 BINS = 10
 DRIFT_THRESHOLD = 0.25
 
-# Resolution of the two histograms in front of the exact quantiles.
+# Resolution of the histograms in front of the exact quantiles, and how often a part is divided once more.
 _CELLS_PER_DECADE = 1000
 _CELLS_PER_RANGE = 4096
+_DIVISIONS = 3
 
 
 def known_values(df: DataFrame, columns, numeric) -> DataFrame:
@@ -44,9 +44,17 @@ def value_counts(reference: DataFrame, current: DataFrame, columns, numeric) ->
     )
 
 
-def number_counts(reference: DataFrame, current: DataFrame, columns) -> DataFrame:
-    """The counts of numeric columns, as a fixed copy because several passes follow. This runs one job."""
-    return stage(value_counts(reference, current, columns, numeric=True))
+def number_rows(reference: DataFrame, current: DataFrame, columns) -> DataFrame:
+    """``(feature, value, n_ref, n_cur)`` per known value and row of numeric columns; several passes read it in place."""
+    return (
+        known_values(reference, columns, numeric=True)
+        .select("*", F.lit(1).cast("long").alias("n_ref"), F.lit(0).cast("long").alias("n_cur"))
+        .unionByName(
+            known_values(current, columns, numeric=True).select(
+                "*", F.lit(0).cast("long").alias("n_ref"), F.lit(1).cast("long").alias("n_cur")
+            )
+        )
+    )
 
 
 def label_counts(reference: DataFrame, current: DataFrame, columns) -> DataFrame:
@@ -77,10 +85,10 @@ _RANGE_PART = f"""
 def exact_quantiles(counts: DataFrame, probabilities) -> DataFrame:
     """Linearly interpolated quantiles of ``(feature, value, n)`` rows as ``(feature, quantiles)``, in the order given.
 
-    ``counts`` has one row per distinct value. Exact, yet no task ever holds the distinct values of a feature, as
-    ``percentile`` would: the wanted ranks are located with a histogram whose cells are 1/1000 of a decade wide, the few
-    cells that hold a wanted rank are divided once more, and only values in the parts that remain are put in order. The
-    size of both histograms is bounded whatever the data.
+    Exact, yet no task ever holds the values of a feature, as ``percentile`` would: the wanted ranks are located with a
+    histogram whose cells are 1/1000 of a decade wide, the few cells that hold a wanted rank are divided into equal parts
+    of the range of their own values, those again, and only what remains is counted by value and put in order. The size
+    of every histogram is bounded whatever the data.
     """
     wanted = "array({})".format(", ".join(f"{float(q)!r}D" for q in probabilities))
     lower, upper = "floor((total - 1) * q)", "least(floor((total - 1) * q) + 1, total - 1)"
@@ -92,22 +100,22 @@ def exact_quantiles(counts: DataFrame, probabilities) -> DataFrame:
         return F.coalesce(F.sum("n").over(window), F.lit(0))
 
     size = [F.sum("n").alias("n"), F.min("value").alias("low"), F.max("value").alias("high")]
-    found = ["feature", "cell", "total", "below", "low", "high"]
-    rows = counts.withColumn("cell", F.expr(_MAGNITUDE_CELL))
-
-    coarse = rows.groupBy("feature", "cell").agg(*size).withColumns(
+    found = ["feature", "total", "below", "low", "high"]
+    coarse = counts.groupBy("feature", F.expr(_MAGNITUDE_CELL).alias("cell")).agg(*size).withColumns(
         {"total": F.sum("n").over(Window.partitionBy("feature")), "below": preceding("cell", "feature")}
     )
-    # Every probability keeps at most two cells per feature: this bounds both broadcasts.
-    coarse = coarse.where(f"size({ranks_here}) > 0").select(*found)
-
-    fine = rows.join(F.broadcast(coarse), ["feature", "cell"])
-    fine = fine.groupBy("feature", "cell", "total", "below", F.expr(_RANGE_PART).alias("part")).agg(*size)
-    fine = fine.withColumn("below", F.col("below") + preceding("part", "feature", "cell"))
-    fine = fine.where(f"size({ranks_here}) > 0").select(*found)
-
-    ordered = rows.join(F.broadcast(fine), ["feature", "cell"]).where("value BETWEEN low AND high")
-    ordered = ordered.withColumn("below", F.col("below") + preceding("value", "feature", F.col("below")))
+    # Every probability keeps at most two parts per feature: this bounds the broadcasts and what is read beside a part.
+    parts = coarse.where(f"size({ranks_here}) > 0").select(*found)
+    for _ in range(_DIVISIONS):
+        inside = counts.join(F.broadcast(parts), "feature").where("value BETWEEN low AND high")
+        finer = inside.groupBy("feature", "total", "below", F.expr(_RANGE_PART).alias("part")).agg(*size)
+        finer = finer.withColumn("start", F.col("below") + preceding("part", "feature", F.col("below")))
+        parts = finer.drop("below").withColumnRenamed("start", "below").where(f"size({ranks_here}) > 0").select(*found)
+
+    ordered = counts.join(F.broadcast(parts), "feature").where("value BETWEEN low AND high")
+    ordered = ordered.groupBy("feature", "total", "below", "value").agg(F.sum("n").alias("n"))
+    ordered = ordered.withColumn("start", F.col("below") + preceding("value", "feature", F.col("below")))
+    ordered = ordered.drop("below").withColumnRenamed("start", "below")
     at_rank = ordered.select("feature", "total", "value", F.explode(F.expr(ranks_here)).alias("r"))
     at_rank = at_rank.groupBy("feature", "total").agg(
         F.map_from_entries(F.collect_list(F.struct("r", "value"))).alias("at")
@@ -169,8 +177,8 @@ def side_totals(counts: DataFrame) -> DataFrame:
 
 def numeric_psi(reference: DataFrame, current: DataFrame, columns, bins=BINS) -> DataFrame:
     """``(feature, psi)`` of the numeric columns."""
-    counts = number_counts(reference, current, columns)
-    return psi_of_cells(bin_counts(counts, bins), side_totals(counts), columns)
+    binned = bin_counts(number_rows(reference, current, columns), bins)
+    return psi_of_cells(binned, side_totals(binned), columns)
 
 
 def categorical_psi(reference: DataFrame, current: DataFrame, columns) -> DataFrame:
@@ -195,8 +203,8 @@ def compute_drift(
     numeric = [*numeric_cols, *([prediction_col] if prediction_col else [])]
     parts = []
     if numeric:
-        counts = number_counts(reference, current, numeric)
-        parts.append((bin_counts(counts).drop("bin"), side_totals(counts)))
+        binned = bin_counts(number_rows(reference, current, numeric)).drop("bin")
+        parts.append((binned, side_totals(binned)))
     if categorical_cols:
         counts = label_counts(reference, current, categorical_cols)
         parts.append((counts.drop("value"), side_totals(counts)))

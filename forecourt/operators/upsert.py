@@ -49,11 +49,14 @@ def upsert(target: DataFrame, source: DataFrame, keys, update_cols=None, checked
 def backfill_labels(predictions: DataFrame, listings: DataFrame, key=LISTING_ID, label=LABEL) -> DataFrame:
     """Fills unknown labels of predictions, of every model version, from listings that have one by now.
 
-    A label once set is never changed and no row is added. Rows that already carry a label pass through a plain filter;
-    only the open ones are joined, to one label per listing. A listing with two rows makes the label ambiguous and fails.
+    A label once set is never changed and no row is added. Rows that already carry a label, and open ones without an id,
+    pass through plain filters; the others are joined to one label per listing, looked up for their ids only. A listing
+    with two labels that an open prediction waits for is ambiguous and fails.
     """
+    waiting = predictions.where(F.col(label).isNull() & F.col(key).isNotNull())
     labels = (
         listings.where(F.col(label).isNotNull())
+        .join(waiting.select(key).distinct(), key, "left_semi")
         .groupBy(key)
         .agg(F.max(label).alias("_label"), F.count("*").alias("_n"))
         .select(
@@ -61,10 +64,9 @@ def backfill_labels(predictions: DataFrame, listings: DataFrame, key=LISTING_ID,
             F.when(fail_unless(F.col("_n") == 1, "two labels for one listing"), F.col("_label")).alias("_label"),
         )
     )
-    done = predictions.where(F.col(label).isNotNull())
+    done = predictions.where(F.col(label).isNotNull() | F.col(key).isNull())
     filled = (
-        predictions.where(F.col(label).isNull())
-        .join(labels, key, "left")
+        waiting.join(labels, key, "left")
         .select(*[F.col("_label").alias(c) if c == label else c for c in predictions.columns])
     )
     return done.unionByName(filled)

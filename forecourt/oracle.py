@@ -9,6 +9,7 @@ from .schema import (
     MODEL_INPUT,
     PREDICTION_COLUMNS,
     RAW_COLUMNS,
+    REQUEST_COLUMNS,
 )
 from .sources.views import view_sql
 
@@ -24,6 +25,7 @@ POOL_MIN_ROWS = 400
 MAX_MAPE, MAX_MAE, MIN_R2 = 0.05, 2500.0, 0.90
 DAILY_MAX_MAPE, DAILY_MIN_ROWS = 0.06137, 5
 ALERTS_FROM = "1998-06-15"
+HOLDOUT_DAYS = 365
 
 _KEYS = "make, model, region"
 _AVERAGES = MARKET_FEATURES[1:]
@@ -31,8 +33,8 @@ _AVERAGES = MARKET_FEATURES[1:]
 
 def _with(body, *views, **ctes):
     """A statement over the named views and further common table expressions, in order."""
-    parts = [f"{v} AS ({view_sql(v)})" for v in ("listings", *[v for v in views if v != "listings"])]
-    parts += [f"{name} AS ({text})" for name, text in ctes.items()]
+    parts = [f"{v} AS MATERIALIZED ({view_sql(v)})" for v in ("listings", *[v for v in views if v != "listings"])]
+    parts += [f"{name} AS MATERIALIZED ({text})" for name, text in ctes.items()]
     return f"WITH {', '.join(parts)} {body}"
 
 
@@ -72,6 +74,7 @@ def _index_ctes(start, end):
 
 
 _YEAR_INDEX = _index_ctes(f"DATE '{INDEX_START}'", f"DATE '{INDEX_END}'")
+_FULL_INDEX = _index_ctes("(SELECT min(listing_date) + 1 FROM listings)", "(SELECT max(listing_date) FROM listings)")
 _INDEX_ROWS = f"SELECT {_KEYS}, index_date, {MARKET_FEATURES[0]}, {_round(*_AVERAGES)} FROM market_index"
 
 MARKET_INDEX = _with(_INDEX_ROWS, **_YEAR_INDEX)
@@ -95,12 +98,18 @@ def _asof(left):
 PIT_JOIN = _with(
     f"SELECT listing_id, listing_date, {_KEYS}, price, cast({MARKET_FEATURES[0]} AS double) AS {MARKET_FEATURES[0]}, "
     f"{_round(*_AVERAGES)} FROM joined",
-    **_YEAR_INDEX,
+    **_FULL_INDEX,
     joined=_asof("listings"),
 )
 LATEST_FEATURES = _with(
     f"SELECT {_KEYS}, index_date, {MARKET_FEATURES[0]}, {_round(*_AVERAGES)} FROM "
     f"(SELECT *, row_number() OVER (PARTITION BY {_KEYS} ORDER BY index_date DESC) AS rn FROM market_index) WHERE rn = 1",
+    **_FULL_INDEX,
+)
+MERGED_FROM = "1998-07-01"
+FEATURE_MERGE = _with(
+    f"SELECT {_KEYS}, index_date, {MARKET_FEATURES[0]} + CASE WHEN index_date >= DATE '{MERGED_FROM}' THEN 1 ELSE 0 END "
+    f"AS {MARKET_FEATURES[0]}, {_round(*_AVERAGES)} FROM market_index",
     **_YEAR_INDEX,
 )
 
@@ -136,10 +145,19 @@ DQ_GATE = _with(
 DQ_VALID = _with(f"SELECT * FROM listings_dirty WHERE NOT {_INVALID}", "listings_dirty")
 DQ_QUARANTINE = _with(f"SELECT {_AS_TEXT} FROM listings_dirty WHERE {_INVALID}", "listings_dirty")
 DQ_QUARANTINE_BY_ID = _with(
-    f"SELECT {_AS_TEXT} FROM feed WHERE listing_id IS NULL OR listing_id NOT IN "
-    f"(SELECT listing_id FROM feed WHERE NOT {_INVALID})",
+    f"SELECT {_AS_TEXT} FROM feed ANTI JOIN accepted USING (listing_id)",
     "listings_dirty",
     feed="SELECT * FROM listings UNION ALL SELECT * FROM listings_dirty",
+    accepted=f"SELECT DISTINCT listing_id FROM feed WHERE NOT {_INVALID} AND listing_id IS NOT NULL",
+)
+QUARANTINE_APPEND = _with(
+    f"SELECT {_AS_TEXT}, CASE WHEN listing_date < DATE '{PERIOD_START}' THEN 'early' ELSE 'late' END AS feed_id, "
+    f"'{AS_OF}' AS ingest_date FROM listings_dirty WHERE {_INVALID}",
+    "listings_dirty",
+)
+DQ_MISSING_COLUMNS = _with(
+    "SELECT count(*) AS total_rows, count(*) AS invalid_rows, 1::DOUBLE AS invalid_fraction, 'region,price' AS missing, "
+    "false AS passed FROM listings"
 )
 
 # --- dates and splits
@@ -169,7 +187,7 @@ MODEL_INPUT_COLUMNS = ", ".join(
     else f"cast({c} AS double) AS {c}" if c == MARKET_FEATURES[0] else c
     for c in MODEL_INPUT
 )
-MODEL_INPUT = _with(f"SELECT listing_id, {MODEL_INPUT_COLUMNS} FROM joined", **_YEAR_INDEX, joined=_asof("listings"))
+MODEL_INPUT = _with(f"SELECT listing_id, {MODEL_INPUT_COLUMNS} FROM joined", **_FULL_INDEX, joined=_asof("listings"))
 
 _AGE = "CASE WHEN year(listing_date) - year < 0 THEN 0 ELSE year(listing_date) - year END"
 _MILES = "CASE WHEN mileage < 0 THEN 0 ELSE mileage END"
@@ -195,7 +213,7 @@ REQUEST_FEATURES = _with(
     + ", ".join(f"coalesce({c}, 'None') AS {c}" for c in CATEGORICAL)
     + " FROM paced",
     "listings_dirty",
-    **_YEAR_INDEX,
+    **_FULL_INDEX,
     joined=_asof("listings_dirty"),
     aged=f"SELECT *, {_AGE} AS age, {_MILES} AS miles FROM joined",
     paced=f"SELECT *, miles / cast(CASE WHEN age > 0 THEN age ELSE {NEW_CAR_AGE} END AS double) AS pace FROM aged",
@@ -224,6 +242,13 @@ METRICS_BY_VERSION = _with(
     "predictions",
     metrics=_BY_VERSION,
 )
+_BAD = "model_version = '2' AND num_owners = 6"
+METRICS_BAD_PREDICTION = _with(
+    "SELECT model_version, count(*) AS n_rows, CASE WHEN count(*) = count(p) THEN round(avg(abs(p - price)), 6) END AS mae, "
+    "count(*) = count(p) AS known, false AS promote FROM spoilt WHERE price IS NOT NULL GROUP BY model_version",
+    "predictions",
+    spoilt=f"SELECT *, CASE WHEN {_BAD} THEN NULL ELSE predicted_price END AS p FROM predictions",
+)
 MONITOR_METRICS = _with(
     f"SELECT count(price) AS labeled_rows, count(*) AS scored_rows, {_ERROR_COLUMNS} FROM predictions "
     f"WHERE model_version = '1' AND {_IN_WINDOW}",
@@ -243,7 +268,7 @@ def _profile_part(name):
 SLICED_PROFILE = _with(" UNION ALL ".join(map(_profile_part, ["all", "make", "body_type", "region"])), "predictions")
 PREDICTION_SANITY = _with(
     "SELECT model_version, n_rows, 0::BIGINT AS non_finite, non_positive, CASE WHEN non_positive > 0 "
-    "THEN concat(non_positive, ' non-positive predictions') ELSE '' END AS failure_text, non_positive = 0 AS passed "
+    "THEN concat(non_positive, ' predictions at or below zero') ELSE '' END AS failure_text, non_positive = 0 AS passed "
     "FROM (SELECT model_version, count(*) AS n_rows, "
     f"count(*) FILTER (WHERE predicted_price - {LOWERED_BY} <= 0) AS non_positive FROM predictions GROUP BY 1)",
     "predictions",
@@ -366,7 +391,7 @@ DRIFT_SUMMARY = _with(
 # --- upserts, backfill, snapshots
 
 UPSERT_ALL = _with(
-    "SELECT * FROM stored WHERE listing_id NOT IN (SELECT listing_id FROM fresh) UNION ALL SELECT * FROM fresh",
+    "SELECT * FROM stored ANTI JOIN fresh USING (listing_id) UNION ALL SELECT * FROM fresh",
     stored=f"SELECT * FROM listings WHERE listing_date < DATE '{STORED_UNTIL}'",
     fresh=f"SELECT * REPLACE (price * 2 AS price) FROM listings WHERE listing_date >= DATE '{FRESH_FROM}'",
 )
@@ -377,12 +402,14 @@ def _partial(column):
         return "coalesce(f.predicted_price, s.predicted_price) AS predicted_price"
     if column == "scored_at":
         return "cast(coalesce(f.scored_at, s.scored_at) AS varchar) AS scored_at"
-    return f"CASE WHEN s.listing_id IS NOT NULL THEN s.{column} ELSE f.{column} END AS {column}"
+    return f"s.{column}"
 
 
+_FRESH_COLUMNS = ", ".join("cast(scored_at AS varchar) AS scored_at" if c == "scored_at" else c for c in PREDICTION_COLUMNS)
 UPSERT_PARTIAL = _with(
-    f"SELECT {', '.join(map(_partial, PREDICTION_COLUMNS))} FROM stored s FULL OUTER JOIN fresh f "
-    "ON s.listing_id = f.listing_id AND s.model_version = f.model_version",
+    f"SELECT {', '.join(map(_partial, PREDICTION_COLUMNS))} FROM stored s LEFT JOIN fresh f "
+    "ON s.listing_id = f.listing_id AND s.model_version = f.model_version "
+    f"UNION ALL SELECT {_FRESH_COLUMNS} FROM fresh ANTI JOIN stored USING (listing_id, model_version)",
     "predictions",
     stored=f"SELECT * FROM predictions WHERE listing_date < DATE '{STORED_UNTIL}'",
     fresh="SELECT * REPLACE (predicted_price * 2 AS predicted_price, cast(NULL AS double) AS price, "
@@ -425,6 +452,13 @@ PROMOTION_DECISION = _with(
     "predictions",
     metrics=_BY_VERSION,
 )
+PROMOTION_SAME_VERSION = _with(
+    "SELECT '2' AS challenger, cast(NULL AS varchar) AS champion, round(mape, 6) AS challenger_value, "
+    "cast(NULL AS double) AS champion_value, cast(NULL AS double) AS required_value, true AS promote, "
+    "'no other version to compare with' AS reason FROM metrics WHERE model_version = '2'",
+    "predictions",
+    metrics=_BY_VERSION,
+)
 _HISTORY = {
     **_drift_ctes(
         f"SELECT *, {_IS_REF} AS is_ref FROM predictions WHERE model_version = '1' AND ({_IS_REF} OR {_IN_WINDOW})"
@@ -452,6 +486,9 @@ HISTORY_ROW = _with(
     "predictions",
     **_HISTORY,
 )
+HISTORY_MERGE = HISTORY_ROW.replace(
+    "retrain_recommended, retrain_triggered FROM decided", "retrain_recommended, retrain_recommended AS retrain_triggered FROM decided"
+)
 ALERT_COUNT = _with(
     f"SELECT count(*) AS alerts FROM daily WHERE labeled_rows >= {DAILY_MIN_ROWS} AND mape > {DAILY_MAX_MAPE} "
     f"AND run_date >= DATE '{ALERTS_FROM}' - 1",
@@ -459,3 +496,22 @@ ALERT_COUNT = _with(
     daily="SELECT listing_date AS run_date, count(price) AS labeled_rows, "
     f"{_ERRORS['mape']} AS mape FROM predictions WHERE model_version = '1' GROUP BY listing_date",
 )
+
+# --- model: what can be said without the model
+
+_HELD_OUT = f"listing_date >= (SELECT max(listing_date) FROM listings_priced) - {HOLDOUT_DAYS - 1}"
+_HELD_COLUMNS = ", ".join(f"{_CALENDAR[c]} AS {c}" if c in _CALENDAR else c for c in REQUEST_COLUMNS)
+TRAIN_SCORE = _with(
+    f"SELECT listing_id, listing_date, {_HELD_COLUMNS}, '1' AS model_version, true AS sane FROM listings_priced "
+    f"WHERE NOT {_INVALID} AND {_HELD_OUT}",
+    "listings_priced",
+)
+TRAIN_EVALUATE = _with(
+    f"SELECT count(*) AS n_rows, true AS r2_ok, true AS mape_ok FROM listings_priced WHERE NOT {_INVALID} AND {_HELD_OUT}",
+    "listings_priced",
+)
+COLD_START_SCORE = _with(
+    f"SELECT listing_id, '__unseen_region__' AS region, true AS sane FROM listings_priced WHERE NOT {_INVALID} AND {_HELD_OUT} "
+    "ORDER BY listing_id LIMIT 5",
+    "listings_priced",
+)

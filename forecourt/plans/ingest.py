@@ -9,6 +9,7 @@ from ..operators.calendar import as_date
 from ..operators.quality import enforce_gate, filter_valid, quarantine, validate_listings
 from ..schema import LISTING_DATE, LISTING_ID, RAW_COLUMNS, RAW_LISTINGS
 from ..sources.tables import create_table, merge_table, write_quarantine
+from ..staging import stage
 
 # Days of history a run loads, for a new and for an existing table; largest share of invalid rows.
 FIRST_BACKFILL_DAYS = 365
@@ -23,14 +24,27 @@ def feed_window(feed: DataFrame, run_date, table_existed, first_days=FIRST_BACKF
     return feed.where(F.col(LISTING_DATE).between(run_date - dt.timedelta(days=span - 1), run_date))
 
 
+def feed_digest(feed: DataFrame) -> str:
+    """A name for a feed by its content, whatever the order of its rows."""
+    row = feed.agg(F.count("*").alias("n"), F.sum(F.xxhash64(*feed.columns).cast("decimal(38,0)")).alias("s")).first()
+    return f"{row.n}-{row.s}"
+
+
 def ingest(
-    spark: SparkSession, feed: DataFrame, tables, run_date, *, max_invalid_fraction=MAX_INVALID_FRACTION, by_id=True
-):
-    """Lands a feed in the listings table and gives the quality report row. A failed gate writes nothing."""
-    create_table(spark, tables.listings, RAW_LISTINGS, partition_by=LISTING_DATE)
+    spark: SparkSession, feed: DataFrame, tables, run_date, *, max_invalid_fraction=MAX_INVALID_FRACTION, by_id=True,
+    windowed=False, feed_id=None,
+):
+    """Lands a feed in the listings table and gives the quality report row. A failed gate writes nothing.
+
+    The feed is read once: gate, merge and quarantine all see the same copy. ``windowed`` takes only the dates a run is
+    due to load, for a feed that is a table with all history. ``feed_id`` names the feed in the quarantine, where a rerun
+    replaces that feed's rows of the date and no other's; without it a digest of the content does.
+    """
+    existed = create_table(spark, tables.listings, RAW_LISTINGS, partition_by=LISTING_DATE)
+    feed = stage(feed_window(feed, run_date, existed) if windowed else feed)
     report = enforce_gate(validate_listings(feed, as_of=run_date), max_invalid_fraction)
     valid = filter_valid(feed, as_of=run_date).select(*RAW_COLUMNS)
     merge_table(spark, tables.listings, valid, [LISTING_ID])
-    if report["invalid_rows"]:
-        write_quarantine(spark, tables.quarantine, quarantine(feed, by_id=by_id, as_of=run_date), run_date)
+    held = quarantine(feed, by_id=by_id, as_of=run_date)
+    write_quarantine(spark, tables.quarantine, held, run_date, feed_id or feed_digest(feed))
     return report

@@ -23,7 +23,7 @@ from ..schema import (
     PREDICTION,
     RUN_DATE,
 )
-from ..sources.tables import clustered, create_table, merge_table, replace_partitions
+from ..sources.tables import create_table, merge_table, replace_partitions
 from ..staging import stage
 
 # Fixed value: length of the monitoring window.
@@ -88,12 +88,13 @@ def backfill(spark: SparkSession, tables):
     """Fills labels that have arrived. Only partitions with an open prediction that now has a label are rewritten."""
     predictions = spark.table(tables.predictions)
     labels = spark.table(tables.listings).where(F.col(LABEL).isNotNull()).select(LISTING_ID, LABEL)
-    open_rows = predictions.where(F.col(LABEL).isNull()).select(LISTING_ID, LISTING_DATE)
+    open_rows = predictions.where(F.col(LABEL).isNull() & F.col(LISTING_ID).isNotNull()).select(LISTING_ID, LISTING_DATE)
+    # The labels that open rows wait for are few; both steps below use this copy.
+    labels = stage(labels.join(open_rows.select(LISTING_ID).distinct(), LISTING_ID, "left_semi"))
     dates = [r[0] for r in open_rows.join(labels, LISTING_ID, "left_semi").select(LISTING_DATE).distinct().collect()]
     if dates:
         content = stage(backfill_labels(predictions.where(F.col(LISTING_DATE).isin(dates)), labels))
-        laid_out = clustered(content, LISTING_DATE, LISTING_ID, MODEL_VERSION)
-        replace_partitions(spark, tables.predictions, laid_out, LISTING_DATE, [])
+        replace_partitions(spark, tables.predictions, content, LISTING_DATE, [], [LISTING_ID, MODEL_VERSION])
 
 
 def monitor(

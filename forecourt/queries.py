@@ -4,6 +4,7 @@ Averages, logarithms and PSI values are rounded to 6 digits on both sides, becau
 orders. Money is compared as stored.
 """
 
+import datetime as dt
 import uuid
 
 from pyspark.sql import functions as F
@@ -17,6 +18,7 @@ from .operators.pooling import pooled_categories
 from .operators.price_model import TrainingParams, evaluate_model, score_batch, train_model
 from .operators.upsert import backfill_labels, upsert
 from .plans.monitoring import champion_window, drift_of_window, drift_rows, history_row
+from .plans.training import decide_on_scores
 from .schema import (
     CATEGORICAL,
     DRIFT_CATEGORICAL,
@@ -26,16 +28,30 @@ from .schema import (
     LISTING_DATE,
     LISTING_ID,
     MARKET_FEATURES,
+    MARKET_INDEX,
     MARKET_KEYS,
     MODEL_VERSION,
+    PERFORMANCE_HISTORY,
     PREDICTION,
     RAW_COLUMNS,
+    RAW_LISTINGS,
+    REQUEST_COLUMNS,
     RUN_DATE,
     SCORED_AT,
 )
 from .session import checkpoint_dir
 from .sources.listings_csv import read_listings_csv
-from .sources.tables import clustered, latest_snapshot, read_snapshot, refresh_baseline, write_snapshot
+from .sources.tables import (
+    clustered,
+    create_like,
+    create_table,
+    latest_snapshot,
+    merge_table,
+    read_snapshot,
+    refresh_baseline,
+    write_quarantine,
+    write_snapshot,
+)
 from .sources.views import view
 
 AS_OF = sql.AS_OF
@@ -63,17 +79,24 @@ def _folder(spark):
     return f"{checkpoint_dir(spark)}/check-{uuid.uuid4().hex}"
 
 
-def _index(listings):
+def _year_index(listings):
     source = market_index.index_input(listings, sql.INDEX_START, sql.INDEX_END)
     return market_index.compute_market_index(source, sql.INDEX_START, sql.INDEX_END)
 
 
+def _index(listings):
+    """The index over the whole history: from the day after the first listing to the day of the last one."""
+    first, last = listings.agg(F.min(LISTING_DATE), F.max(LISTING_DATE)).first()
+    start = first + dt.timedelta(days=1)
+    return market_index.compute_market_index(market_index.index_input(listings, start, last), start, last)
+
+
 # --- market index and as-of join
 
 
 @query(sql.MARKET_INDEX)
 def market_index_year(spark, sf_dir):
-    return _rounded(_index(view(spark, sf_dir, "listings")), *MARKET_FEATURES[1:])
+    return _rounded(_year_index(view(spark, sf_dir, "listings")), *MARKET_FEATURES[1:])
 
 
 @query(sql.FIRST_RUN)
@@ -132,6 +155,27 @@ def dq_quarantine(spark, sf_dir):
     return quality.as_text(quality.quarantine(view(spark, sf_dir, "listings_dirty"), as_of=AS_OF))
 
 
+@query(sql.QUARANTINE_APPEND)
+def quarantine_append(spark, sf_dir):
+    # Two feeds of one day, and a rerun of the first: neither replaces the other.
+    held = quality.quarantine(view(spark, sf_dir, "listings_dirty"), as_of=AS_OF)
+    early = F.col(LISTING_DATE) < F.lit(sql.PERIOD_START).cast("date")
+    name = f"held_{uuid.uuid4().hex}"
+    for feed_id, rows in (("early", held.where(early)), ("late", held.where(~early)), ("early", held.where(early))):
+        write_quarantine(spark, name, rows, AS_OF, feed_id)
+    return spark.table(name).select(*RAW_COLUMNS, "feed_id", F.col("ingest_date").cast("string").alias("ingest_date"))
+
+
+@query(sql.DQ_MISSING_COLUMNS)
+def dq_missing_columns(spark, sf_dir):
+    path = _folder(spark)
+    listings = view(spark, sf_dir, "listings").drop("region", LABEL).withColumn("note", F.lit("extra"))
+    listings.select(*reversed(listings.columns)).write.option("header", True).csv(path)
+    report = quality.gate(quality.validate_listings(read_listings_csv(spark, path), as_of=AS_OF), 0.02)
+    missing = F.array_join("missing_columns", ",").alias("missing")
+    return report.select("total_rows", "invalid_rows", "invalid_fraction", missing, "passed")
+
+
 @query(sql.DQ_QUARANTINE_BY_ID)
 def dq_quarantine_by_id(spark, sf_dir):
     # The feed holds every listing twice, as it is and with the damage of the dirty view, so ids do collide.
@@ -199,6 +243,17 @@ def metrics_by_version(spark, sf_dir):
     return _rounded(metrics, "mae", "rmse", "mape", "r2")
 
 
+@query(sql.METRICS_BAD_PREDICTION)
+def metrics_bad_prediction(spark, sf_dir):
+    # The second version gives no prediction for some labelled rows: its metrics are unknown and it isn't promoted.
+    bad = (F.col(MODEL_VERSION) == "2") & (F.col("num_owners") == 6)
+    scored = view(spark, sf_dir, "predictions").withColumn(PREDICTION, F.when(~bad, F.col(PREDICTION)))
+    metrics = regression.regression_metrics(scored, by=[MODEL_VERSION])
+    metrics = metrics.select(MODEL_VERSION, "n_rows", F.round(F.nanvl("mae", F.lit(None).cast("double")), 6).alias("mae"))
+    decided = decide_on_scores(scored, "2", "1").select("promote")
+    return metrics.withColumn("known", F.col("mae").isNotNull()).withColumn("promote", decided.scalar())
+
+
 @query(sql.MONITOR_METRICS)
 def monitor_metrics(spark, sf_dir):
     window = champion_window(view(spark, sf_dir, "predictions"), "1", sql.RUN_DATE, sql.WINDOW_DAYS)
@@ -235,13 +290,13 @@ def numeric_psi(spark, sf_dir):
 
 @query(sql.QUANTILE_EDGES)
 def quantile_edges(spark, sf_dir):
-    counts = psi.number_counts(*_periods(view(spark, sf_dir, "listings")), [*DRIFT_NUMERIC, LABEL])
+    counts = psi.number_rows(*_periods(view(spark, sf_dir, "listings")), [*DRIFT_NUMERIC, LABEL])
     return psi.quantile_edges(counts).select("feature", F.posexplode("edges").alias("position", "edge"))
 
 
 @query(sql.HISTOGRAM_SHARES)
 def histogram_shares(spark, sf_dir):
-    counts = psi.number_counts(*_periods(view(spark, sf_dir, "listings")), [*DRIFT_NUMERIC, LABEL])
+    counts = psi.number_rows(*_periods(view(spark, sf_dir, "listings")), [*DRIFT_NUMERIC, LABEL])
     return psi.bin_counts(counts)
 
 
@@ -334,7 +389,8 @@ def snapshot_read(spark, sf_dir):
 @query(sql.LISTINGS)
 def csv_source(spark, sf_dir):
     path = _folder(spark)
-    view(spark, sf_dir, "listings").select(*RAW_COLUMNS).write.option("header", True).csv(path)
+    # The header's names count, not their order.
+    view(spark, sf_dir, "listings").select(*sorted(RAW_COLUMNS)).write.option("header", True).csv(path)
     return read_listings_csv(spark, path)
 
 
@@ -345,6 +401,38 @@ def table_layout(spark, sf_dir):
     return date_window(spark.read.parquet(path), sql.RUN_DATE, sql.WINDOW_DAYS)
 
 
+@query(sql.DATE_WINDOW)
+def create_and_merge(spark, sf_dir):
+    name, copy = f"made_{uuid.uuid4().hex}", f"like_{uuid.uuid4().hex}"
+    rows = date_window(view(spark, sf_dir, "listings"), sql.RUN_DATE, sql.WINDOW_DAYS)
+    create_table(spark, name, RAW_LISTINGS)
+    merge_table(spark, name, rows.withColumn(LABEL, F.lit(0.0)), [LISTING_ID])
+    create_like(spark.table(name), copy)
+    for source in (spark.table(name), rows):
+        merge_table(spark, copy, source, [LISTING_ID])
+    return spark.table(copy)
+
+
+@query(sql.FEATURE_MERGE)
+def feature_merge(spark, sf_dir):
+    name, index = f"index_{uuid.uuid4().hex}", _year_index(view(spark, sf_dir, "listings"))
+    create_table(spark, name, MARKET_INDEX)
+    later = index.where(F.col(INDEX_DATE) >= F.lit(sql.MERGED_FROM).cast("date"))
+    for rows in (index, later.withColumn(MARKET_FEATURES[0], F.col(MARKET_FEATURES[0]) + 1)):
+        merge_table(spark, name, rows, [*MARKET_KEYS, INDEX_DATE])
+    return _rounded(spark.table(name), *MARKET_FEATURES[1:])
+
+
+@query(sql.HISTORY_MERGE)
+def history_merge(spark, sf_dir):
+    # A run and its rerun, which may retrain: one row stays, the later one.
+    name = f"history_{uuid.uuid4().hex}"
+    create_table(spark, name, PERFORMANCE_HISTORY)
+    for auto_retrain in (False, True):
+        merge_table(spark, name, _history(spark, sf_dir, auto_retrain), [RUN_DATE])
+    return _rounded(spark.table(name).drop("reason"), "mae", "rmse", "mape", "max_feature_psi", "prediction_psi")
+
+
 @query(sql.BASELINE_REFRESH)
 def baseline_refresh(spark, sf_dir):
     predictions, name = view(spark, sf_dir, "predictions"), f"baseline_{uuid.uuid4().hex}"
@@ -379,15 +467,22 @@ def promotion_decision(spark, sf_dir):
     return _rounded(decided.drop("reason"), "challenger_value", "champion_value", "required_value")
 
 
-def _history(spark, sf_dir):
+@query(sql.PROMOTION_SAME_VERSION)
+def promotion_same_version(spark, sf_dir):
+    decided = decisions.decide_promotion(_metrics(spark, sf_dir), "2", "2")
+    return _rounded(decided, "challenger_value", "champion_value", "required_value")
+
+
+def _history(spark, sf_dir, auto_retrain=False):
     predictions = view(spark, sf_dir, "predictions")
     champion = predictions.where(F.col(MODEL_VERSION) == "1")
     baseline = champion.where(F.col(LISTING_DATE) < F.lit(sql.PERIOD_START).cast("date"))
     window = champion_window(predictions, "1", sql.RUN_DATE, sql.WINDOW_DAYS)
     versions = predictions.groupBy(MODEL_VERSION).agg(F.min(SCORED_AT).alias("trained_at"))
     return history_row(
-        window, drift_of_window(baseline, window), versions, "1", sql.RUN_DATE, AS_OF, window_days=sql.WINDOW_DAYS
-    )
+        window, drift_of_window(baseline, window), versions, "1", sql.RUN_DATE, AS_OF, window_days=sql.WINDOW_DAYS,
+        auto_retrain=auto_retrain,
+    )
 
 
 @query(sql.RETRAIN_DECISION)
@@ -425,30 +520,44 @@ def alert_count(spark, sf_dir):
 
 # --- model
 
+#: Fits of a session by input: the three queries below look at one model.
+_FITS = {}
+#: Larger steps and so fewer trees than the defaults, which are for millions of rows; all labelled rows take part.
+FIT = TrainingParams(max_iter=60, learning_rate=0.2)
+
+
+def _fit(spark, sf_dir):
+    key = (spark.sparkContext.applicationId, sf_dir)
+    priced = view(spark, sf_dir, "listings_priced")
+    index = _index(priced)
+    train, holdout, _ = time_based_split(priced, sql.HOLDOUT_DAYS)
+    holdout = quality.filter_valid(holdout, as_of=AS_OF)
+    if key not in _FITS:
+        _FITS[key] = train_model(point_in_time_join(quality.filter_valid(train, as_of=AS_OF), index), FIT)
+    return _FITS[key], holdout, index
+
 
-def _fast_fit(spark, sf_dir):
-    listings = quality.filter_valid(view(spark, sf_dir, "listings_priced"), as_of=AS_OF)
-    index = _index(view(spark, sf_dir, "listings_priced"))
-    train, holdout, _ = time_based_split(listings, 365)
-    params = TrainingParams(max_iter=5, learning_rate=0.5, max_depth=4, early_stopping=False)
-    return train_model(point_in_time_join(train, index), params), holdout, index
+def _sane(prediction=PREDICTION):
+    p = F.col(prediction)
+    return (p.isNotNull() & ~F.isnan(p) & (p > 0) & (p < float("inf"))).alias("sane")
 
 
-@query()
+@query(sql.TRAIN_SCORE)
 def train_score(spark, sf_dir):
-    model, holdout, index = _fast_fit(spark, sf_dir)
+    model, holdout, index = _fit(spark, sf_dir)
     scored = score_batch(model, holdout, index, "1", scored_at=AS_OF)
-    return scored.withColumn(SCORED_AT, F.col(SCORED_AT).cast("string"))
+    return scored.select(LISTING_ID, LISTING_DATE, *REQUEST_COLUMNS, MODEL_VERSION, _sane())
 
 
-@query()
+@query(sql.TRAIN_EVALUATE)
 def train_evaluate(spark, sf_dir):
-    model, holdout, index = _fast_fit(spark, sf_dir)
-    return evaluate_model(model, point_in_time_join(holdout, index))
+    model, holdout, index = _fit(spark, sf_dir)
+    found = evaluate_model(model, point_in_time_join(holdout, index))
+    return found.select("n_rows", (F.col("r2") > 0.85).alias("r2_ok"), (F.col("mape") < 0.15).alias("mape_ok"))
 
 
-@query()
+@query(sql.COLD_START_SCORE)
 def cold_start_score(spark, sf_dir):
-    model, holdout, index = _fast_fit(spark, sf_dir)
+    model, holdout, index = _fit(spark, sf_dir)
     scored = score_batch(model, model_input.cold_start_probe(holdout), index, "1", scored_at=AS_OF)
-    return scored.select(LISTING_ID, "region", PREDICTION)
+    return scored.select(LISTING_ID, "region", _sane())

@@ -29,10 +29,29 @@ DRIFT_NUMERIC = ["year", "mileage", "engine_size_l", "num_owners"]
 DRIFT_CATEGORICAL = ["make", "body_type", "fuel_type", "condition", "region"]
 CONDITIONS = ["excellent", "good", "fair", "poor"]
 
-RAW_COLUMNS = [LISTING_ID, LISTING_DATE] + CATEGORICAL + NUMERIC + [LABEL]
-REQUEST_COLUMNS = CALENDAR + CATEGORICAL + NUMERIC
-MODEL_INPUT = REQUEST_COLUMNS + MARKET_FEATURES
-PREDICTION_COLUMNS = [LISTING_ID, LISTING_DATE] + REQUEST_COLUMNS + [PREDICTION, LABEL, MODEL_VERSION, SCORED_AT]
+RAW_COLUMNS = [LISTING_ID, LISTING_DATE, *CATEGORICAL, *NUMERIC, LABEL]
+REQUEST_COLUMNS = [*CALENDAR, *CATEGORICAL, *NUMERIC]
+MODEL_INPUT = [*REQUEST_COLUMNS, *MARKET_FEATURES]
+PREDICTION_COLUMNS = [LISTING_ID, LISTING_DATE, *REQUEST_COLUMNS, PREDICTION, LABEL, MODEL_VERSION, SCORED_AT]
+# Columns of the monitoring history.
+PERFORMANCE_COLUMNS = [
+    "run_date",
+    "window_start",
+    "model_version",
+    "labeled_rows",
+    "scored_rows",
+    "mae",
+    "rmse",
+    "mape",
+    "max_feature_psi",
+    "prediction_psi",
+    "drifted_features",
+    "triggers",
+    "alert_triggered",
+    "retrain_recommended",
+    "retrain_triggered",
+    "reason",
+]
 
 _TYPES = {
     LISTING_DATE: T.DateType(),
@@ -53,8 +72,7 @@ _TYPES.update(
 )
 _TYPES.update(
     dict.fromkeys(
-        ["engine_size_l", LABEL, PREDICTION, *MARKET_FEATURES[1:], "mae", "rmse", "mape", "psi"]
-        + ["max_feature_psi", "prediction_psi"],
+        ["engine_size_l", LABEL, PREDICTION, *MARKET_FEATURES[1:], "mae", "rmse", "mape", "psi", "max_feature_psi", "prediction_psi"],
         T.DoubleType(),
     )
 )
@@ -68,9 +86,5 @@ def layout(columns, required=()):
 RAW_LISTINGS = layout(RAW_COLUMNS, required=[LISTING_ID, LISTING_DATE])
 MARKET_INDEX = layout([*MARKET_KEYS, INDEX_DATE, *MARKET_FEATURES], required=[*MARKET_KEYS, INDEX_DATE])
 PREDICTIONS = layout(PREDICTION_COLUMNS)
-PERFORMANCE_HISTORY = layout(
-    [RUN_DATE, "window_start", MODEL_VERSION, "labeled_rows", "scored_rows", "mae", "rmse", "mape"]
-    + ["max_feature_psi", "prediction_psi", "drifted_features", "triggers", "alert_triggered"]
-    + ["retrain_recommended", "retrain_triggered", "reason"]
-)
+PERFORMANCE_HISTORY = layout(PERFORMANCE_COLUMNS)
 DRIFT_HISTORY = layout([RUN_DATE, MODEL_VERSION, "feature", "psi", "drifted"])

@@ -24,9 +24,14 @@ def local_session(app="forecourt", master="local[*]", shuffle_partitions=8, **co
 
 
 def checkpoint_dir(spark):
-    """The shared folder named by ``spark.checkpoint.dir``; a private folder only where none is set (local runs)."""
+    """The shared folder named by ``spark.checkpoint.dir``; a private folder where none is set and the master is local.
+
+    On a cluster a folder of the driver's own disk would be seen by no executor, so a missing setting is an error there.
+    """
     folder = spark.conf.get("spark.checkpoint.dir", None) or spark.sparkContext.getCheckpointDir()
     if folder is None:
+        if not spark.sparkContext.master.startswith("local["):
+            raise RuntimeError("set spark.checkpoint.dir to a folder that all executors share")
         folder = tempfile.mkdtemp(prefix="forecourt-checkpoint-")
     if spark.sparkContext.getCheckpointDir() is None:
         spark.sparkContext.setCheckpointDir(folder)

@@ -1,15 +1,19 @@
 """Listing feeds as CSV files."""
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
 from ..schema import RAW_LISTINGS
 
 
 def read_listings_csv(spark: SparkSession, path) -> DataFrame:
-    """A feed with a header line, read with the contract's types.
+    """A feed with a header line: contract columns in contract order and type, then any others as text.
 
-    Nothing is inferred, which would cost a pass and could differ from feed to feed. Columns are matched by position in
-    the contract's order and a header that differs stops the read; a cell that does not fit its type becomes NULL, which
-    the quality rules then report.
+    Columns are matched by the names in the header, in any order. An absent one stays absent, which the quality gate
+    reports; a cell that does not fit its type becomes NULL, which the quality rules report. No type is inferred, which
+    would cost a pass and could differ from feed to feed.
     """
-    return spark.read.schema(RAW_LISTINGS).option("header", True).option("enforceSchema", False).csv(path)
+    text = spark.read.option("header", True).option("inferSchema", False).csv(path)
+    known = [f for f in RAW_LISTINGS.fields if f.name in text.columns]
+    others = [c for c in text.columns if c not in RAW_LISTINGS.names]
+    return text.select(*[F.col(f.name).try_cast(f.dataType).alias(f.name) for f in known], *others)

@@ -3,13 +3,8 @@
 The same text serves Spark, over parquet files, and the SQL checks, over tables registered under their own names.
 """
 
-import uuid
-
 from pyspark.sql import DataFrame, SparkSession
 
-from ..session import checkpoint_dir
-from .tables import clustered
-
 BASE_TABLES = ["lineitem", "part", "supplier", "nation", "region"]
 
 LISTINGS = """
@@ -75,9 +70,9 @@ SELECT listing_id, listing_date, make, model, body_type, fuel_type, transmission
 FROM {listings}
 """
 
-# The two model versions of the predictions view: Spark repeats each row in place, plain SQL joins a two-row table.
+# The two model versions of the predictions view: Spark repeats each row in place, plain SQL unnests a list.
 _VERSIONS_SPARK = "LATERAL VIEW explode(array('1', '2')) v AS model_version"
-_VERSIONS_SQL = "CROSS JOIN (SELECT '1' AS model_version UNION ALL SELECT '2' AS model_version) v"
+_VERSIONS_SQL = ", unnest(['1', '2']) v(model_version)"
 
 _DERIVED = {"listings_dirty": LISTINGS_DIRTY, "predictions": PREDICTIONS, "listings_priced": LISTINGS_PRICED}
 
@@ -89,27 +84,9 @@ def view_sql(name) -> str:
     return _DERIVED[name].format(listings="listings", versions=_VERSIONS_SQL)
 
 
-_landed = {}
-
-
-def land_listings(spark: SparkSession, sf_dir) -> str:
-    """Path of the listings as a table at rest, laid out by date as ingestion lays it out; written once per session.
-
-    The operators take such a table as their input. It is a plain copy of the ``listings`` view over the given files,
-    in the shared folder.
-    """
-    key = (spark.sparkContext.applicationId, sf_dir)
-    if key not in _landed:
-        source = spark.sql(LISTINGS.format(**{t: f"parquet.`{sf_dir}/{t}.parquet`" for t in BASE_TABLES}))
-        path = f"{checkpoint_dir(spark)}/listings-{uuid.uuid4().hex}"
-        clustered(source, "listing_date", "listing_id").write.parquet(path)
-        _landed[key] = path
-    return _landed[key]
-
-
 def view(spark: SparkSession, sf_dir, name) -> DataFrame:
-    """An input view over the tables in ``sf_dir``."""
-    listings = f"parquet.`{land_listings(spark, sf_dir)}`"
+    """An input view over the tables in ``sf_dir``, read in place by whatever uses it."""
+    listings = LISTINGS.format(**{t: f"parquet.`{sf_dir}/{t}.parquet`" for t in BASE_TABLES})
     if name == "listings":
-        return spark.sql(f"SELECT * FROM {listings}")
-    return spark.sql(_DERIVED[name].format(listings=listings, versions=_VERSIONS_SPARK))
+        return spark.sql(listings)
+    return spark.sql(_DERIVED[name].format(listings=f"({listings})", versions=_VERSIONS_SPARK))

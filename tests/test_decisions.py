@@ -25,20 +25,20 @@ def promoted(spark, new, old=None, **kw):
 
 def test_first_model_is_promoted(spark):
     row = promoted(spark, 0.1)
-    assert row.promote and row.reason == "no existing champion" and row.champion is None
+    assert row.promote and row.reason == "no other version to compare with" and row.champion is None
 
 
 def test_a_version_is_not_compared_with_itself(spark):
     row = decide_promotion(metrics(spark, v2=0.5), "v2", "v2").first()
-    assert row.promote and row.reason == "no existing champion"
+    assert row.promote and row.reason == "no other version to compare with"
 
 
 def test_lower_is_better(spark):
     row = promoted(spark, 0.09, 0.10)
-    assert row.promote and row.reason == "challenger mape=0.0900 beats required 0.1000 (champion 0.1000)"
+    assert row.promote and row.reason == "mape 0.0900 is good enough: needed 0.1000, champion has 0.1000"
     assert promoted(spark, 0.10, 0.10).promote
     row = promoted(spark, 0.11, 0.10)
-    assert not row.promote and "does not beat" in row.reason
+    assert not row.promote and "not good enough" in row.reason
     assert not promoted(spark, float("nan"), 0.10).promote
 
 
@@ -73,14 +73,14 @@ def decide(spark, mape=0.06, labeled=500, scored=500, drifted=(), max_psi=0.02,
 def test_healthy_model(spark):
     d = decide(spark)
     assert not d.retrain_recommended and not d.alert_triggered and d.triggers == []
-    assert d.reason == "performance: mape 0.0600 ok; data drift: max PSI 0.020 ok"
+    assert d.reason == "mape 0.0600 is fine; largest PSI 0.020 is fine"
 
 
 def test_each_trigger(spark):
     assert decide(spark, mape=0.2).triggers == ["performance"]
     d = decide(spark, mape=None, labeled=0, drifted=["mileage"], max_psi=0.6)
     assert d.retrain_recommended and d.triggers == ["data_drift"]
-    assert "performance: 0 labeled rows < 100" in d.reason and "for [mileage]" in d.reason
+    assert "errors not judged with 0 of 100 labels" in d.reason and "above 0.25 in mileage" in d.reason
     assert decide(spark, prediction_psi=0.4).triggers == ["prediction_drift"]
     assert decide(spark, mape=0.2, drifted=["a"], prediction_psi=0.4).triggers == [
         "performance",
@@ -95,6 +95,11 @@ def test_limits_are_strict(spark):
     assert decide(spark, mape=0.2, days=3.0).retrain_recommended
 
 
+def test_an_unknown_error_of_labelled_rows_is_an_alert(spark):
+    d = decide(spark, mape=float("nan"))
+    assert d.triggers == ["performance"] and d.retrain_recommended
+
+
 def test_unknown_prediction_psi_is_no_trigger(spark):
     assert decide(spark, prediction_psi=float("nan")).triggers == []
     assert decide(spark, prediction_psi=None).triggers == []
@@ -102,8 +107,8 @@ def test_unknown_prediction_psi_is_no_trigger(spark):
 
 def test_cooldown_blocks_retraining_but_not_the_alert(spark):
     d = decide(spark, mape=0.2, days=1.0)
-    assert not d.retrain_recommended and d.alert_triggered and "cooldown: last training 1.0d ago" in d.reason
-    assert "cooldown" not in decide(spark, days=1.0).reason
+    assert not d.retrain_recommended and d.alert_triggered and "too soon: trained 1.0 of 3 days ago" in d.reason
+    assert "too soon" not in decide(spark, days=1.0).reason
 
 
 def test_too_few_rows_ignore_all_signals(spark):
@@ -113,7 +118,7 @@ def test_too_few_rows_ignore_all_signals(spark):
 
 def test_without_baseline_only_performance_counts(spark):
     d = decide(spark, prediction_psi=None, max_psi=None, base=False)
-    assert d.triggers == [] and "drift: 500 scored rows" in d.reason
+    assert d.triggers == [] and "drift not judged with 500 of 100 scored rows" in d.reason
     assert decide(spark, mape=0.2, prediction_psi=None, max_psi=None, base=False).triggers == ["performance"]
 
 

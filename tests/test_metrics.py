@@ -4,6 +4,7 @@ import math
 import pytest
 
 from forecourt.operators.decisions import check_prediction_sanity, check_thresholds, combine, Thresholds
+from forecourt.plans.training import decide_on_scores
 from forecourt.operators.regression import monitor_metrics, prediction_sanity, regression_metrics, sliced_profile
 
 
@@ -40,6 +41,22 @@ def test_empty_input_fails(spark):
         regression_metrics(pairs(spark, [(None, 1.0)])).collect()
 
 
+@pytest.mark.parametrize("bad", [None, float("nan"), float("inf")])
+def test_a_labelled_row_without_a_prediction_spoils_the_metrics(spark, bad):
+    rows = [(80.0, 90.0), (60.0, 55.0), (70.0, bad), (None, 1.0)]
+    m = metrics(spark, rows)
+    assert m.n_rows == 3 and all(math.isnan(m[c]) for c in ("mae", "rmse", "mape", "r2"))
+    assert math.isnan(monitor_metrics(pairs(spark, rows)).first().mae)
+    versions = spark.createDataFrame(
+        [("1", *r) for r in [(80.0, 95.0), (60.0, 40.0)]] + [("2", *r) for r in rows],
+        "model_version string, price double, predicted_price double",
+    )
+    decided = decide_on_scores(versions, "2", "1").first()
+    assert not decided.promote and decided.reason == "1 predictions missing or not finite"
+    assert not decide_on_scores(versions, "2").first().promote
+    assert decide_on_scores(versions, "1", "2").first().promote is False  # the champion's value is unknown
+
+
 def test_one_pass_over_all_versions(spark):
     df = spark.createDataFrame(
         [("1", 100.0, 110.0), ("2", 100.0, 101.0)], "model_version string, price double, predicted_price double"
@@ -84,9 +101,9 @@ def sanity(spark, values):
 
 def test_prediction_sanity(spark):
     assert sanity(spark, [1.0, 2.0]).sanity_failures == []
-    assert sanity(spark, []).sanity_failures == ["model produced no predictions"]
-    assert sanity(spark, [1.0, float("inf"), float("nan")]).sanity_failures == ["2 non-finite predictions"]
-    assert sanity(spark, [1.0, -3.0]).sanity_failures == ["1 non-positive predictions"]
+    assert sanity(spark, []).sanity_failures == ["nothing was scored"]
+    assert sanity(spark, [1.0, float("inf"), float("nan")]).sanity_failures == ["2 predictions missing or not finite"]
+    assert sanity(spark, [1.0, -3.0]).sanity_failures == ["1 predictions at or below zero"]
 
 
 def checked(spark, mape, mae, r2, thresholds=Thresholds()):

@@ -20,12 +20,12 @@ from forecourt.plans.ingest import feed_window, ingest
 from forecourt.plans.monitoring import monitor
 from forecourt.plans.names import Tables
 from forecourt.plans.scoring import score
-from forecourt.plans.training import promote, train, validate_model
+from forecourt.plans.training import promote, promote_on_latest, train, validate_model
 from forecourt.sources.tables import refresh_baseline
 
 END = dt.date(2026, 6, 30)
 FAST = TrainingParams(max_iter=10, learning_rate=0.4, max_depth=4, min_rows_per_leaf=5, early_stopping=False)
-BASE = {"Toyota": 30000, "Honda": 26000, "BMW": 52000}
+BASE = {"Norvik": 28000, "Halden": 24500, "Ostra": 47000}
 
 
 def market(n_days, per_day, end=END, factor=1.0, seed=1):
@@ -38,7 +38,7 @@ def market(n_days, per_day, end=END, factor=1.0, seed=1):
             price = BASE[make] * factor * math.exp(-0.1 * age - 2e-6 * miles) * rng.uniform(0.95, 1.05)
             rows.append(
                 listing(f"{day}-{i}", day, make=make, year=day.year - age, mileage=miles, price=round(price, 2),
-                        region=rng.choice(["west", "east"]), num_owners=1 + rng.randrange(3))
+                        region=rng.choice(["north", "south"]), num_owners=1 + rng.randrange(3))
             )
     return rows
 
@@ -67,7 +67,7 @@ def test_the_model_learns_the_signal(model_and_data):
 
 def test_unseen_categories_score_and_the_model_survives_saving(model_and_data, tmp_path):
     model, holdout, _ = model_and_data
-    unseen = holdout.limit(3).withColumn("make", F.lit("Rivian")).withColumn("model", F.lit("R1S"))
+    unseen = holdout.limit(3).withColumn("make", F.lit("Unheard")).withColumn("model", F.lit("Of"))
     unseen = unseen.withColumn("market_avg_log_price_30d", F.lit(None).cast("double"))
     model.write().overwrite().save(str(tmp_path / "model"))
     again = PipelineModel.load(str(tmp_path / "model"))
@@ -87,8 +87,8 @@ def test_rare_categories_are_pooled(spark, make_listings):
     rows = [listing(i) for i in range(12)] + [listing(20 + i, make=f"rare{i}") for i in range(3)]
     df = make_listings(rows)
     pooled = {r.category: (r.n_values, r.n_rows) for r in pooled_categories(df, ["make"]).collect()}
-    assert pooled == {"Toyota": (1, 12), RARE: (3, 3)}
-    assert vocabulary(df)[0] == ["Toyota"]
+    assert pooled == {"Norvik": (1, 12), RARE: (3, 3)}
+    assert vocabulary(df)[0] == ["Norvik"]
 
 
 def test_validation_and_promotion(model_and_data):
@@ -101,6 +101,17 @@ def test_validation_and_promotion(model_and_data):
     assert decided.promote and decided.challenger_value == decided.champion_value
 
 
+def test_promotion_on_the_latest_rows_renews_the_baseline(spark, model_and_data, make_listings):
+    model, _, index = model_and_data
+    spark.sql("CREATE DATABASE IF NOT EXISTS latest")
+    tables = Tables("latest")
+    make_listings(market(12, 10, seed=9)).write.saveAsTable(tables.listings)
+    index.write.saveAsTable(tables.index)
+    decision = promote_on_latest(spark, tables, {"7": model}, "7", holdout_days=5, as_of=END)
+    baseline = spark.table(tables.baseline)
+    assert decision.promote and baseline.count() == 50 and {r[0] for r in baseline.select("model_version").collect()} == {"7"}
+
+
 def test_daily_pipeline(spark, make_listings):
     spark.sql("CREATE DATABASE IF NOT EXISTS daily")
     tables = Tables("daily")
@@ -157,6 +168,25 @@ def test_daily_pipeline(spark, make_listings):
     assert spark.table(tables.drift).where("drifted").first().feature == "year"
 
 
+def test_feeds_of_one_day_stand_side_by_side(spark, make_listings):
+    spark.sql("CREATE DATABASE IF NOT EXISTS feeds")
+    tables = Tables("feeds")
+    first = make_listings(market(2, 60) + [listing("bad", END, price=1.0), listing("older", END - dt.timedelta(days=9))])
+    for _ in range(2):
+        ingest(spark, first, tables, END, windowed=True, max_invalid_fraction=0.1)
+
+    def held():
+        return sorted(r.listing_id for r in spark.table(tables.quarantine).collect())
+
+    # The table is there by the second run, which takes the last day only; both runs see the same bad row.
+    assert spark.table(tables.listings).count() == 121
+    assert set(held()) == {"id-bad"}
+    ingest(spark, make_listings(market(1, 60, seed=4) + [listing("worse", END, price=2.0)]), tables, END, feed_id="b")
+    assert set(held()) == {"id-bad", "id-worse"}
+    ingest(spark, make_listings(market(1, 20)), tables, END, feed_id="b")
+    assert set(held()) == {"id-bad"}
+
+
 def test_market_features_help_after_a_price_jump(spark, make_listings, tmp_path):
     path = str(tmp_path / "jump")
     later = END + dt.timedelta(days=62)

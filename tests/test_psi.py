@@ -10,7 +10,7 @@ from forecourt.operators.psi import (
     drift_summary,
     exact_quantiles,
     frequency,
-    number_counts,
+    number_rows,
     numeric_psi,
     quantile_edges,
 )
@@ -55,6 +55,7 @@ SHAPES = {
     "hot": np.append(np.full(400, 7.25), rng.random(100) * 100),
     "two": np.array([1.5, 2.5]),
     "one": np.array([3.0]),
+    "crowded": np.append(np.linspace(1.0, 1.0 + 2e-9, 499), 1.0005),
 }
 
 
@@ -70,14 +71,17 @@ def test_quantiles_equal_numpy_exactly(spark):
 
 
 def test_constant_reference(spark):
-    ref = frame(spark, x=[1.0] * 100)
-    assert psi_of(numeric_psi(ref, frame(spark, x=[1.0] * 50), ["x"]))["x"] == pytest.approx(0, abs=1e-6)
-    assert psi_of(numeric_psi(ref, frame(spark, x=[2.0] * 50), ["x"]))["x"] > 0.25
+    # All of the reference is one value: what counts is the share of the current rows that differ from it.
+    ref, half = frame(spark, x=[7.5] * 40), frame(spark, x=[7.5] * 15 + [7.0, 8.0] * 15)
+    assert psi_of(numeric_psi(ref, frame(spark, x=[7.5] * 9), ["x"]))["x"] == pytest.approx(0, abs=1e-9)
+    share = 2 / 3
+    want = (1 - share - 1) * math.log(1 - share) + (share - 1e-4) * math.log(share / 1e-4)
+    assert psi_of(numeric_psi(ref, half, ["x"]))["x"] == pytest.approx(want)
 
 
 def test_two_edges_give_no_drift(spark):
     ref, cur = frame(spark, x=[0.0] * 96 + [5.0] * 4), frame(spark, x=[9.0] * 10)
-    counts = number_counts(ref, cur, ["x"])
+    counts = number_rows(ref, cur, ["x"])
     assert quantile_edges(counts).first().edges == [0.0, 5.0]
     assert psi_of(numeric_psi(ref, cur, ["x"]))["x"] == 0
 
@@ -97,25 +101,31 @@ def test_unknown_values_do_not_count(spark):
 
 
 def test_categories(spark):
-    ref = frame(spark, c=["a"] * 50 + ["b"] * 50)
+    ref = frame(spark, c=["red"] * 6 + ["blue"] * 3 + ["gray"])
     assert psi_of(categorical_psi(ref, ref, ["c"]))["c"] == pytest.approx(0)
-    assert psi_of(categorical_psi(ref, frame(spark, c=["a"] * 90 + ["b"] * 10), ["c"]))["c"] > 0.25
-    assert psi_of(categorical_psi(ref, frame(spark, c=["c"] * 100), ["c"]))["c"] > 1
+    swapped = frame(spark, c=["red"] * 3 + ["blue"] * 6 + ["gray"])
+    assert psi_of(categorical_psi(ref, swapped, ["c"]))["c"] == pytest.approx(0.6 * math.log(2))
+    gone = frame(spark, c=["red"] * 6 + ["blue"] * 3 + ["green"])
+    assert psi_of(categorical_psi(ref, gone, ["c"]))["c"] == pytest.approx(2 * (0.1 - 1e-4) * math.log(0.1 / 1e-4))
     shares = {r.value: r["share"] for r in frequency(frame(spark, c=["a", "a", "b", None]), ["c"]).collect()}
     assert shares == pytest.approx({"a": 2 / 3, "b": 1 / 3})
 
 
-def test_only_the_shifted_feature_is_reported(spark):
-    x, moved = rng.normal(0, 1, 1000), rng.normal(2, 1, 1000)
-    c = ["a", "b"] * 500
-    ref, cur = frame(spark, x=x, c=c, pred=x * 2), frame(spark, x=moved, c=c, pred=moved * 2)
-    drift = compute_drift(ref, cur, numeric_cols=["x"], categorical_cols=["c"], prediction_col="pred")
-    rows = {r.feature: r for r in drift.collect()}
-    assert rows["x"].drifted and not rows["c"].drifted
-    assert rows["pred"].psi > 0.25 and rows["pred"].is_prediction and not rows["pred"].drifted
+def test_each_column_is_judged_by_itself(spark):
+    # Ages rise by half, fuel and miles stay, the guess follows the age: two drifts, of which one is the prediction's.
+    age, miles = rng.gamma(3, 2, 700), rng.uniform(0, 9e4, 700)
+    fuel = (["petrol"] * 4 + ["electric"] * 3) * 100
+    ref = frame(spark, age=age, miles=miles, fuel=fuel, guess=9000 - 400 * age)
+    cur = frame(spark, age=age * 1.5 + 2, miles=rng.permutation(miles), fuel=fuel[::-1], guess=9000 - 400 * (age * 1.5 + 2))
+    drift = compute_drift(ref, cur, numeric_cols=["miles", "age"], categorical_cols=["fuel"], prediction_col="guess")
+    by_name = {r.feature: (r.drifted, r.is_prediction, r.psi) for r in drift.collect()}
+    assert {n: v[:2] for n, v in by_name.items()} == {
+        "age": (True, False), "miles": (False, False), "fuel": (False, False), "guess": (False, True),
+    }
+    assert by_name["guess"][2] > 0.25 and by_name["miles"][2] == pytest.approx(0) == by_name["fuel"][2]
     summary = drift_summary(drift).first()
-    assert summary.drifted_features == ["x"] and summary.n_drifted == 1
-    assert (summary.max_feature_psi, summary.prediction_psi) == (rows["x"].psi, rows["pred"].psi)
+    assert (summary.n_drifted, summary.drifted_features) == (1, ["age"])
+    assert summary.prediction_psi == by_name["guess"][2] and summary.max_feature_psi == by_name["age"][2]
 
 
 def test_summary_without_any_known_psi(spark):
