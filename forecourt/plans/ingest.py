@@ -9,7 +9,7 @@ from ..operators.calendar import as_date
 from ..operators.quality import enforce_gate, filter_valid, quarantine, validate_listings
 from ..schema import LISTING_DATE, LISTING_ID, RAW_COLUMNS, RAW_LISTINGS
 from ..sources.tables import create_table, merge_table, write_quarantine
-from ..staging import stage
+from ..staging import staged
 
 # Days of history a run loads, for a new and for an existing table; largest share of invalid rows.
 FIRST_BACKFILL_DAYS = 365
@@ -41,10 +41,10 @@ def ingest(
     replaces that feed's rows of the date and no other's; without it a digest of the content does.
     """
     existed = create_table(spark, tables.listings, RAW_LISTINGS, partition_by=LISTING_DATE)
-    feed = stage(feed_window(feed, run_date, existed) if windowed else feed)
-    report = enforce_gate(validate_listings(feed, as_of=run_date), max_invalid_fraction)
-    valid = filter_valid(feed, as_of=run_date).select(*RAW_COLUMNS)
-    merge_table(spark, tables.listings, valid, [LISTING_ID])
-    held = quarantine(feed, by_id=by_id, as_of=run_date)
-    write_quarantine(spark, tables.quarantine, held, run_date, feed_id or feed_digest(feed))
+    with staged(feed_window(feed, run_date, existed) if windowed else feed) as feed:
+        report = enforce_gate(validate_listings(feed, as_of=run_date), max_invalid_fraction)
+        valid = filter_valid(feed, as_of=run_date).select(*RAW_COLUMNS)
+        merge_table(spark, tables.listings, valid, [LISTING_ID])
+        held = quarantine(feed, by_id=by_id, as_of=run_date)
+        write_quarantine(spark, tables.quarantine, held, run_date, feed_id or feed_digest(feed))
     return report

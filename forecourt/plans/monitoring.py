@@ -24,7 +24,7 @@ from ..schema import (
     RUN_DATE,
 )
 from ..sources.tables import create_table, merge_table, replace_partitions
-from ..staging import stage
+from ..staging import staged
 
 # Fixed value: length of the monitoring window.
 WINDOW_DAYS = 7
@@ -90,11 +90,11 @@ def backfill(spark: SparkSession, tables):
     labels = spark.table(tables.listings).where(F.col(LABEL).isNotNull()).select(LISTING_ID, LABEL)
     open_rows = predictions.where(F.col(LABEL).isNull() & F.col(LISTING_ID).isNotNull()).select(LISTING_ID, LISTING_DATE)
     # The labels that open rows wait for are few; both steps below use this copy.
-    labels = stage(labels.join(open_rows.select(LISTING_ID).distinct(), LISTING_ID, "left_semi"))
-    dates = [r[0] for r in open_rows.join(labels, LISTING_ID, "left_semi").select(LISTING_DATE).distinct().collect()]
-    if dates:
-        content = stage(backfill_labels(predictions.where(F.col(LISTING_DATE).isin(dates)), labels))
-        replace_partitions(spark, tables.predictions, content, LISTING_DATE, [], [LISTING_ID, MODEL_VERSION])
+    with staged(labels.join(open_rows.select(LISTING_ID).distinct(), LISTING_ID, "left_semi")) as labels:
+        dates = [r[0] for r in open_rows.join(labels, LISTING_ID, "left_semi").select(LISTING_DATE).distinct().collect()]
+        if dates:
+            with staged(backfill_labels(predictions.where(F.col(LISTING_DATE).isin(dates)), labels)) as content:
+                replace_partitions(spark, tables.predictions, content, LISTING_DATE, [], [LISTING_ID, MODEL_VERSION])
 
 
 def monitor(
@@ -114,6 +114,6 @@ def monitor(
         policy=policy, window_days=window_days, auto_retrain=auto_retrain,
     )
     create_table(spark, tables.performance, PERFORMANCE_HISTORY)
-    row = stage(row)
-    merge_table(spark, tables.performance, row, [RUN_DATE])
-    return row.first()
+    with staged(row) as row:
+        merge_table(spark, tables.performance, row, [RUN_DATE])
+        return row.first()

@@ -13,7 +13,7 @@ from ..operators.quality import filter_valid
 from ..operators.regression import prediction_sanity, regression_metrics
 from ..schema import LABEL, LISTING_DATE, LISTING_ID, MODEL_VERSION, PREDICTION
 from ..sources.tables import refresh_baseline
-from ..staging import stage
+from ..staging import stage, staged
 
 # History used for training and length of the holdout.
 LOOKBACK_DAYS = 365
@@ -103,11 +103,11 @@ def promote_on_latest(spark, tables, models, challenger, champion=None, *, holdo
     Returns the decision row.
     """
     rows = evaluation_window(spark.table(tables.listings), spark.table(tables.index), holdout_days=holdout_days, as_of=as_of)
-    rows = stage(rows)
-    decision = promote(models, rows, challenger, champion, **policy).first()
-    if decision["promote"]:
-        refresh_baseline(
-            spark, tables.baseline, challenger,
-            lambda: predict(models[challenger], rows).withColumn(MODEL_VERSION, F.lit(str(challenger))),
-        )
+    with staged(rows) as rows:
+        decision = promote(models, rows, challenger, champion, **policy).first()
+        if decision["promote"]:
+            refresh_baseline(
+                spark, tables.baseline, challenger,
+                lambda: predict(models[challenger], rows).withColumn(MODEL_VERSION, F.lit(str(challenger))),
+            )
     return decision
