@@ -23,7 +23,7 @@ from .shared import binary_column
 BLANK = "▁"
 #: Segmentations looked at; batches of text; distinct units a worker remembers; what a character in bytes costs beyond
 #: the worst piece; scores from which a piece is never to be used.
-BEST, BATCH, REMEMBERED, PENALTY = 2, 4 << 20, 800_000, 10.0
+BEST, BATCH, REMEMBERED, PENALTY = 2, 4 << 20, 1_500_000, 10.0
 NEVER = -1e8
 
 
@@ -46,48 +46,68 @@ class Lattice:
                     raise ValueError("a piece holds a blank behind its front")
                 self.pieces[name] = (i, model.get_score(i))
                 self.bytes_of[i] = name.replace(BLANK, " ").encode()
-        self.longest = max(map(len, self.pieces))
+        # Character by character: (id and score of the piece that ends here or None, what may follow).
+        self.trie = {}
+        for name in sorted(self.pieces):
+            below = self.trie
+            for c in name[:-1]:
+                below = below.setdefault(c, (None, {}))[1]
+            below[name[-1]] = (self.pieces[name], below.get(name[-1], (None, {}))[1])
         # Pieces that are never to be used have a score beyond all others'.
         self.worst = min(s for _, s in self.pieces.values() if s > NEVER) - PENALTY
 
     def forward(self, unit):
         """(best score before each position, edges (start, ids, score) that end at each position)."""
-        get, longest = self.pieces.get, self.longest
-        score, edges = [0.0], [[]]
-        for end in range(1, len(unit) + 1):
-            found, best = [], None
-            for start in range(max(0, end - longest), end):
-                piece = get(unit[start:end])
+        size = len(unit)
+        score, edges = [NEVER * 1e3] * (size + 1), [[] for _ in range(size + 1)]
+        score[0] = 0.0
+        for start in range(size):
+            before, end, below = score[start], start, self.trie
+            for c in unit[start:]:
+                node = below.get(c)
+                if node is None:
+                    break
+                piece, below = node
+                end += 1
                 if piece is not None:
-                    found.append((start, piece[0], piece[1]))
-                    total = score[start] + piece[1]
-                    if best is None or total > best:
-                        best = total
-            if best is None or not any(e[0] == end - 1 for e in found):
-                spelled = tuple(self.byte_id[b] for b in unit[end - 1].encode())
-                found.append((end - 1, spelled, self.worst))
-                total = score[end - 1] + self.worst
-                best = total if best is None else max(best, total)
-            score.append(best)
-            edges.append(found)
+                    number, gain = piece
+                    edges[end].append((start, number, gain))
+                    if before + gain > score[end]:
+                        score[end] = before + gain
+                elif end == start + 1:
+                    self._spell(unit, start, score, edges)
+            if end == start:
+                self._spell(unit, start, score, edges)
         return score, edges
 
+    def _spell(self, unit, start, score, edges):
+        """An edge of byte pieces over one character."""
+        edges[start + 1].append((start, tuple(self.byte_id[b] for b in unit[start].encode()), self.worst))
+        score[start + 1] = max(score[start + 1], score[start] + self.worst)
+
     def best(self, unit, n=BEST):
         """The ``n`` best segmentations of a unit as (score, ids); equal scores in order of discovery."""
         score, edges = self.forward(unit)
+        push, pop = heapq.heappush, heapq.heappop
         heap, made, out = [(-score[-1], 0, len(unit), 0.0, None)], 0, []
-        while heap and len(out) < n:
-            _, _, end, behind, path = heapq.heappop(heap)
+        while heap:
+            _, _, end, behind, path = pop(heap)
             if end == 0:
                 ids = []
                 while path is not None:
                     piece, path = path
-                    ids.extend(piece) if isinstance(piece, tuple) else ids.append(piece)
+                    if isinstance(piece, tuple):
+                        ids.extend(piece)
+                    else:
+                        ids.append(piece)
                 out.append((behind, ids))
+                if len(out) == n:
+                    break
                 continue
             for start, piece, gain in edges[end]:
                 made += 1
-                heapq.heappush(heap, (-(score[start] + behind + gain), made, start, behind + gain, (piece, path)))
+                gain += behind
+                push(heap, (-score[start] - gain, made, start, gain, (piece, path)))
         return out
 
 
