@@ -4,10 +4,13 @@ import glob
 import os
 import subprocess
 import sys
+from collections import Counter
 
 import duckdb
 import pytest
 from llm_cases import docs, odd, sample  # noqa: F401
+from test_dedup import brute_components, brute_exact, brute_fingerprint
+from test_tokens import WORDS, crc, expected_tokens
 
 import __spark_entry__ as entry_point
 import corpus_pipeline
@@ -42,21 +45,62 @@ def test_every_operator_has_a_query_over_its_whole_table(spark):
             assert rows == sizes["pages" if name[:4] in ("op4_", "op8_") else "documents"], name
 
 
-def test_pipeline_stages_in_order(spark):
-    docs_ = spark.read.parquet(f"{SMALL}/documents.parquet")
-    columns, ids, sizes = docs_.columns, {r.doc_id for r in docs_.select("doc_id").collect()}, []
+def uncovered(rows):
+    """id -> text without the characters that lie whole in repeated 50-byte strings, by brute force."""
+    first = {}
+    for i, t in rows:
+        for k in range(len(t.encode()) - 49):
+            gram = t.encode()[k : k + 50]
+            first[gram] = min(first.get(gram, i), i)
+    out = {}
+    for i, t in rows:
+        data = t.encode()
+        cover = bytearray(len(data))
+        for k in range(len(data) - 49):
+            if first[data[k : k + 50]] < i:
+                cover[k : k + 50] = b"\1" * 50
+        kept, at = [], 0
+        for c in t:
+            n = len(c.encode())
+            kept.append("" if all(cover[at : at + n]) else c)
+            at += n
+        out[i] = "".join(kept)
+    return out
+
+
+def test_pipeline_stages_against_brute_force(spark):
     names = [n for n, _ in corpus_pipeline.STAGES]
     assert names == ["quality_rules", "exact_dedup", "simhash_dedup", "suffix_dedup", "packing"]
-    for _, stage in corpus_pipeline.STAGES[:-1]:
-        docs_ = stage(spark, docs_, SMALL).persist()
-        assert docs_.columns == columns
-        left = {r.doc_id for r in docs_.select("doc_id").collect()}
-        assert left <= ids and docs_.count() == len(left)
-        ids = left
-        sizes.append(len(left))
-    assert 200 > sizes[0] > sizes[1] >= sizes[2] == sizes[3] > 100
-    pieces = corpus_pipeline.run(spark, SMALL)
-    assert {r.doc_id for r in pieces.select("doc_id").distinct().collect()} == ids
+    docs_ = spark.read.parquet(f"{SMALL}/documents.parquet")
+    columns, tables = docs_.columns, [docs_]
+    for _, stage in corpus_pipeline.STAGES:
+        tables.append(stage(spark, tables[-1], SMALL).persist())
+    texts = [{r.doc_id: r.text for r in t.collect()} for t in tables[:5]]
+    assert all(t.columns == columns and t.count() == len(x) for t, x in zip(tables[:5], texts))
+
+    rules = queries.QUERIES["op5_quality_rules"](spark, SMALL)
+    assert texts[1] == {r.doc_id: texts[0][r.doc_id] for r in rules.where("kept").collect()}
+    assert {r.doc_id for r in rules.where("base_failed").collect()} and len(texts[1]) < len(texts[0])
+
+    exact = {keep for _, keep, _, _, _ in brute_exact(list(texts[1].items()))}
+    assert texts[2] == {i: texts[1][i] for i in exact} and len(texts[2]) < len(texts[1])
+
+    marks = {i: brute_fingerprint(t) for i, t in texts[2].items()}
+    links = [(a, b) for a in marks for b in marks if a < b and (marks[a] ^ marks[b]).bit_count() <= 3]
+    label = brute_components(links)
+    assert set(texts[3]) == {label.get(i, i) for i in marks}
+
+    assert texts[4] == uncovered(list(texts[3].items()))
+    assert sum(map(len, texts[4].values())) < sum(map(len, texts[3].values()))
+    assert {r.doc_id: r.n_chars for r in tables[4].collect()} == {i: len(t) for i, t in texts[4].items()}
+
+    whole = dict(expected_tokens(list(texts[4].items()), WORDS))
+    pieces = tables[5].collect()
+    assert Counter(r.doc_id for r in pieces if r.start == 0) == Counter(whole)
+    for r in pieces:
+        assert r.ids_crc32 == crc(whole[r.doc_id][r.start : r.start + r.length])
+    assert sum(r.length for r in pieces) == sum(map(len, whole.values()))
+    assert Counter(tuple(r)[:5] for r in corpus_pipeline.run(spark, SMALL).collect()) == Counter(tuple(r)[:5] for r in pieces)
 
 
 def test_the_rest_works_without_this_package(tmp_path):
