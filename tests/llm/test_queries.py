@@ -96,7 +96,7 @@ def test_pipeline_stages_against_brute_force(spark):
 
     whole = dict(expected_tokens(list(texts[4].items()), WORDS))
     pieces = tables[5].collect()
-    assert Counter(r.doc_id for r in pieces if r.start == 0) == Counter(whole)
+    assert Counter(r.doc_id for r in pieces if r.start == 0) == Counter(list(whole))
     for r in pieces:
         assert r.ids_crc32 == crc(whole[r.doc_id][r.start : r.start + r.length])
     assert sum(r.length for r in pieces) == sum(map(len, whole.values()))
