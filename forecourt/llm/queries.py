@@ -10,7 +10,7 @@ from .segments import described
 from .shared import folder, importable
 from .simhash import simhash_groups
 from .suffix_dedup import repeated_passages
-from .token_files import read_token_files, with_checksums, write_token_files
+from .token_files import token_checksums, write_token_files
 from .url_filter import Rule, judge_urls
 from .warc import read_archives, write_archives
 
@@ -64,7 +64,7 @@ def op1_exact_dedup(spark, sf_dir):
 def op2_token_files(spark, sf_dir):
     at = folder(spark, "tokens")
     manifest = write_token_files(table(spark, sf_dir, "documents"), tokenizer("byte_bpe_50k.json"), at)
-    return with_checksums(read_token_files(manifest, at))
+    return token_checksums(manifest, at)
 
 
 @query()

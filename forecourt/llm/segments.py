@@ -18,12 +18,12 @@ import pyarrow as pa
 import sentencepiece
 from pyspark.sql import functions as F
 
-from .shared import binary_column
+from .shared import FORGET, binary_column
 
 BLANK = "▁"
 #: Segmentations looked at; batches of text; distinct units a worker remembers; what a character in bytes costs beyond
 #: the worst piece; scores from which a piece is never to be used.
-BEST, BATCH, REMEMBERED, PENALTY = 2, 4 << 20, 1_500_000, 10.0
+BEST, BATCH, REMEMBERED, PENALTY = 2, 4 << 20, 1_000_000, 10.0
 NEVER = -1e8
 
 
@@ -192,6 +192,9 @@ def units(path):
     return UnitTable(path)
 
 
+FORGET.append(units.cache_clear)
+
+
 ENCODED = "doc_id long, ids array<int>, score double, gap double"
 
 

@@ -46,8 +46,26 @@ def binary_column(batch, name):
     return [v or b"" for v in column.to_pylist()]
 
 
+#: Functions that drop what a Python worker remembers from task to task.
+FORGET = []
+
+
+def forget():
+    """Called where a worker turns to work of another kind, so that tables of different operators don't add up."""
+    for drop in FORGET:
+        drop()
+
+
+#: Rows of an Arrow batch, where the session leaves Spark's default of 10,000: rows of whole texts are large.
+BATCH_ROWS = 1000
+
+
 def importable(spark):
-    """Lets Python workers import this package where it isn't installed: they get the folder it was imported from."""
+    """Readies a session for these operators: lets Python workers import this package where it isn't installed (they get
+    the folder it was imported from), and keeps Arrow batches of texts small unless the session says otherwise."""
     root = posixpath.dirname(posixpath.dirname(posixpath.dirname(posixpath.abspath(__file__))))
     spark.sparkContext.environment.setdefault("PYTHONPATH", root)
+    key = "spark.sql.execution.arrow.maxRecordsPerBatch"
+    if spark.conf.get(key) == "10000":
+        spark.conf.set(key, str(BATCH_ROWS))
     return spark

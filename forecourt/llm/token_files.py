@@ -21,13 +21,14 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import Window
 from pyspark.sql import functions as F
+from tokenizers import Tokenizer
 
 from .shared import file_system, fixed, folder, put_file
 from .tokens import encoded
 
 MAGIC, END = b"TOKRANK1", 2
 #: Bytes of text per file.
-FILE_BYTES = 16 << 20
+FILE_BYTES = 8 << 20
 
 #: Length of each of four values by control byte.
 LENGTHS = np.array([[(c >> 2 * k & 3) + 1 for k in range(4)] for c in range(256)], dtype=np.uint8)
@@ -96,15 +97,57 @@ def _bounds(docs, id_col, files):
     return sorted(set(found or []))
 
 
-def _count_ids(rows):
+def _with_end(ids, counts):
+    """Ids of documents laid end to end, each with the end id behind it."""
+    ends = np.cumsum(counts + 1) - 1
+    own = np.ones(len(ids) + len(counts), bool)
+    own[ends] = False
+    out = np.full(len(own), END, np.uint32)
+    out[own] = ids
+    return out
+
+
+def _reordered(values, counts, order):
+    """Runs of ``counts`` values laid end to end, in another order."""
+    if (order[1:] > order[:-1]).all():
+        return values
+    starts, sizes = (np.cumsum(counts) - counts)[order], counts[order]
+    ends = np.cumsum(sizes)
+    return values[np.repeat(starts - (ends - sizes), sizes) + np.arange(ends[-1] if len(ends) else 0)]
+
+
+DEALT = [("part", pa.int64()), ("ids", pa.binary()), ("has_id", pa.binary()), ("counts", pa.binary()), ("tokens", pa.binary())]
+DEALT_SQL = "part long, ids binary, has_id binary, counts binary, tokens binary"
+
+
+def _dealt(batches, path, drops_space, bounds, width):
+    """Texts to packed rows of documents, one for each range of ids that a slice of texts has."""
+    for batch, ids, counts in encoded(batches, "text", path, drops_space):
+        has = np.array(batch.column(0).is_valid())
+        docs = np.array(batch.column(0).fill_null(0), dtype=np.int64)
+        part = np.where(has, np.searchsorted(bounds, docs), 0)
+        order = np.argsort(part, kind="stable")
+        tokens, counts = _reordered(_with_end(ids, counts), counts + 1, order), counts[order] + 1
+        part, docs, has = part[order], docs[order], has[order]
+        cuts = [0, *(np.flatnonzero(np.diff(part)) + 1).tolist(), len(part)]
+        at, rows = np.append(0, np.cumsum(counts)), []
+        for a, b in zip(cuts[:-1], cuts[1:]):
+            if b > a:
+                own = tokens[at[a] : at[b]].astype(width).tobytes()
+                rows.append((int(part[a]), docs[a:b].tobytes(), has[a:b].tobytes(), counts[a:b].tobytes(), own))
+        if rows:
+            yield pa.RecordBatch.from_arrays([pa.array(c, t) for c, (_, t) in zip(zip(*rows), DEALT)], [n for n, _ in DEALT])
+
+
+def _parts(row, width):
+    """(ids, has_id, counts, tokens) of a packed row."""
+    return tuple(np.frombuffer(c, t) for c, t in zip(row, (np.int64, bool, np.int64, width)))
+
+
+def _count_ids(rows, width):
     total = np.zeros(0, np.int64)
-    for _, (_, n, control, data) in rows:
-        own = np.bincount(unpack(control, data, n))
-        if len(own) > len(total):
-            own[: len(total)] += total
-            total = own
-        else:
-            total[: len(own)] += own
+    for _, row in rows:
+        total = _added(total, np.bincount(_parts(row, width)[3]))
     yield total
 
 
@@ -116,90 +159,85 @@ def write_token_files(docs, path, at=None, id_col="doc_id", text_col="text", dro
     """Encodes every text with the tokenizer file ``path``, ends it with the id 2, and writes files to the folder ``at``.
 
     Returns the manifest (path, number, docs, tokens), in the order of the documents. Null ids come first; rows with one
-    id are ordered by their tokens. A null text is an empty one. The ids by rank are in ``at/ranks``; their number is
-    bounded by the vocabulary.
+    id are ordered by their numbers of tokens. A null text is an empty one. The ids by rank are in ``at/ranks``; their
+    number is bounded by the vocabulary.
     """
     spark, at = docs.sparkSession, at or folder(docs.sparkSession, "tokens")
     size = docs.agg(F.sum(F.octet_length(text_col))).first()[0] or 0
     bounds = np.array(_bounds(docs, id_col, -(-size // file_bytes_)), dtype=np.int64)
-
-    def task(batches):
-        for batch, ids, counts in encoded(batches, "text", path, drops_space):
-            rows, start = [], 0
-            for doc, n in zip(batch.column(0).to_pylist(), counts.tolist()):
-                own = np.append(ids[start : start + n], np.uint32(END))
-                start += n
-                part = 0 if doc is None else int(np.searchsorted(bounds, doc))
-                rows.append((part, doc, n + 1, *pack(own)))
-            if rows:
-                kinds = [pa.int64(), pa.int64(), pa.int64(), pa.binary(), pa.binary()]
-                names = ["part", "doc_id", "n", "control", "data"]
-                yield pa.RecordBatch.from_arrays([pa.array(c, k) for c, k in zip(zip(*rows), kinds)], names)
-
+    # On the way to their files ids have as many bytes as the vocabulary needs.
+    width = "<u2" if Tokenizer.from_file(path).get_vocab_size() <= 1 << 16 else "<u4"
     texts = docs.select(F.col(id_col).cast("long").alias("doc_id"), F.col(text_col).alias("text"))
-    rows = texts.mapInArrow(task, "part long, doc_id long, n long, control binary, data binary").rdd
-    dealt = rows.map(lambda r: (r[0], (r[1], r[2], bytes(r[3]), bytes(r[4])))).partitionBy(len(bounds) + 1, int)
-    totals = dealt.mapPartitions(_count_ids).treeReduce(_added)
-    by_rank = ranked(totals)
+    rows = texts.mapInArrow(lambda batches: _dealt(batches, path, drops_space, bounds, width), DEALT_SQL).rdd
+    dealt = rows.map(lambda r: (r[0], tuple(bytes(c) for c in r[1:]))).partitionBy(len(bounds) + 1, int)
+    by_rank = ranked(dealt.mapPartitions(lambda part: _count_ids(part, width)).treeReduce(_added))
     put_file(f"{at}/ranks", by_rank.astype("<u4").tobytes())
     rank_of = np.zeros(max(1, len(by_rank)), np.uint32)
     rank_of[by_rank] = np.arange(len(by_rank), dtype=np.uint32)
     shared = spark.sparkContext.broadcast(rank_of)
 
     def write(part):
-        rows = sorted((v for _, v in part), key=lambda v: (v[0] is not None, v[0] or 0, v[2], v[3]))
+        rows = [_parts(row, width) for _, row in part]
         if not rows:
             return
-        number = 0 if rows[-1][0] is None else int(np.searchsorted(bounds, rows[-1][0]))
-        ranks = np.concatenate([shared.value[unpack(c, d, n)] for _, n, c, d in rows])
-        ids, counts = [r[0] for r in rows], [r[1] for r in rows]
+        ids, has, counts, tokens = (np.concatenate(c) for c in zip(*rows))
+        del rows
+        order = np.lexsort((counts, ids, has))
+        ranks = shared.value[_reordered(tokens, counts, order)]
+        del tokens
+        ids, has, counts = ids[order], has[order], counts[order]
+        number = int(np.searchsorted(bounds, ids[-1])) if has[-1] else 0
         name = f"{at}/{number:08d}-{uuid.uuid4().hex}.tok"
-        put_file(name, file_bytes([i or 0 for i in ids], [i is not None for i in ids], counts, ranks))
-        yield name, number, len(rows), len(ranks)
+        put_file(name, file_bytes(ids, has, counts, ranks))
+        yield name, number, len(ids), len(ranks)
 
     return fixed(spark.createDataFrame(dealt.mapPartitions(write), "path string, number long, docs long, tokens long"))
 
 
-def read_token_files(manifest, at):
-    """One row per document: doc_id, start (tokens of all documents before it), n_tokens, ids (array of int).
-
-    The running sum over the manifest sees one row per file.
-    """
+def _placed(manifest):
+    """(path, tokens of all documents before it) of each file; the running sum sees one row per file."""
     before = Window.orderBy("number").rowsBetween(Window.unboundedPreceding, -1)
     placed = manifest.withColumn("start", F.coalesce(F.sum("tokens").over(before), F.lit(0)))
-    files = placed.select("path", "start").repartition(F.col("path"))
+    return placed.select("path", "start").repartition(F.col("path"))
+
+
+def _documents(batches, at):
+    """Some documents at a time of the files: (ids, their starts and numbers of tokens, tokens end to end)."""
+    store, name = file_system(f"{at}/ranks")
+    with store.open_input_stream(name, compression=None) as source:
+        by_rank = np.frombuffer(source.read(), "<u4")
+    for batch in batches:
+        for path, start in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist()):
+            store, name = file_system(path)
+            with store.open_input_stream(name, compression=None) as source:
+                ids, has_id, counts, ranks = read_bytes(source.read())
+            ends = np.cumsum(counts)
+            for a in range(0, len(ids), 512):
+                b = min(a + 512, len(ids))
+                first = int(ends[a] - counts[a])
+                tokens = by_rank[ranks[first : ends[b - 1]]]
+                yield pa.array(ids[a:b], mask=~has_id[a:b]), start + ends[a:b] - counts[a:b], counts[a:b], tokens
+
+
+def read_token_files(manifest, at):
+    """One row per document: doc_id, start (tokens of all documents before it), n_tokens, ids (array of int)."""
 
     def read(batches):
-        store, name = file_system(f"{at}/ranks")
-        with store.open_input_stream(name, compression=None) as source:
-            by_rank = np.frombuffer(source.read(), "<u4")
-        for batch in batches:
-            for path, start in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist()):
-                store, name = file_system(path)
-                with store.open_input_stream(name, compression=None) as source:
-                    ids, has_id, counts, ranks = read_bytes(source.read())
-                tokens, ends = by_rank[ranks], np.cumsum(counts)
-                for a in range(0, len(ids), 512):  # some documents at a time: a long one is large
-                    b = min(a + 512, len(ids))
-                    first = int(ends[a] - counts[a])
-                    offsets = np.append(first, ends[a:b]) - first
-                    lists = pa.ListArray.from_arrays(pa.array(offsets, pa.int32()), pa.array(tokens[first : ends[b - 1]].astype(np.int32)))
-                    columns = [
-                        pa.array(ids[a:b], mask=~has_id[a:b]), pa.array(start + ends[a:b] - counts[a:b]), pa.array(counts[a:b]), lists,
-                    ]
-                    yield pa.RecordBatch.from_arrays(columns, ["doc_id", "start", "n_tokens", "ids"])
-
-    return files.mapInArrow(read, "doc_id long, start long, n_tokens long, ids array<int>")
-
-
-def with_checksums(read):
-    """doc_id, start, n_tokens and ids_crc32 of the rows of :func:`read_token_files`."""
-
-    def sums(batches):
-        for batch in batches:
-            lists = batch.column(3)
-            flat, offsets = lists.values.to_numpy().astype("<u4"), lists.offsets.to_numpy()
-            crc = [zlib.crc32(flat[a:b].tobytes()) for a, b in zip(offsets[:-1], offsets[1:])]
-            yield pa.RecordBatch.from_arrays([*batch.columns[:3], pa.array(crc, pa.int64())], ["doc_id", "start", "n_tokens", "ids_crc32"])
-
-    return read.mapInArrow(sums, "doc_id long, start long, n_tokens long, ids_crc32 long")
+        for ids, starts, counts, tokens in _documents(batches, at):
+            lists = pa.ListArray.from_arrays(pa.array(np.append(0, np.cumsum(counts)), pa.int32()), pa.array(tokens.astype(np.int32)))
+            yield pa.RecordBatch.from_arrays([ids, pa.array(starts), pa.array(counts), lists], ["doc_id", "start", "n_tokens", "ids"])
+
+    return _placed(manifest).mapInArrow(read, "doc_id long, start long, n_tokens long, ids array<int>")
+
+
+def token_checksums(manifest, at):
+    """One row per document, read from the files: doc_id, start, n_tokens, ids_crc32."""
+
+    def read(batches):
+        for ids, starts, counts, tokens in _documents(batches, at):
+            cuts = np.append(0, np.cumsum(counts)).tolist()
+            crc = [zlib.crc32(tokens[a:b].astype("<u4").tobytes()) for a, b in zip(cuts[:-1], cuts[1:])]
+            columns = [ids, pa.array(starts), pa.array(counts), pa.array(crc, pa.int64())]
+            yield pa.RecordBatch.from_arrays(columns, ["doc_id", "start", "n_tokens", "ids_crc32"])
+
+    return _placed(manifest).mapInArrow(read, "doc_id long, start long, n_tokens long, ids_crc32 long")

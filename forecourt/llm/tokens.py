@@ -13,8 +13,10 @@ import numpy as np
 import pyarrow as pa
 from tokenizers import Tokenizer
 
+from .shared import FORGET, binary_column
+
 #: Bytes of text that are encoded together, and the pieces whose ids a worker remembers at most.
-BATCH, REMEMBERED = 4 << 20, 1_000_000
+BATCH, REMEMBERED = 4 << 20, 800_000
 
 _SPACE = np.zeros(256, bool)
 _SPACE[[9, 10, 11, 12, 13, 32]] = True
@@ -28,6 +30,17 @@ _SURE = rb"(?:[!-~]|[\xc3-\xdf][\x80-\xbf])"
 _PLAIN = re.compile(rb" ?" + _SURE + rb"(?:[^\n]*" + _SURE + rb")?").fullmatch
 
 
+_LETTER = np.zeros(256, bool)
+_LETTER[[*range(65, 91), *range(97, 123)]] = True
+_MARK = np.zeros(256, bool)
+_MARK[[c for c in range(0x21, 0x7F) if not chr(c).isalnum()]] = True
+
+
+def _cuts_at_marks(data):
+    """Before an ASCII mark behind an ASCII letter: words of letters end there under either pattern."""
+    return np.flatnonzero(_LETTER[data[:-1]] & _MARK[data[1:]]) + 1
+
+
 def _cuts_at_blanks(data):
     """Before each single blank between two characters that are surely no white space: `` ?word`` patterns part there."""
     at = np.flatnonzero(data[2:-1] == 32) + 2 if len(data) > 3 else np.zeros(0, np.int64)
@@ -97,7 +110,7 @@ class PieceEncoder:
             return np.zeros(0, np.uint32), np.zeros(len(texts), np.int64)
         first = np.cumsum(sizes) - sizes
         cut = np.zeros(len(data) + 1, bool)
-        cut[self.cuts(data)] = True
+        cut[self.cuts(data)] = cut[_cuts_at_marks(data)] = True
         cut[first] = True  # also where the next text is empty; the end of data is dropped below
         cut[len(data)] = True
         offsets = np.flatnonzero(cut)
@@ -126,10 +139,11 @@ def encoder(path, drops_space):
     return PieceEncoder(path, drops_space)
 
 
+FORGET.append(encoder.cache_clear)
+
+
 def encoded(batches, text_name, path, drops_space, limit=BATCH):
     """(record batch, ids, counts) for slices of record batches of at most about ``limit`` bytes of text."""
-    from .shared import binary_column
-
     for batch in batches:
         texts, start, size = binary_column(batch, text_name), 0, 0
         for i, text in enumerate(texts):

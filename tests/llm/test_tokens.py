@@ -90,7 +90,7 @@ def test_token_files_hold_every_document_in_order(spark, odd, docs, sample):  #
     got = sorted(read.collect(), key=lambda r: r.start)
     assert [(r.doc_id, r.ids) for r in got if r.doc_id != 1000] == [w for w in want if w[0] != 1000]
     assert [r.start for r in got] == list(itertools.accumulate([r.n_tokens for r in got[:-1]], initial=0))
-    sums = {(r.doc_id, r.start): r.ids_crc32 for r in token_files.with_checksums(read).collect()}
+    sums = {(r.doc_id, r.start): r.ids_crc32 for r in token_files.token_checksums(manifest, at).collect()}
     assert sums == {(r.doc_id, r.start): crc(r.ids) for r in got}
     ranks = np.fromfile(f"{at.removeprefix('file://')}/ranks", "<u4")
     often = np.bincount(np.concatenate([d[1] for d in want]))
