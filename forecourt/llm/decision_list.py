@@ -11,7 +11,7 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import functions as F
 
-from .shared import binary_column, fixed
+from .shared import binary_column, fixed, forget
 
 #: A text fails with fewer words, or with a larger percentage of its words in repeated windows of five.
 LEAST_WORDS, MOST_REPEATED, WINDOW = 10, 20, 5
@@ -65,6 +65,7 @@ def text_counts(text):
 
 
 def _counted(batches):
+    forget()
     for batch in batches:
         counts = [text_counts(t) for t in binary_column(batch, "text")]
         columns = [pa.array(c, pa.int64()) for c in zip(*counts)] or [pa.array([], pa.int64())] * len(COUNTS + MORE)
@@ -203,14 +204,14 @@ def judge_quality(docs, labels, id_col="doc_id", text_col="text", label_col="qua
 def drop_low_quality(docs, labels, id_col="doc_id", text_col="text", label_col="quality", limits=FitLimits()):
     """``docs`` without the documents that :func:`judge_quality` rejects.
 
-    The list is learned first; the counts of a text are then taken beside its row, so no text is shuffled.
+    The list is learned from counts without texts; for the verdict they are taken once more beside each row, so no text
+    is shuffled.
     """
-    labelled = labels.select(F.col(id_col).alias("_labelled_id")).distinct()
-    known = docs.join(labelled, F.col(id_col) == F.col("_labelled_id"), "left_semi")
-    rules = fit_list(fixed(quality_counts(known, id_col, text_col)), labels, id_col, label_col, limits)
+    rules = fit_list(fixed(quality_counts(docs, id_col, text_col)), labels, id_col, label_col, limits)
     names = docs.columns
 
     def counted(batches):
+        forget()
         for batch in batches:
             counts = [text_counts(t) for t in binary_column(batch, text_col)]
             columns = [pa.array(c, pa.int64()) for c in zip(*counts)] or [pa.array([], pa.int64())] * len(COUNTS + MORE)

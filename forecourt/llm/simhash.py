@@ -16,7 +16,7 @@ import xxhash
 from pyspark.sql import functions as F
 
 from .components import connected_components
-from .shared import binary_column, fixed
+from .shared import binary_column, fixed, forget
 
 BITS, RADIUS, WORDS, SEED = 64, 3, 3, 42
 #: Nodes of a bucket from which it is dealt out by further masks.
@@ -77,6 +77,7 @@ def forest(nodes, radius=RADIUS):
 
 
 def _fingerprints(batches, words=WORDS):
+    forget()
     for batch in batches:
         marks = [signed(fingerprint(t, words)) for t in binary_column(batch, "text")]
         yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(marks, pa.int64())], ["doc_id", "mark"])

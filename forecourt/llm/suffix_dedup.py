@@ -24,7 +24,7 @@ import pyarrow as pa
 import zstandard
 from pyspark.sql import functions as F
 
-from .shared import binary_column
+from .shared import binary_column, forget
 
 LENGTH, GRAM = 50, 16
 #: Anchors in a window; bits of an anchor's hash; bytes of context of which a common window holds those on one side of
@@ -32,9 +32,9 @@ LENGTH, GRAM = 50, 16
 WIDTH, ANCHOR_BITS = LENGTH - GRAM + 1, (1 << 48) - 1
 CONTEXT, NO_CONTEXT, ANY_CONTEXT = (LENGTH - GRAM) // 2, 0, 1
 #: Bytes of text that a task hashes at a time, and that it works on between two sends.
-SLICE, BATCH = 1 << 19, 12 << 20
+SLICE, BATCH = 1 << 19, 8 << 20
 #: Bytes of text per bucket of anchors, and the number of segments of an anchor from which its windows are dealt singly.
-BUCKET_BYTES, CROWD = 8 << 20, 20_000
+BUCKET_BYTES, CROWD = 6 << 20, 8192
 #: A null id is larger than all others, and stands for this plus a hash of its text.
 NO_ID = 1 << 62
 
@@ -257,6 +257,7 @@ def _anchored(batches, buckets):
         blobs = [_packed(part) for part in np.split(records, starts[1:])]
         yield _rows(len(blobs), bucket=bucket[starts], kind=np.full(len(blobs), SEGMENTS), blob=blobs)
 
+    forget()
     texts, ids, hashes, size = [], [], [], 0
     for batch in batches:
         for t, i, h in zip(binary_column(batch, "_text"), batch.column(1).to_pylist(), batch.column(2).to_pylist()):
