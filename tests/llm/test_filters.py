@@ -205,6 +205,65 @@ def test_there_are_hundreds_of_signatures_and_each_finds_its_form():
     assert all(any(s in k or s in r for s in stems) or "licen[sc]e" in r for k, r, *_ in rules)
 
 
+def varied(parsed):
+    """Texts of a parsed pattern: each of its alternatives, options and characters is in one of them."""
+    parts = []
+    for kind, arg in parsed:
+        kind = str(kind)
+        if kind == "LITERAL":
+            parts.append([chr(arg)])
+        elif kind == "IN":
+            parts.append([" " if str(k) == "CATEGORY" else chr(c) for k, c in arg])
+        elif kind == "BRANCH":
+            parts.append([t for p in arg[1] for t in varied(p)])
+        elif kind == "SUBPATTERN":
+            parts.append(varied(arg[3]))
+        elif kind == "MAX_REPEAT":
+            least, most, inner = arg
+            some = varied(inner)
+            parts.append([t for n in sorted({least, 1, min(most, 2)}) for t in ([""] if n == 0 else [t * n for t in some])])
+        else:
+            assert kind.startswith("ASSERT"), kind
+            parts.append([""])
+    out = ["".join(p[0] for p in parts)]
+    for k, p in enumerate(parts):
+        out += ["".join(q[-1] if k != m else t for m, q in enumerate(parts)) for t in p]
+    return list(dict.fromkeys(out))
+
+
+def test_keywords_and_stems_lose_no_match_of_any_alternative():
+    seen = 0
+    for keyword, regex, label, *_ in license_scan.signatures():
+        texts = [t for t in varied(re._parser.parse(regex.removeprefix("(?i)"))) if re.search(regex, t, re.A)]
+        assert texts, regex
+        for t in texts:
+            assert keyword in t.lower() and any(s in t.lower() for s in license_scan.STEMS), (label, keyword, t)
+        seen += len(texts)
+    assert seen > 4000
+
+
+NAMED = [
+    ("This work is under the Creative Commons Attribution 4.0 International License.", "cc-by-4.0"),
+    ("Creative Commons Attribution 3.0", "cc-by-3.0"),
+    ("Creative Commons Attribution-ShareAlike 4.0", "cc-by-sa-4.0"),
+    ("Creative Commons Attribution-Share Alike 3.0", "cc-by-sa-3.0"),
+    ("Creative Commons Attribution-Non-Commercial 4.0", "cc-by-nc-4.0"),
+    ("Creative Commons Attribution-NoDerivatives 4.0", "cc-by-nd-4.0"),
+    ("the CreativeML Open RAIL-M", "openrail-m"),
+    ("the GNU General\nPublic  License,\tversion 3", "gpl,gpl-3.0"),
+    ("Apache\r\nLicense,\n Version 2.0", "apache-2.0"),
+    ("License: GPL-3.0-or-later", "gpl-3.0"),
+    ("license = MIT.", "mit"),
+    ("License: Apache-2.0-style words", ""),
+]
+
+
+def test_names_by_any_wording(docs):  # noqa: F811
+    rows = [(n, t) for n, (t, _) in enumerate(NAMED)]
+    got = {r.doc_id: r.labels for r in license_scan.scan_licenses(docs(rows)).collect()}
+    assert got == {n: label for n, (_, label) in enumerate(NAMED)}
+
+
 # --- WARC
 
 
