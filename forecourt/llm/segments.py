@@ -2,7 +2,8 @@
 
 A forward Viterbi pass over the lattice of pieces gives every position the best score of the text before it. These scores
 are exact heuristics for an A-star search backwards from the end: the first path to reach the start is the best one, the
-next the second best, and so on.
+next the second best, and so on. Of equal paths the one closest to the start goes first, and no position is left more
+than n times, so that a run of one character, with its countless equal segmentations, takes no more than any other text.
 
 Pieces hold blanks only at their front, so a text parts into units before each blank that follows another character: its
 best segmentation is that of its units, and its n best ones differ in few units. A worker segments each distinct unit
@@ -86,12 +87,18 @@ class Lattice:
         score[start + 1] = max(score[start + 1], score[start] + self.worst)
 
     def best(self, unit, n=BEST):
-        """The ``n`` best segmentations of a unit as (score, ids); equal scores in order of discovery."""
+        """The ``n`` best segmentations of a unit as (score, ids).
+
+        With exact heuristics a position's paths come out best first, so the ``n`` best whole ones need none but its first ``n``.
+        """
         score, edges = self.forward(unit)
         push, pop = heapq.heappush, heapq.heappop
-        heap, made, out = [(-score[-1], 0, len(unit), 0.0, None)], 0, []
+        heap, made, out, left = [(-score[-1], len(unit), 0, 0.0, None)], 0, [], [n] * (len(unit) + 1)
         while heap:
-            _, _, end, behind, path = pop(heap)
+            _, end, _, behind, path = pop(heap)
+            if not left[end]:
+                continue
+            left[end] -= 1
             if end == 0:
                 ids = []
                 while path is not None:
@@ -107,7 +114,7 @@ class Lattice:
             for start, piece, gain in edges[end]:
                 made += 1
                 gain += behind
-                push(heap, (-score[start] - gain, made, start, gain, (piece, path)))
+                push(heap, (-score[start] - gain, start, made, gain, (piece, path)))
         return out
 
 

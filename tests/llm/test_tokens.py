@@ -169,6 +169,24 @@ def test_best_segmentations_against_all():
     check()
 
 
+def test_runs_of_one_character_take_few_steps(monkeypatch):
+    lattice, pushed = segments.lattice(PIECES), []
+
+    def push(heap, entry, inner=segments.heapq.heappush):
+        pushed.append(1)
+        assert len(pushed) < 200_000, "the paths of equal scores are all laid out"
+        inner(heap, entry)
+
+    monkeypatch.setattr(segments.heapq, "heappush", push)
+    for size in (207, 2009):
+        pushed.clear()
+        (score, ids), (second, others) = lattice.best("-" * size, 2)
+        assert score == lattice.forward("-" * size)[0][-1] >= second and ids != others
+        for total, found in ((score, ids), (second, others)):
+            assert b"".join(lattice.bytes_of[i] for i in found) == b"-" * size
+            assert total == sum(lattice.pieces[lattice.bytes_of[i].decode()][1] for i in found)
+
+
 def test_segments_decode_as_the_library_does(odd, docs, sample):  # noqa: F811
     texts = [r.text for r in sample.select("text").limit(60).collect()] + [t or "" for _, t in ODD] + ["  a  b ", "x\ty\r\n", " "]
     table, model = segments.UnitTable(PIECES), sentencepiece.SentencePieceProcessor(model_file=PIECES)
