@@ -13,6 +13,7 @@ from .segments import described
 from .shared import folder, importable
 from .simhash import simhash_groups
 from .suffix_dedup import repeated_passages
+from .syncmers import edited_likeness
 from .token_files import token_checksums, write_token_files
 from .turn_repair import repair_conversations
 from .url_filter import Rule, judge_urls
@@ -232,6 +233,11 @@ def op11_turn_repair(spark, sf_dir):
     return repair_conversations(damaged_turns(table(spark, sf_dir, "conversations")), copies="copies").drop("turns")
 
 
+@query()
+def op12_syncmers(spark, sf_dir):
+    return edited_likeness(table(spark, sf_dir, "documents"))
+
+
 _TRIE_SQL = f"""
 WITH turns AS (
   SELECT conv_id, coalesce(text, '') AS text,
