@@ -388,6 +388,76 @@ DRIFT_SUMMARY = _with(
     **_CHAMPION_DRIFT,
 )
 
+_DRIFT_VALUES = [*DRIFT_NUMERIC, "predicted_price"]
+_SLICE_NAMES = ["make", "body_type", "region"]
+_SLICE_KEYS = "slice_name, slice_value, feature"
+_DAY_KEYS = f"day, model_version, {_SLICE_KEYS}"
+
+
+def _sliced_rows():
+    """Rows (is_ref, day, model_version, slices, feature, cell), one per known value."""
+    kept = "is_ref, day, model_version, " + ", ".join(_SLICE_NAMES)
+    bins = (
+        "CASE WHEN len(es) = 1 THEN CASE WHEN v = es[1] THEN '0' ELSE '1' END "
+        "ELSE cast(len(list_filter(es[2:len(es) - 1], lambda e: e <= v)) AS varchar) END"
+    )
+    numbers = [
+        f"SELECT {kept}, feature, {bins} AS cell FROM (SELECT *, cast({c} AS double) AS v FROM pair WHERE {c} IS NOT NULL) "
+        f"JOIN edge_lists ON feature = '{c}'"
+        for c in _DRIFT_VALUES
+    ]
+    texts = [f"SELECT {kept}, '{c}', {c} FROM pair WHERE {c} IS NOT NULL" for c in DRIFT_CATEGORICAL]
+    return " UNION ALL ".join(numbers + texts)
+
+
+def _sliced_part(name):
+    value = "cast(NULL AS varchar)" if name == "all" else name
+    group = "" if name == "all" else f", {name}"
+    return (
+        "SELECT is_ref, CASE WHEN NOT is_ref THEN day END AS day, CASE WHEN NOT is_ref THEN model_version END AS model_version, "
+        f"'{name}' AS slice_name, {value} AS slice_value, feature, cell, count(*) AS n FROM long_rows "
+        f"GROUP BY is_ref, CASE WHEN NOT is_ref THEN day END, CASE WHEN NOT is_ref THEN model_version END, feature, cell{group}"
+    )
+
+
+def _sliced_psi(other, same):
+    """PSI per day row against the cells of ``other`` that the condition picks."""
+    keys = ", ".join(f"g.{k}" for k in _DAY_KEYS.split(", "))
+    return (
+        f"SELECT {_DAY_KEYS}, sum((c - r) * ln(c / r)) AS psi FROM (SELECT {_DAY_KEYS}, sum(r) OVER (PARTITION BY {_DAY_KEYS}) AS known, "
+        f"greatest(r / sum(r) OVER (PARTITION BY {_DAY_KEYS}), 0.0001::DOUBLE) AS r, "
+        f"greatest(c / sum(c) OVER (PARTITION BY {_DAY_KEYS}), 0.0001::DOUBLE) AS c FROM "
+        f"(SELECT {_DAY_KEYS}, cell, sum(r) AS r, sum(c) AS c FROM (SELECT {keys}, o.cell, o.n AS r, 0 AS c FROM days g "
+        f"JOIN {other} o ON {same} UNION ALL SELECT {_DAY_KEYS}, cell, 0, n FROM sliced WHERE NOT is_ref) "
+        f"GROUP BY {_DAY_KEYS}, cell)) GROUP BY {_DAY_KEYS} HAVING min(known) > 0"
+    )
+
+
+_SAME_SLICE = " AND ".join(f"o.{k} IS NOT DISTINCT FROM g.{k}" for k in _SLICE_KEYS.split(", "))
+SLICED_DRIFT = _with(
+    f"SELECT d.day, d.model_version, d.slice_name, d.slice_value, d.feature, n_rows, round(b.psi, 6) AS psi_baseline, previous_day, "
+    "CASE WHEN previous_day IS NOT NULL THEN round(p.psi, 6) END AS psi_previous, coalesce(b.psi > 0.25, false) AS drifted "
+    "FROM days d "
+    + " ".join(
+        f"LEFT JOIN {t} {a} ON {a}.day = d.day AND {a}.model_version = d.model_version AND {a}.slice_name = d.slice_name "
+        f"AND {a}.slice_value IS NOT DISTINCT FROM d.slice_value AND {a}.feature = d.feature"
+        for t, a in (("to_baseline", "b"), ("to_previous", "p"))
+    ),
+    "predictions",
+    pair=f"SELECT *, cast(scored_at AS date) AS day, {_IS_REF} AS is_ref FROM predictions "
+    f"WHERE model_version = '1' OR NOT {_IS_REF}",
+    **{k: v for k, v in _numeric_ctes("pair", _DRIFT_VALUES).items() if k in ("vals", "ranked", "spots", "ends", "edge_list")},
+    edge_lists="SELECT feature, list(edge ORDER BY edge) AS es FROM edge_list GROUP BY feature",
+    long_rows=_sliced_rows(),
+    sliced=" UNION ALL ".join(map(_sliced_part, ["all", *_SLICE_NAMES])),
+    days=f"SELECT *, lag(day) OVER (PARTITION BY model_version, {_SLICE_KEYS} ORDER BY day) AS previous_day FROM "
+    f"(SELECT {_DAY_KEYS}, cast(sum(n) AS bigint) AS n_rows FROM sliced WHERE NOT is_ref GROUP BY {_DAY_KEYS})",
+    base="SELECT * FROM sliced WHERE is_ref",
+    later="SELECT * FROM sliced WHERE NOT is_ref",
+    to_baseline=_sliced_psi("base", _SAME_SLICE),
+    to_previous=_sliced_psi("later", f"{_SAME_SLICE} AND o.day = g.previous_day AND o.model_version = g.model_version"),
+)
+
 # --- upserts, backfill, snapshots
 
 UPSERT_ALL = _with(

@@ -8,6 +8,7 @@ from pyspark.sql import functions as F
 from ..functions.one_row import beside
 from ..operators.calendar import as_date, date_window
 from ..operators.decisions import RetrainPolicy, days_since_training, decide_retraining
+from ..operators.profile import drift_from_profile
 from ..operators.psi import compute_drift, drift_summary
 from ..operators.regression import monitor_metrics
 from ..operators.upsert import backfill_labels
@@ -23,7 +24,7 @@ from ..schema import (
     PREDICTION,
     RUN_DATE,
 )
-from ..sources.tables import create_table, merge_table, replace_partitions
+from ..sources.tables import create_table, merge_table, profile_name, replace_partitions
 from ..staging import staged
 
 # Fixed value: length of the monitoring window.
@@ -47,6 +48,15 @@ def drift_of_window(baseline: DataFrame, window: DataFrame, policy=RetrainPolicy
     )
 
 
+def stored_drift(spark: SparkSession, tables, window: DataFrame, policy=RetrainPolicy()):
+    """Drift against the stored baseline: from its profile where it has one, else from its rows; None without a baseline."""
+    if spark.catalog.tableExists(profile_name(tables.baseline)):
+        return drift_from_profile(spark.table(profile_name(tables.baseline)), window, threshold=policy.max_feature_psi)
+    if spark.catalog.tableExists(tables.baseline):
+        return drift_of_window(spark.table(tables.baseline), window, policy)
+    return None
+
+
 def drift_rows(drift: DataFrame, run_date, model_version) -> DataFrame:
     """Rows for the drift history."""
     return drift.select(
@@ -104,9 +114,8 @@ def monitor(
     """Runs the monitoring of a date and gives its history row; a rerun replaces the rows it wrote."""
     backfill(spark, tables)
     window = champion_window(spark.table(tables.predictions), model_version, run_date, window_days)
-    drift = None
-    if spark.catalog.tableExists(tables.baseline):
-        drift = drift_of_window(spark.table(tables.baseline), window, policy)
+    drift = stored_drift(spark, tables, window, policy)
+    if drift is not None:
         create_table(spark, tables.drift, DRIFT_HISTORY)
         merge_table(spark, tables.drift, drift_rows(drift, run_date, model_version), [RUN_DATE, "feature"])
     row = history_row(

@@ -9,6 +9,7 @@ from ..operators.calendar import time_based_split, trailing_lookback
 from ..operators.decisions import Thresholds, check_prediction_sanity, check_thresholds, combine, decide_promotion
 from ..operators.model_input import cold_start_probe
 from ..operators.price_model import TrainingParams, predict, train_model
+from ..operators.profile import baseline_profile
 from ..operators.quality import filter_valid
 from ..operators.regression import prediction_sanity, regression_metrics
 from ..schema import LABEL, LISTING_DATE, LISTING_ID, MODEL_VERSION, PREDICTION
@@ -109,5 +110,6 @@ def promote_on_latest(spark, tables, models, challenger, champion=None, *, holdo
             refresh_baseline(
                 spark, tables.baseline, challenger,
                 lambda: predict(models[challenger], rows).withColumn(MODEL_VERSION, F.lit(str(challenger))),
+                profile=baseline_profile,
             )
     return decision

@@ -11,7 +11,7 @@ from pyspark.sql import functions as F
 
 from . import oracle as sql
 from .functions.request_features import NUMERIC_FEATURES, add_features
-from .operators import decisions, market_index, model_input, psi, quality, regression
+from .operators import decisions, market_index, model_input, profile, psi, quality, regression
 from .operators.asof import point_in_time_join
 from .operators.calendar import add_calendar_cols, date_window, label_split, time_based_split, trailing_lookback
 from .operators.pooling import pooled_categories
@@ -47,6 +47,7 @@ from .sources.tables import (
     create_table,
     latest_snapshot,
     merge_table,
+    profile_name,
     read_snapshot,
     refresh_baseline,
     write_quarantine,
@@ -345,6 +346,31 @@ def drift_summary(spark, sf_dir):
     )
 
 
+def _baseline_and_later(spark, sf_dir):
+    """The first model's predictions before the period starts, and those of all models from then on."""
+    predictions = view(spark, sf_dir, "predictions")
+    before, after = _periods(predictions)
+    return before.where(F.col(MODEL_VERSION) == "1"), after
+
+
+@query(sql.DRIFT_REPORT)
+def profile_drift(spark, sf_dir):
+    # The baseline is stored with its profile; the report reads the profile and the window alone.
+    baseline, later = _baseline_and_later(spark, sf_dir)
+    name = f"baseline_{uuid.uuid4().hex}"
+    refresh_baseline(spark, name, "1", lambda: baseline, path=_folder(spark), profile=profile.baseline_profile)
+    drift = profile.drift_from_profile(spark.table(profile_name(name)), later.where(F.col(MODEL_VERSION) == "1"))
+    return _rounded(drift_rows(drift, sql.RUN_DATE, "1"), "psi")
+
+
+@query(sql.SLICED_DRIFT)
+def sliced_drift(spark, sf_dir):
+    baseline, later = _baseline_and_later(spark, sf_dir)
+    path = _folder(spark)
+    profile.baseline_profile(baseline).write.parquet(path)
+    return _rounded(profile.sliced_drift(spark.read.parquet(path), later), "psi_baseline", "psi_previous")
+
+
 # --- upserts, backfill, snapshots, tables
 
 
