@@ -576,6 +576,11 @@ TRAIN_SCORE = _with(
     f"WHERE NOT {_INVALID} AND {_HELD_OUT}",
     "listings_priced",
 )
+STORED_MODEL_SCORE = _with(
+    "SELECT listing_id, listing_date, '7' AS model_version, true AS sane, true AS same FROM listings_priced "
+    f"WHERE NOT {_INVALID} AND {_HELD_OUT}",
+    "listings_priced",
+)
 TRAIN_EVALUATE = _with(
     f"SELECT count(*) AS n_rows, true AS r2_ok, true AS mape_ok FROM listings_priced WHERE NOT {_INVALID} AND {_HELD_OUT}",
     "listings_priced",

@@ -41,6 +41,7 @@ from .schema import (
 )
 from .session import checkpoint_dir
 from .sources.listings_csv import read_listings_csv
+from .sources.models import load_model, market_lookup, resolve_alias, save_model, score_stored, set_alias
 from .sources.tables import (
     clustered,
     create_like,
@@ -575,6 +576,25 @@ def train_score(spark, sf_dir):
     return scored.select(LISTING_ID, LISTING_DATE, *REQUEST_COLUMNS, MODEL_VERSION, _sane())
 
 
+@query(sql.STORED_MODEL_SCORE)
+def stored_model_score(spark, sf_dir):
+    # Saved with its look-ups, named champion, loaded in another session, and held against the live model.
+    model, holdout, index = _fit(spark, sf_dir)
+    root, other = _folder(spark), spark.newSession()
+    write_snapshot(index, f"{root}/index", 1)
+    save_model(spark, root, "7", model, [market_lookup(spark, f"{root}/index", snapshots=True)], params=FIT.to_dict())
+    set_alias(spark, root, "7")
+    # A later state of the features, which a pinned scoring must not see.
+    write_snapshot(index.withColumn(MARKET_FEATURES[1], F.lit(0.0)), f"{root}/index", 2)
+    stored = load_model(other, root, resolve_alias(other, root))
+    _, again = time_based_split(view(other, sf_dir, "listings_priced"), sql.HOLDOUT_DAYS)[:2]
+    scored = score_stored(stored, quality.filter_valid(again, as_of=AS_OF), scored_at=AS_OF, pinned=True)
+    scored.write.parquet(f"{root}/scored")
+    live = score_batch(model, holdout, index, "7", scored_at=AS_OF).select(LISTING_ID, F.col(PREDICTION).alias("live"))
+    same = F.col(PREDICTION).eqNullSafe(F.col("live")).alias("same")
+    return spark.read.parquet(f"{root}/scored").join(live, LISTING_ID).select(LISTING_ID, LISTING_DATE, MODEL_VERSION, _sane(), same)
+
+
 @query(sql.TRAIN_EVALUATE)
 def train_evaluate(spark, sf_dir):
     model, holdout, index = _fit(spark, sf_dir)
