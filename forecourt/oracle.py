@@ -16,6 +16,7 @@ from .sources.views import view_sql
 AS_OF = "2001-11-04"
 INDEX_START, INDEX_END = "1998-01-01", "1998-12-31"
 FIRST_RUN_DATE = "2001-11-04"
+LATE_BETWEEN = ("1998-03-01", "1998-03-31")
 RUN_DATE, WINDOW_DAYS = "1998-12-31", 365
 PERIOD_START = "1998-01-01"
 STORED_UNTIL, FRESH_FROM = "1999-01-01", "1998-12-01"
@@ -79,10 +80,7 @@ _INDEX_ROWS = f"SELECT {_KEYS}, index_date, {MARKET_FEATURES[0]}, {_round(*_AVER
 
 MARKET_INDEX = _with(_INDEX_ROWS, **_YEAR_INDEX)
 FIRST_RUN = _with(
-    "SELECT index_date, count(*) AS n_keys, count(market_avg_log_price_30d) AS n_with_history, "
-    f"cast(sum({MARKET_FEATURES[0]}) AS bigint) AS {MARKET_FEATURES[0]}, "
-    + ", ".join(f"round(avg({c}), 6) AS {c}" for c in _AVERAGES)
-    + " FROM market_index GROUP BY index_date",
+    _INDEX_ROWS,
     **_index_ctes("(SELECT min(listing_date) + 1 FROM listings)", f"DATE '{FIRST_RUN_DATE}'"),
 )
 
@@ -110,7 +108,7 @@ MERGED_FROM = "1998-07-01"
 FEATURE_MERGE = _with(
     f"SELECT {_KEYS}, index_date, {MARKET_FEATURES[0]} + CASE WHEN index_date >= DATE '{MERGED_FROM}' THEN 1 ELSE 0 END "
     f"AS {MARKET_FEATURES[0]}, {_round(*_AVERAGES)} FROM market_index",
-    **_YEAR_INDEX,
+    **_FULL_INDEX,
 )
 
 # --- quality

@@ -2,12 +2,23 @@
 
 import datetime as dt
 
-from pyspark.sql import SparkSession
+from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
 from ..operators.calendar import as_date
-from ..operators.market_index import compute_market_index, first_index_date, index_input, latest_features
+from ..operators.market_index import (
+    affected_rows,
+    compute_market_index,
+    days_read,
+    first_index_date,
+    index_input,
+    latest_features,
+    recompute_index,
+)
 from ..schema import INDEX_DATE, MARKET_INDEX, MARKET_KEYS
 from ..sources.tables import create_table, merge_table
+from ..staging import staged
+from .ingest import last_load
 
 # Fixed value: index days a regular run computes again.
 BACKFILL_DAYS = 3
@@ -21,6 +32,48 @@ def index_range(spark: SparkSession, tables, run_date, backfill_days=BACKFILL_DA
     return first_index_date(spark.table(tables.listings)), run_date
 
 
+def apply_changes(spark: SparkSession, index_table, listings: DataFrame, changes: DataFrame, run_date):
+    """Recomputes and merges the index rows that changed (key, day) pairs have a part in; gives their number.
+
+    A label that arrives however late thus enters the index. Only the listing days within the windows of those rows are
+    read, and only the index dates among them are rewritten.
+    """
+    index = spark.table(index_table)
+    start = index.agg(F.min(INDEX_DATE)).first()[0]
+    if start is None:
+        return 0
+    with staged(affected_rows(changes, index, start, run_date)) as affected:
+        days = days_read(affected)
+        if not days:
+            return 0
+        merge_table(spark, index_table, recompute_index(listings, affected, days), [*MARKET_KEYS, INDEX_DATE])
+        return affected.count()
+
+
+def _applied(spark, index_table):
+    """The last load whose changes are in the index."""
+    row = spark.sql(f"SHOW TBLPROPERTIES {index_table}").where("key = 'applied_load'").select("value").first()
+    return 0 if row is None else int(row[0])
+
+
+def refresh_market_index(spark: SparkSession, tables, run_date, *, backfill_days=BACKFILL_DAYS, publish=False):
+    """The regular run, and after it whatever loads since the last one have changed further back.
+
+    The number of the last load applied is kept with the index table and set after the merge: a run that breaks off is
+    done over, with the same result.
+    """
+    seen = last_load(spark, tables)
+    new = not spark.catalog.tableExists(tables.index)
+    span = build_market_index(spark, tables, run_date, backfill_days=backfill_days)
+    if not new and seen:
+        changes = spark.table(tables.changes).where((F.col("load") > _applied(spark, tables.index)) & (F.col("load") <= seen))
+        apply_changes(spark, tables.index, spark.table(tables.listings), changes.drop("load"), run_date)
+    spark.sql(f"ALTER TABLE {tables.index} SET TBLPROPERTIES ('applied_load' = '{seen}')")
+    if publish:
+        publish_latest(spark, tables)
+    return span
+
+
 def build_market_index(spark: SparkSession, tables, run_date, *, backfill_days=BACKFILL_DAYS, publish=False):
     """Computes and merges the index for a run date. The date is part of the key, so only its partitions change."""
     start, end = index_range(spark, tables, run_date, backfill_days)
@@ -28,7 +81,10 @@ def build_market_index(spark: SparkSession, tables, run_date, *, backfill_days=B
     create_table(spark, tables.index, MARKET_INDEX, partition_by=INDEX_DATE)
     merge_table(spark, tables.index, compute_market_index(listings, start, end), [*MARKET_KEYS, INDEX_DATE])
     if publish:
-        latest_features(spark.table(tables.index)).write.mode("overwrite").format("parquet").saveAsTable(
-            tables.latest_index
-        )
+        publish_latest(spark, tables)
     return start, end
+
+
+def publish_latest(spark: SparkSession, tables):
+    """Rewrites the look-up table of every key's newest row."""
+    latest_features(spark.table(tables.index)).write.mode("overwrite").format("parquet").saveAsTable(tables.latest_index)

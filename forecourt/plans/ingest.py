@@ -6,8 +6,9 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ..operators.calendar import as_date
+from ..operators.market_index import changed_days
 from ..operators.quality import enforce_gate, filter_valid, quarantine, validate_listings
-from ..schema import LISTING_DATE, LISTING_ID, RAW_COLUMNS, RAW_LISTINGS
+from ..schema import LABEL, LISTING_CHANGES, LISTING_DATE, LISTING_ID, MARKET_KEYS, RAW_COLUMNS, RAW_LISTINGS
 from ..sources.tables import create_table, merge_table, write_quarantine
 from ..staging import staged
 
@@ -30,6 +31,30 @@ def feed_digest(feed: DataFrame) -> str:
     return f"{row.n}-{row.s}"
 
 
+def record_changes(spark: SparkSession, tables, incoming: DataFrame):
+    """Notes the market keys and days that merging ``incoming`` changes, before it is merged; gives the load's number.
+
+    Rows that are stored as they come change nothing. A load that breaks off and is repeated is noted again, which costs
+    a recomputation and harms nothing.
+    """
+    create_table(spark, tables.changes, LISTING_CHANGES, partition_by="load")
+    columns = [*MARKET_KEYS, LISTING_DATE, LABEL, "year", "mileage"]
+    stored = spark.table(tables.listings).join(incoming.select(LISTING_ID), LISTING_ID, "left_semi")
+    changes = changed_days(stored.select(*columns), incoming.select(*columns))
+    load = last_load(spark, tables) + 1
+    with staged(changes.withColumn("load", F.lit(load).cast("long"))) as noted:
+        noted.select(*spark.table(tables.changes).columns).write.insertInto(tables.changes)
+    return load
+
+
+def last_load(spark: SparkSession, tables):
+    """The number of the last load that changed something, from the names of partitions; 0 at first."""
+    if not spark.catalog.tableExists(tables.changes):
+        return 0
+    names = [r[0].partition("=")[2] for r in spark.sql(f"SHOW PARTITIONS {tables.changes}").collect()]
+    return max((int(n) for n in names if n.isdigit()), default=0)
+
+
 def ingest(
     spark: SparkSession, feed: DataFrame, tables, run_date, *, max_invalid_fraction=MAX_INVALID_FRACTION, by_id=True,
     windowed=False, feed_id=None,
@@ -44,6 +69,7 @@ def ingest(
     with staged(feed_window(feed, run_date, existed) if windowed else feed) as feed:
         report = enforce_gate(validate_listings(feed, as_of=run_date), max_invalid_fraction)
         valid = filter_valid(feed, as_of=run_date).select(*RAW_COLUMNS)
+        record_changes(spark, tables, valid)
         merge_table(spark, tables.listings, valid, [LISTING_ID])
         held = quarantine(feed, by_id=by_id, as_of=run_date)
         write_quarantine(spark, tables.quarantine, held, run_date, feed_id or feed_digest(feed))

@@ -21,6 +21,7 @@ _TABLES = {
     "quarantine": "raw_listings_quarantine",
     "index": "market_price_features",
     "latest_index": "market_price_features_online",
+    "changes": "raw_listings_changes",
     "predictions": "predictions",
     "baseline": "drift_baseline",
     "performance": "model_performance_history",

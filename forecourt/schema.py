@@ -85,6 +85,10 @@ def layout(columns, required=()):
 
 RAW_LISTINGS = layout(RAW_COLUMNS, required=[LISTING_ID, LISTING_DATE])
 MARKET_INDEX = layout([*MARKET_KEYS, INDEX_DATE, *MARKET_FEATURES], required=[*MARKET_KEYS, INDEX_DATE])
+# Days whose listings changed, by the number of the load that changed them.
+LISTING_CHANGES = T.StructType(
+    [*[T.StructField(k, T.StringType()) for k in MARKET_KEYS], T.StructField("day", T.DateType()), T.StructField("load", T.LongType())]
+)
 PREDICTIONS = layout(PREDICTION_COLUMNS)
 PERFORMANCE_HISTORY = layout(PERFORMANCE_COLUMNS)
 DRIFT_HISTORY = layout([RUN_DATE, MODEL_VERSION, "feature", "psi", "drifted"])
