@@ -15,6 +15,7 @@ from .operators.decisions import (
 from .operators.market_index import compute_market_index
 from .operators.model_input import to_model_input
 from .operators.price_model import TrainingParams, build_pipeline, evaluate_model, score_batch, train_model
+from .operators.profile import baseline_profile, drift_from_profile, sliced_drift
 from .operators.psi import categorical_psi, compute_drift, drift_summary, numeric_psi
 from .operators.quality import filter_valid, gate, quarantine, validate_listings
 from .operators.regression import monitor_metrics, prediction_sanity, regression_metrics, sliced_profile
@@ -28,6 +29,7 @@ __all__ = [
     "add_features",
     "asof_join",
     "backfill_labels",
+    "baseline_profile",
     "build_pipeline",
     "categorical_psi",
     "check_prediction_sanity",
@@ -37,6 +39,7 @@ __all__ = [
     "compute_market_index",
     "decide_promotion",
     "decide_retraining",
+    "drift_from_profile",
     "drift_summary",
     "evaluate_model",
     "filter_valid",
@@ -49,6 +52,7 @@ __all__ = [
     "quarantine",
     "regression_metrics",
     "score_batch",
+    "sliced_drift",
     "sliced_profile",
     "time_based_split",
     "to_model_input",

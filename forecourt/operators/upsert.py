@@ -46,6 +46,14 @@ def upsert(target: DataFrame, source: DataFrame, keys, update_cols=None, checked
     return kept.unionByName(source.join(known, keys, "left_anti").select(*target.columns))
 
 
+def newest_rows(target: DataFrame, source: DataFrame, keys, order) -> DataFrame:
+    """One row per key of both frames: the newest by ``order``, that of ``source`` where they tie. Combines on the map side."""
+    rest = [c for c in target.columns if c not in keys]
+    sides = target.withColumn("_late", F.lit(0)).unionByName(source.select(*target.columns).withColumn("_late", F.lit(1)))
+    newest = F.max_by(F.struct(*rest), F.struct(F.col(order), F.col("_late")))
+    return sides.groupBy(*keys).agg(newest.alias("_row")).select(*[F.col("_row")[c].alias(c) if c in rest else F.col(c) for c in target.columns])
+
+
 def backfill_labels(predictions: DataFrame, listings: DataFrame, key=LISTING_ID, label=LABEL) -> DataFrame:
     """Fills unknown labels of predictions, of every model version, from listings that have one by now.
 

@@ -7,7 +7,6 @@ from .schema import (
     DRIFT_NUMERIC,
     MARKET_FEATURES,
     MODEL_INPUT,
-    PREDICTION_COLUMNS,
     RAW_COLUMNS,
     REQUEST_COLUMNS,
 )
@@ -158,6 +157,16 @@ DQ_MISSING_COLUMNS = _with(
     "false AS passed FROM listings"
 )
 
+BAD_YEAR, BAD_PRICE = "mileage % 10000 = 7500 AND num_owners > 4", "mileage % 10000 = 5000 AND num_owners = 2"
+CSV_RESCUED = _with(
+    "SELECT listing_id, cast(year AS varchar) AS year, cast(price AS varchar) AS price, CASE WHEN len(lost) > 0 THEN "
+    f"'{{' || array_to_string(lost, ',') || '}}' END AS rescued_text FROM spoilt WHERE {_INVALID}",
+    spoilt="SELECT * REPLACE (CASE WHEN NOT bad_year THEN year END AS year, CASE WHEN NOT bad_price THEN price END AS price), "
+    "list_filter([CASE WHEN bad_year THEN '\"year\":\"MY ' || year || '\"' END, "
+    "CASE WHEN bad_price THEN '\"price\":\"on request\"' END], lambda x: x IS NOT NULL) AS lost "
+    f"FROM (SELECT *, {BAD_YEAR} AS bad_year, {BAD_PRICE} AS bad_price FROM listings)",
+)
+
 # --- dates and splits
 
 CALENDAR_COLS = _with(
@@ -465,23 +474,16 @@ UPSERT_ALL = _with(
 )
 
 
-def _partial(column):
-    if column == "predicted_price":
-        return "coalesce(f.predicted_price, s.predicted_price) AS predicted_price"
-    if column == "scored_at":
-        return "cast(coalesce(f.scored_at, s.scored_at) AS varchar) AS scored_at"
-    return f"s.{column}"
-
-
-_FRESH_COLUMNS = ", ".join("cast(scored_at AS varchar) AS scored_at" if c == "scored_at" else c for c in PREDICTION_COLUMNS)
+# One row per key of both sides: the two states are stacked and grouped, so the statement has no join.
 UPSERT_PARTIAL = _with(
-    f"SELECT {', '.join(map(_partial, PREDICTION_COLUMNS))} FROM stored s LEFT JOIN fresh f "
-    "ON s.listing_id = f.listing_id AND s.model_version = f.model_version "
-    f"UNION ALL SELECT {_FRESH_COLUMNS} FROM fresh ANTI JOIN stored USING (listing_id, model_version)",
+    "SELECT listing_id, any_value(listing_date) AS listing_date, model_version, "
+    "coalesce(max(p) FILTER (fresh), max(p) FILTER (NOT fresh)) AS predicted_price, max(price) FILTER (NOT fresh) AS price, "
+    "cast(coalesce(max(stamp) FILTER (fresh), max(stamp) FILTER (NOT fresh)) AS date) AS scored_on "
+    "FROM sides GROUP BY listing_id, model_version",
     "predictions",
-    stored=f"SELECT * FROM predictions WHERE listing_date < DATE '{STORED_UNTIL}'",
-    fresh="SELECT * REPLACE (predicted_price * 2 AS predicted_price, cast(NULL AS double) AS price, "
-    f"scored_at + INTERVAL 1 DAY AS scored_at) FROM predictions WHERE listing_date >= DATE '{FRESH_FROM}'",
+    sides="SELECT listing_id, listing_date, model_version, price, predicted_price AS p, scored_at AS stamp, false AS fresh FROM predictions "
+    f"WHERE listing_date < DATE '{STORED_UNTIL}' UNION ALL SELECT listing_id, listing_date, model_version, NULL, predicted_price * 2, "
+    f"scored_at + INTERVAL 1 DAY, true FROM predictions WHERE listing_date >= DATE '{FRESH_FROM}'",
 )
 LABEL_BACKFILL = _with(
     "SELECT p.listing_id, p.model_version, p.predicted_price, coalesce(p.price, l.price) AS price "

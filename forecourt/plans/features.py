@@ -16,7 +16,7 @@ from ..operators.market_index import (
     recompute_index,
 )
 from ..schema import INDEX_DATE, MARKET_INDEX, MARKET_KEYS
-from ..sources.tables import create_table, merge_table
+from ..sources.tables import create_table, merge_newer, merge_table
 from ..staging import staged
 from .ingest import last_load
 
@@ -33,7 +33,7 @@ def index_range(spark: SparkSession, tables, run_date, backfill_days=BACKFILL_DA
 
 
 def apply_changes(spark: SparkSession, index_table, listings: DataFrame, changes: DataFrame, run_date):
-    """Recomputes and merges the index rows that changed (key, day) pairs have a part in; gives their number.
+    """Recomputes and merges the index rows that changed (key, day) pairs have a part in; gives the set of their dates.
 
     A label that arrives however late thus enters the index. Only the listing days within the windows of those rows are
     read, and only the index dates among them are rewritten.
@@ -41,13 +41,13 @@ def apply_changes(spark: SparkSession, index_table, listings: DataFrame, changes
     index = spark.table(index_table)
     start = index.agg(F.min(INDEX_DATE)).first()[0]
     if start is None:
-        return 0
+        return set()
     with staged(affected_rows(changes, index, start, run_date)) as affected:
         days = days_read(affected)
         if not days:
-            return 0
+            return set()
         merge_table(spark, index_table, recompute_index(listings, affected, days), [*MARKET_KEYS, INDEX_DATE])
-        return affected.count()
+        return {r[0] for r in affected.select(INDEX_DATE).distinct().collect()}
 
 
 def _applied(spark, index_table):
@@ -64,13 +64,13 @@ def refresh_market_index(spark: SparkSession, tables, run_date, *, backfill_days
     """
     seen = last_load(spark, tables)
     new = not spark.catalog.tableExists(tables.index)
-    span = build_market_index(spark, tables, run_date, backfill_days=backfill_days)
+    span, touched = build_market_index(spark, tables, run_date, backfill_days=backfill_days), set()
     if not new and seen:
         changes = spark.table(tables.changes).where((F.col("load") > _applied(spark, tables.index)) & (F.col("load") <= seen))
-        apply_changes(spark, tables.index, spark.table(tables.listings), changes.drop("load"), run_date)
+        touched = apply_changes(spark, tables.index, spark.table(tables.listings), changes.drop("load"), run_date)
     spark.sql(f"ALTER TABLE {tables.index} SET TBLPROPERTIES ('applied_load' = '{seen}')")
     if publish:
-        publish_latest(spark, tables)
+        publish_latest(spark, tables, _between(*span) | touched)
     return span
 
 
@@ -81,10 +81,23 @@ def build_market_index(spark: SparkSession, tables, run_date, *, backfill_days=B
     create_table(spark, tables.index, MARKET_INDEX, partition_by=INDEX_DATE)
     merge_table(spark, tables.index, compute_market_index(listings, start, end), [*MARKET_KEYS, INDEX_DATE])
     if publish:
-        publish_latest(spark, tables)
+        publish_latest(spark, tables, _between(start, end))
     return start, end
 
 
-def publish_latest(spark: SparkSession, tables):
-    """Rewrites the look-up table of every key's newest row."""
-    latest_features(spark.table(tables.index)).write.mode("overwrite").format("parquet").saveAsTable(tables.latest_index)
+def publish_latest(spark: SparkSession, tables, dates=None):
+    """Brings the look-up table of every key's newest row up to date.
+
+    The first time it is made from the whole index. Afterwards only the index rows of ``dates``, those a run has written,
+    are read and merged where they are as new as what is published; without ``dates`` all are.
+    """
+    index = spark.table(tables.index)
+    if not spark.catalog.tableExists(tables.latest_index):
+        create_table(spark, tables.latest_index, MARKET_INDEX)
+        dates = None
+    rows = index if dates is None else index.where(F.col(INDEX_DATE).isin(sorted(dates)))
+    merge_newer(spark, tables.latest_index, latest_features(rows).select(*MARKET_INDEX.names), MARKET_KEYS, INDEX_DATE)
+
+
+def _between(start, end):
+    return {start + dt.timedelta(days=k) for k in range((end - start).days + 1)}

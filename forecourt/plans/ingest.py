@@ -27,7 +27,9 @@ def feed_window(feed: DataFrame, run_date, table_existed, first_days=FIRST_BACKF
 
 def feed_digest(feed: DataFrame) -> str:
     """A name for a feed by its content, whatever the order of its rows."""
-    row = feed.agg(F.count("*").alias("n"), F.sum(F.xxhash64(*feed.columns).cast("decimal(38,0)")).alias("s")).first()
+    # A map has no hash of its own; its text has one.
+    cells = [F.to_json(c) if kind.startswith("map") else F.col(c) for c, kind in feed.dtypes]
+    row = feed.agg(F.count("*").alias("n"), F.sum(F.xxhash64(*cells).cast("decimal(38,0)")).alias("s")).first()
     return f"{row.n}-{row.s}"
 
 

@@ -37,6 +37,7 @@ from .schema import (
     RAW_COLUMNS,
     RAW_LISTINGS,
     REQUEST_COLUMNS,
+    RESCUED,
     RUN_DATE,
     SCORED_AT,
 )
@@ -48,6 +49,7 @@ from .sources.tables import (
     create_like,
     create_table,
     latest_snapshot,
+    merge_newer,
     merge_table,
     profile_name,
     read_snapshot,
@@ -190,6 +192,22 @@ def dq_quarantine_by_id(spark, sf_dir):
     return quality.as_text(quality.quarantine(feed, by_id=True, as_of=AS_OF))
 
 
+@query(sql.CSV_RESCUED)
+def csv_rescued(spark, sf_dir):
+    # Numbers and dates that are none: the rows are held back, with the text that came.
+    listings, path = view(spark, sf_dir, "listings"), _folder(spark)
+    text = {c: F.col(c).cast("string") for c in ("year", LABEL, LISTING_DATE)}
+    spoilt = listings.withColumns(
+        {
+            "year": F.when(F.expr(sql.BAD_YEAR), F.concat(F.lit("MY "), text["year"])).otherwise(text["year"]),
+            LABEL: F.when(F.expr(sql.BAD_PRICE), F.lit("on request")).otherwise(text[LABEL]),
+        }
+    )
+    spoilt.write.option("header", True).csv(path)
+    feed = read_listings_csv(spark, path, rescue=True)
+    return quality.as_text(quality.quarantine(feed, as_of=AS_OF)).select(LISTING_ID, "year", LABEL, RESCUED)
+
+
 # --- dates and splits
 
 
@@ -400,7 +418,7 @@ def upsert_partial(spark, sf_dir):
         }
     )
     merged = upsert(stored, fresh, [LISTING_ID, MODEL_VERSION], update_cols=[PREDICTION, SCORED_AT])
-    return merged.withColumn(SCORED_AT, F.col(SCORED_AT).cast("string"))
+    return merged.select(LISTING_ID, LISTING_DATE, MODEL_VERSION, PREDICTION, LABEL, F.col(SCORED_AT).cast("date").alias("scored_on"))
 
 
 @query(sql.LABEL_BACKFILL)
@@ -455,6 +473,18 @@ def feature_merge(spark, sf_dir):
     return _rounded(spark.table(name), *MARKET_FEATURES[1:])
 
 
+@query(sql.LATEST_FEATURES)
+def publish_incremental(spark, sf_dir):
+    # First half a history, then the rest, then a run for an old day once more, which must not set anything back.
+    index, name = _index(view(spark, sf_dir, "listings")), f"latest_{uuid.uuid4().hex}"
+    create_table(spark, name, MARKET_INDEX)
+    day, cut = F.col(INDEX_DATE), F.lit(sql.MERGED_FROM).cast("date")
+    for rows in (index.where(day < cut), index.where(day >= cut), index.where(day == cut)):
+        newest = market_index.latest_features(rows).select(*MARKET_INDEX.names)
+        merge_newer(spark, name, newest, MARKET_KEYS, INDEX_DATE)
+    return _rounded(spark.table(name), *MARKET_FEATURES[1:])
+
+
 @query(sql.HISTORY_MERGE)
 def history_merge(spark, sf_dir):
     # A run and its rerun, which may retrain: one row stays, the later one.

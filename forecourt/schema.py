@@ -13,6 +13,8 @@ MODEL_VERSION = "model_version"
 SCORED_AT = "scored_at"
 INDEX_DATE = "index_date"
 RUN_DATE = "run_date"
+#: Text of cells that did not fit their type, by column.
+RESCUED = "rescued_text"
 
 # Column names and category lists of the data contract.
 CATEGORICAL = ["make", "model", "body_type", "fuel_type", "transmission", "drivetrain", "condition", "region"]
@@ -78,13 +80,27 @@ _TYPES.update(
 )
 
 
-def layout(columns, required=()):
-    """A ``StructType`` for the named columns; a column without a listed type is text."""
-    return T.StructType([T.StructField(c, _TYPES.get(c, T.StringType()), c not in required) for c in columns])
+# What the columns of the listings table and of the index mean, for readers of the catalog.
+_NOTES = {
+    LISTING_ID: "id of a listing, unique in the marketplace",
+    LISTING_DATE: "day of the listing or sale",
+    LABEL: "sale price in US dollars, what the model learns; unknown until the sale",
+    INDEX_DATE: "day the trailing window ends before",
+    MARKET_FEATURES[0]: "listings of the key in the 30 days before",
+}
+
 
+def layout(columns, required=(), notes=()):
+    """A ``StructType`` for the named columns; a column without a listed type is text. ``notes`` names those with a comment."""
+    return T.StructType(
+        [T.StructField(c, _TYPES.get(c, T.StringType()), c not in required, {"comment": _NOTES[c]} if c in notes else None) for c in columns]
+    )
 
-RAW_LISTINGS = layout(RAW_COLUMNS, required=[LISTING_ID, LISTING_DATE])
-MARKET_INDEX = layout([*MARKET_KEYS, INDEX_DATE, *MARKET_FEATURES], required=[*MARKET_KEYS, INDEX_DATE])
+
+RAW_LISTINGS = layout(RAW_COLUMNS, required=[LISTING_ID, LISTING_DATE], notes=[LISTING_ID, LISTING_DATE, LABEL])
+MARKET_INDEX = layout(
+    [*MARKET_KEYS, INDEX_DATE, *MARKET_FEATURES], required=[*MARKET_KEYS, INDEX_DATE], notes=[INDEX_DATE, MARKET_FEATURES[0]]
+)
 # Days whose listings changed, by the number of the load that changed them.
 LISTING_CHANGES = T.StructType(
     [*[T.StructField(k, T.StringType()) for k in MARKET_KEYS], T.StructField("day", T.DateType()), T.StructField("load", T.LongType())]

@@ -13,10 +13,12 @@ from forecourt.sources.tables import (
     create_like,
     create_table,
     latest_snapshot,
+    merge_newer,
     merge_table,
     read_snapshot,
     read_version,
     refresh_baseline,
+    required_columns,
     write_quarantine,
     write_snapshot,
 )
@@ -209,3 +211,36 @@ def test_csv_feed(spark, make_listings, tmp_path):
 def test_layout_spreads_a_crowded_day(spark, make_listings):
     df = clustered(make_listings([listing(i) for i in range(400)]), LISTING_DATE, LISTING_ID, partitions=4)
     assert df.select(F.spark_partition_id()).distinct().count() > 1
+
+
+def test_comments_and_required_columns_of_a_table(spark, make_listings):
+    name = "declared_cars"
+    create_table(spark, name, RAW_LISTINGS, partition_by=LISTING_DATE)
+    notes = {r.col_name: r.comment for r in spark.sql(f"DESCRIBE TABLE {name}").collect() if not r.col_name.startswith("#")}
+    assert "marketplace" in notes["listing_id"] and "dollars" in notes["price"] and not notes["make"]
+    assert required_columns(spark, name) == ["listing_id", LISTING_DATE]
+    merge_table(spark, name, make_listings([listing(1), listing(2)]), ["listing_id"])
+    lacking = list(listing(3))
+    lacking[0] = None
+    with pytest.raises(Exception, match="a row lacks listing_id"):
+        merge_table(spark, name, make_listings([listing(4), tuple(lacking)]), ["listing_id"])
+    assert {r.listing_id for r in spark.table(name).collect()} == {"id-1", "id-2"}
+    # Tables made without such columns are not held to any.
+    create_table(spark, "undeclared", layout(["run_date", "feature"]))
+    assert required_columns(spark, "undeclared") == []
+
+
+def test_only_newer_rows_replace_published_ones(spark):
+    schema = "make string, region string, day int, n long"
+    create_table(spark, "published_rows", spark.createDataFrame([], schema).schema)
+
+    def publish(*rows):
+        merge_newer(spark, "published_rows", spark.createDataFrame(rows, schema), ["make", "region"], "day")
+        return {(r.make, r.region): (r.day, r.n) for r in spark.table("published_rows").collect()}
+
+    assert publish(("a", "x", 3, 1), ("b", "x", 3, 2)) == {("a", "x"): (3, 1), ("b", "x"): (3, 2)}
+    assert publish(("a", "x", 2, 9), ("c", "x", 1, 5)) == {("a", "x"): (3, 1), ("b", "x"): (3, 2), ("c", "x"): (1, 5)}
+    # The same day again takes the new row; a null column of a newer row counts as well.
+    assert publish(("a", "x", 3, 7), ("b", "x", 4, None)) == {("a", "x"): (3, 7), ("b", "x"): (4, None), ("c", "x"): (1, 5)}
+    with pytest.raises(Exception, match="repeats a key"):
+        publish(("a", "x", 5, 1), ("a", "x", 6, 2))
