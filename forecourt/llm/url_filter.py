@@ -39,11 +39,27 @@ def url_path(url):
     return F.coalesce(F.regexp_extract(url, r"(?s)^.*?://[^/?#]*([^?#]*)", 1), F.lit(""))
 
 
+def _plain_path(path):
+    """A path without ``.`` and ``..`` segments; an empty one is ``/``. Paths beyond the root stay at the root."""
+
+    def step(kept, segment):
+        up = F.slice(kept, 1, F.greatest(F.size(kept) - 1, F.lit(0)))
+        return F.when(segment == ".", kept).when(segment == "..", up).otherwise(F.concat(kept, F.array(segment)))
+
+    segments = F.split(path, "/")
+    kept = F.aggregate(F.slice(segments, 2, F.greatest(F.size(segments) - 1, F.lit(0))), F.array().cast("array<string>"), step)
+    ended = F.when(F.element_at(segments, -1).isin(".", "..") & (F.size(kept) > 0), F.lit("/")).otherwise(F.lit(""))
+    plain = F.concat(F.lit("/"), F.array_join(kept, "/"), ended)
+    return F.when(path == "", F.lit("/")).when(path.rlike(r"/\.\.?(?:/|$)"), plain).otherwise(path)
+
+
 def url_node(url):
-    """The resource a URL names: scheme and host lowered, path and query, without the fragment."""
-    rest = F.regexp_extract(url, r"(?s)^.*?://[^/?#]*([^#]*)", 1)
+    """The resource a URL names: scheme and host lowered, without a default port, plain path and query, no fragment."""
+    query = F.regexp_extract(url, r"(?s)^.*?://[^?#]*(\?[^#]*)", 1)
     scheme = F.lower(F.regexp_extract(url, r"(?s)^(.*?)://", 1))
-    return F.when(url.contains("://"), F.concat(scheme, F.lit("://"), url_host(url), rest))
+    port = F.when(scheme == "http", r":(80)?$").when(scheme == "https", r":(443)?$").otherwise(r":$")
+    host = F.regexp_replace(url_host(url), port, F.lit(""))
+    return F.when(url.contains("://"), F.concat(scheme, F.lit("://"), host, _plain_path(url_path(url)), query))
 
 
 def fitting(rules, host, path, value):

@@ -137,6 +137,26 @@ def test_urls_and_aliases(spark):
     assert url_filter.judge_urls(pages.limit(0), URL_RULES).collect() == []
 
 
+def test_names_of_one_resource(spark):
+    alike = [
+        ("http://a.org", "http://a.org/"),
+        ("HTTP://A.org:80/x", "http://a.org/x"),
+        ("https://a.org:443", "https://a.org/#part"),
+        ("http://a.org/b/../c/./d?e=../f", "http://a.org/c/d?e=../f"),
+        ("http://a.org/b/..", "http://a.org/"),
+        ("http://a.org/../../b/.", "http://a.org/b/"),
+        ("http://a.org:/?q", "http://a.org/?q"),
+    ]
+    apart = [("http://a.org:443/", "http://a.org/"), ("http://a.org/b", "http://a.org/b/"), ("http://a.org/.b/..c", "http://a.org/c"), ("http://a.org/?A", "http://a.org/?a")]
+    rows = spark.createDataFrame([(*p, True) for p in alike] + [(*p, False) for p in apart], "a string, b string, same boolean")
+    for r in rows.withColumns({"na": url_filter.url_node(F.col("a")), "nb": url_filter.url_node(F.col("b"))}).collect():
+        assert (r.na == r.nb) == r.same, r
+    # A block follows a canonical link although the page's own name is written in another way.
+    blocked = [(1, "http://example.org/es/x", None), (2, "http://b.net", '<link rel="canonical" href="http://example.org/es/./x">'), (3, "http://b.net:80/", None)]
+    pages = spark.createDataFrame(blocked, "page_id long, url string, html string")
+    assert {r.page_id: r.verdict for r in url_filter.judge_urls(pages, URL_RULES).collect()} == {1: "block", 2: "block", 3: "block"}
+
+
 def test_urls_of_the_pages_table(spark):
     pages = spark.read.parquet("/root/testdata/sf0.01/pages.parquet")
     urls = {r.page_id: r.url for r in pages.select("page_id", "url").collect()}
