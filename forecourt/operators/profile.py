@@ -12,6 +12,7 @@ from pyspark.sql import types as T
 
 from ..functions.columns import number
 from ..schema import DRIFT_CATEGORICAL, DRIFT_NUMERIC, MODEL_VERSION, PREDICTION, SCORED_AT
+from ..staging import read_once
 from .psi import BINS, DRIFT_THRESHOLD, SHARE_FLOOR, known_values, quantile_edges
 from .regression import SLICES
 
@@ -76,6 +77,7 @@ def cell_counts(df: DataFrame, edges, categorical, by=(), slices=()) -> DataFram
 
 def baseline_profile(baseline: DataFrame, numeric=(*DRIFT_NUMERIC, PREDICTION), categorical=DRIFT_CATEGORICAL, slices=SLICES, bins=BINS) -> DataFrame:
     """The profile of a baseline. Its edges are exact quantiles; one row per numeric column reaches the driver."""
+    baseline = read_once(baseline.select(*{*numeric, *categorical, *slices}))
     one, none = F.lit(1).cast("long"), F.lit(0).cast("long")
     values = known_values(baseline, numeric, numeric=True).select("*", one.alias("n_ref"), none.alias("n_cur"))
     edges = {r.feature: list(r.edges) for r in quantile_edges(values, bins).collect()} if numeric else {}

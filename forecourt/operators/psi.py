@@ -10,6 +10,7 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from ..functions.columns import number
+from ..staging import read_once
 
 # Floor of a share, default number of quantile bins, drift threshold.
 SHARE_FLOOR = 1e-4
@@ -45,7 +46,11 @@ def value_counts(reference: DataFrame, current: DataFrame, columns, numeric) ->
 
 
 def number_rows(reference: DataFrame, current: DataFrame, columns) -> DataFrame:
-    """``(feature, value, n_ref, n_cur)`` per known value and row of numeric columns; several passes read it in place."""
+    """``(feature, value, n_ref, n_cur)`` per known value and row of numeric columns, for several passes.
+
+    A side that is a plain scan is read in place; one that joins is computed once, its numeric columns alone.
+    """
+    reference, current = (read_once(side.select(*columns)) for side in (reference, current))
     return (
         known_values(reference, columns, numeric=True)
         .select("*", F.lit(1).cast("long").alias("n_ref"), F.lit(0).cast("long").alias("n_cur"))

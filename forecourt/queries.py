@@ -58,6 +58,7 @@ from .sources.tables import (
     write_snapshot,
 )
 from .sources.views import view
+from .staging import read_once
 
 AS_OF = sql.AS_OF
 QUERIES = {}
@@ -84,6 +85,11 @@ def _folder(spark):
     return f"{checkpoint_dir(spark)}/check-{uuid.uuid4().hex}"
 
 
+def _once(spark, sf_dir, name, *columns):
+    """A view that the query reads several times, joined together once; of its columns those that are needed."""
+    return read_once(view(spark, sf_dir, name).select(*(columns or ["*"])))
+
+
 def _year_index(listings):
     source = market_index.index_input(listings, sql.INDEX_START, sql.INDEX_END)
     return market_index.compute_market_index(source, sql.INDEX_START, sql.INDEX_END)
@@ -127,7 +133,7 @@ def index_change_driven(spark, sf_dir):
 
 @query(sql.PIT_JOIN)
 def pit_join(spark, sf_dir):
-    listings = view(spark, sf_dir, "listings")
+    listings = _once(spark, sf_dir, "listings", LISTING_ID, LISTING_DATE, *MARKET_KEYS, LABEL, "year", "mileage")
     joined = point_in_time_join(listings, _index(listings))
     kept = joined.select(LISTING_ID, LISTING_DATE, *MARKET_KEYS, LABEL, *[F.col(c).cast("double") for c in MARKET_FEATURES])
     return _rounded(kept, *MARKET_FEATURES[1:])
@@ -135,7 +141,7 @@ def pit_join(spark, sf_dir):
 
 @query(sql.LATEST_FEATURES)
 def latest_features(spark, sf_dir):
-    newest = market_index.latest_features(_index(view(spark, sf_dir, "listings")))
+    newest = market_index.latest_features(_index(_once(spark, sf_dir, "listings", LISTING_DATE, *MARKET_KEYS, LABEL, "year", "mileage")))
     return _rounded(newest, *MARKET_FEATURES[1:])
 
 
@@ -237,15 +243,15 @@ def holdout_split(spark, sf_dir):
 
 @query(sql.MODEL_INPUT)
 def model_input_contract(spark, sf_dir):
-    listings = view(spark, sf_dir, "listings")
+    listings = _once(spark, sf_dir, "listings")
     ready = model_input.to_model_input(point_in_time_join(listings, _index(listings)), keep=[LISTING_ID])
     return _rounded(ready, *MARKET_FEATURES[1:])
 
 
 @query(sql.REQUEST_FEATURES)
 def request_features(spark, sf_dir):
-    dirty = add_calendar_cols(view(spark, sf_dir, "listings_dirty"))
-    joined = point_in_time_join(dirty, _index(view(spark, sf_dir, "listings")))
+    dirty = add_calendar_cols(_once(spark, sf_dir, "listings_dirty"))
+    joined = point_in_time_join(dirty, _index(_once(spark, sf_dir, "listings", LISTING_DATE, *MARKET_KEYS, LABEL, "year", "mileage")))
     return _rounded(add_features(joined, keep=[LISTING_ID], luxury_makes=sql.LUXURY), *NUMERIC_FEATURES)
 
 
@@ -353,7 +359,8 @@ def category_frequency(spark, sf_dir):
 
 
 def _champion_drift(spark, sf_dir):
-    return drift_of_window(*_periods(view(spark, sf_dir, "predictions").where(F.col(MODEL_VERSION) == "1")))
+    columns = [LISTING_DATE, MODEL_VERSION, PREDICTION, *DRIFT_NUMERIC, *DRIFT_CATEGORICAL]
+    return drift_of_window(*_periods(_once(spark, sf_dir, "predictions", *columns).where(F.col(MODEL_VERSION) == "1")))
 
 
 @query(sql.DRIFT_REPORT)
@@ -372,8 +379,8 @@ def drift_summary(spark, sf_dir):
 
 def _baseline_and_later(spark, sf_dir):
     """The first model's predictions before the period starts, and those of all models from then on."""
-    predictions = view(spark, sf_dir, "predictions")
-    before, after = _periods(predictions)
+    columns = [LISTING_DATE, SCORED_AT, MODEL_VERSION, PREDICTION, *DRIFT_NUMERIC, *{*DRIFT_CATEGORICAL, *regression.SLICES}]
+    before, after = _periods(_once(spark, sf_dir, "predictions", *columns))
     return before.where(F.col(MODEL_VERSION) == "1"), after
 
 
@@ -497,7 +504,7 @@ def history_merge(spark, sf_dir):
 
 @query(sql.BASELINE_REFRESH)
 def baseline_refresh(spark, sf_dir):
-    predictions, name = view(spark, sf_dir, "predictions"), f"baseline_{uuid.uuid4().hex}"
+    predictions, name = _once(spark, sf_dir, "predictions"), f"baseline_{uuid.uuid4().hex}"
     for champion in ("1", "2", "2"):
         champion_rows = predictions.where(F.col(MODEL_VERSION) == champion)
         refresh_baseline(spark, name, champion, lambda rows=champion_rows: rows, path=_folder(spark))
@@ -536,7 +543,8 @@ def promotion_same_version(spark, sf_dir):
 
 
 def _history(spark, sf_dir, auto_retrain=False):
-    predictions = view(spark, sf_dir, "predictions")
+    columns = [LISTING_DATE, SCORED_AT, MODEL_VERSION, LABEL, PREDICTION, *DRIFT_NUMERIC, *DRIFT_CATEGORICAL]
+    predictions = _once(spark, sf_dir, "predictions", *columns)
     champion = predictions.where(F.col(MODEL_VERSION) == "1")
     baseline = champion.where(F.col(LISTING_DATE) < F.lit(sql.PERIOD_START).cast("date"))
     window = champion_window(predictions, "1", sql.RUN_DATE, sql.WINDOW_DAYS)

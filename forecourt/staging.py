@@ -24,6 +24,12 @@ def _copy(df):
     return spark.read.schema(df.schema).parquet(path), path
 
 
+def read_once(df: DataFrame) -> DataFrame:
+    """``df`` for several passes: as it is where a pass only scans, staged where it would join or aggregate every time."""
+    plan = df._jdf.queryExecution().optimizedPlan().toString()
+    return stage(df) if any(f"{node} " in plan for node in ("Join", "Aggregate", "Window")) else df
+
+
 @contextmanager
 def staged(df: DataFrame):
     """Like :func:`stage` for work that is done by the end of the block; the copy is removed then."""
