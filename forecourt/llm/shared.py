@@ -1,10 +1,13 @@
 """What the operators of this package share: fixed copies, shared files, and Arrow helpers for work inside tasks."""
 
+import inspect
 import posixpath
 import uuid
+from functools import wraps
 
 import pyarrow as pa
 from pyarrow import fs
+from pyspark.sql import functions as F
 
 from ..session import checkpoint_dir
 
@@ -18,6 +21,39 @@ def fixed(df):
     return df.checkpoint()
 
 
+def by_place(function):
+    """Makes a function of (docs, ..., id_col, text_col, ...) that returns rows of ``docs`` blind to the columns' names: it
+    sees them numbered, so no caller's column can meet one of its own."""
+    signature = inspect.signature(function)
+
+    @wraps(function)
+    def run(*args, **options):
+        given = signature.bind(*args, **options)
+        given.apply_defaults()
+        docs = given.arguments["docs"]
+        numbered = {name: f"c{k}" for k, name in enumerate(docs.columns)}
+        lowered = {name.lower(): place for name, place in numbered.items()}
+        for column in ("id_col", "text_col"):
+            name = given.arguments[column]
+            given.arguments[column] = numbered.get(name) or lowered[name.lower()]
+        given.arguments["docs"] = docs.toDF(*numbered.values())
+        return function(*given.args, **given.kwargs).toDF(*docs.columns)
+
+    return run
+
+
+def drawn(rows, draw, n):
+    """At most ``n`` rows, those with the smallest values of ``draw``, a column of evenly spread longs.
+
+    Few more than ``n`` rows leave the tasks: a threshold is set from the number of rows before they are sorted.
+    """
+    total = rows.count()
+    if total > 2 * n:
+        reach = int((2 * n + 100) / total * 2.0**64) - 2**63
+        rows = rows.where(F.col(draw) <= F.lit(min(reach, 2**63 - 1)))
+    return rows.orderBy(*[draw, *[c for c in rows.columns if c != draw]]).limit(n)
+
+
 def folder(spark, name):
     """A new folder's path below the shared checkpoint folder, for files that tasks write."""
     return f"{checkpoint_dir(spark).rstrip('/')}/{name}-{uuid.uuid4().hex}"

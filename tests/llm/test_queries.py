@@ -9,7 +9,8 @@ from collections import Counter
 import duckdb
 import pytest
 from llm_cases import docs, odd, sample  # noqa: F401
-from test_dedup import brute_components, brute_exact, brute_fingerprint
+from test_dedup import brute_exact
+from test_jaccard import brute_groups
 from test_tokens import WORDS, crc, expected_tokens
 
 import __spark_entry__ as entry_point
@@ -36,12 +37,15 @@ def test_same_rows_as_sql(spark, name):
 
 
 def test_every_operator_has_a_query_over_its_whole_table(spark):
-    assert {n.split("_")[0] for n in queries.QUERIES} == {f"op{k}" for k in range(1, 11)}
+    assert {n.split("_")[0] for n in queries.QUERIES} == {f"op{k}" for k in range(1, 14)}
     assert set(queries.QUERIES) | {"pipeline"} <= set(entry_point.queries())
     sizes = {t: spark.read.parquet(f"{SMALL}/{t}.parquet").count() for t in ("documents", "pages")}
+    conversations = spark.read.parquet(f"{SMALL}/conversations.parquet").select("conv_id").distinct().count()
+    assert queries.QUERIES["op11_turn_repair"](spark, SMALL).count() == conversations
+    assert queries.QUERIES["op13_prefix_trie"](spark, SMALL).where("depth = 0").first().n_convs == conversations
     for name, run in queries.QUERIES.items():
         rows = run(spark, SMALL).count()
-        if not name.startswith("op6"):
+        if name.split("_")[0] not in ("op6", "op11", "op13"):
             assert rows == sizes["pages" if name[:4] in ("op4_", "op8_") else "documents"], name
 
 
@@ -85,10 +89,8 @@ def test_pipeline_stages_against_brute_force(spark):
     exact = {keep for _, keep, _, _, _ in brute_exact(list(texts[1].items()))}
     assert texts[2] == {i: texts[1][i] for i in exact} and len(texts[2]) < len(texts[1])
 
-    marks = {i: brute_fingerprint(t) for i, t in texts[2].items()}
-    links = [(a, b) for a in marks for b in marks if a < b and (marks[a] ^ marks[b]).bit_count() <= 3]
-    label = brute_components(links)
-    assert set(texts[3]) == {label.get(i, i) for i in marks}
+    groups = brute_groups(list(texts[2].items()))
+    assert set(texts[3]) == {keep for _, keep in groups} and len(texts[3]) < len(texts[2])
 
     assert texts[4] == uncovered(list(texts[3].items()))
     assert sum(map(len, texts[4].values())) < sum(map(len, texts[3].values()))
