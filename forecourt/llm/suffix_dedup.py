@@ -24,7 +24,7 @@ import pyarrow as pa
 import zstandard
 from pyspark.sql import functions as F
 
-from .shared import binary_column, forget
+from .shared import binary_column, by_place, forget
 
 LENGTH, GRAM = 50, 16
 #: Anchors in a window; bits of an anchor's hash; bytes of context of which a common window holds those on one side of
@@ -37,6 +37,8 @@ SLICE, BATCH = 1 << 19, 8 << 20
 BUCKET_BYTES, CROWD = 6 << 20, 8192
 #: A null id is larger than all others, and stands for this plus a hash of its text.
 NO_ID = 1 << 62
+#: Bytes of cut segments that a task holds before it sends them on.
+CUT_BYTES = 4 << 20
 
 _RANDOM = np.random.default_rng(20_240_917)
 _TABLE = _RANDOM.integers(0, 1 << 64, 256, dtype=np.uint64)
@@ -348,24 +350,36 @@ def _texts(batch, text_col):
 
 
 def _cut(batches, buckets, text_col):
-    """Texts with their segments to be looked at, to a row with the bytes of each."""
+    """Texts with their segments to be looked at, to a row with the bytes of each, a few MB at a time."""
+
+    def sent(rows):
+        return pa.RecordBatch.from_arrays([pa.array(c, f.type) for c, f in zip(zip(*rows), CUT)], schema=CUT)
+
     for batch in batches:
         texts = _texts(batch, text_col)
         ids, hashes = batch.column(0).to_pylist(), batch.column(1).to_pylist()
         parts = batch.column(batch.schema.get_field_index("_segments"))
-        rows = []
+        rows, size = [], 0
         for text, i, h, segs in zip(texts, ids, hashes, parts):
             fields = [segs.values.field(k).to_pylist() for k in range(4)]
             for kind, anchor, start, length in zip(*fields):
                 if kind == CLOSELY:
                     rows.append((anchor % buckets, anchor, i, h, start, text[start : start + length]))
+                    size += length
+                    if size > CUT_BYTES:
+                        yield sent(rows)
+                        rows, size = [], 0
                     continue
                 for at in range(start, start + length - LENGTH + 1):  # each window of a crowded anchor by its own hash
                     piece = text[at : at + LENGTH]
                     key = int.from_bytes(hashlib.blake2b(piece, digest_size=8).digest(), "little", signed=True)
                     rows.append((key % buckets, key, i, h, at, piece))
+                    size += 4 * LENGTH  # with what a short row costs in Python
+                    if size > CUT_BYTES:
+                        yield sent(rows)
+                        rows, size = [], 0
         if rows:
-            yield pa.RecordBatch.from_arrays([pa.array(c, f.type) for c, f in zip(zip(*rows), CUT)], schema=CUT)
+            yield sent(rows)
 
 
 def common_extension(hashes, a, b, limit=LENGTH):
@@ -579,7 +593,8 @@ def repeated_passages(docs, id_col="doc_id", text_col="text", bucket_bytes=BUCKE
     """One row per document: doc_id, n_bytes, n_removed, n_spans, kept_sha256.
 
     Null and empty texts, and texts of fewer than 50 bytes, keep all their bytes. Ids are integers; a null id is larger
-    than all others, rows with equal ids are not smaller than each other. An empty table gives no rows; other columns are
+    than all others, rows with equal ids are not smaller than each other, and null ids stand in the order of a hash of their
+    texts. An empty table gives no rows; other columns are
     not looked at.
     """
     narrow = docs.select(F.col(id_col).cast("long").alias("_doc_id"), F.col(text_col).alias("_source_text"))
@@ -587,6 +602,7 @@ def repeated_passages(docs, id_col="doc_id", text_col="text", bucket_bytes=BUCKE
     return found.mapInArrow(_described, "doc_id long, n_bytes long, n_removed long, n_spans long, kept_sha256 string")
 
 
+@by_place
 def drop_passages(docs, id_col="doc_id", text_col="text", bucket_bytes=BUCKET_BYTES, crowd=CROWD):
     """``docs`` with the repeated passages cut out of the text, all other columns as they are.
 
