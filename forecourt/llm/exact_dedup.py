@@ -11,7 +11,7 @@ import pyarrow as pa
 from pyspark.sql import Window
 from pyspark.sql import functions as F
 
-from .shared import SPACES, fixed
+from .shared import SPACES, by_place, fixed
 
 #: Counters of a Misra-Gries summary, and so the most digests that are broadcast.
 COUNTERS = 4096
@@ -99,6 +99,7 @@ def exact_dedup(docs, id_col="doc_id", text_col="text", counters=COUNTERS):
     )
 
 
+@by_place
 def drop_copies(docs, id_col="doc_id", text_col="text", counters=COUNTERS):
     """``docs`` without the rows that :func:`exact_dedup` drops, all columns as they are."""
     decided = _decide(docs, id_col, text_col, counters)

@@ -16,7 +16,7 @@ import xxhash
 from pyspark.sql import functions as F
 
 from .components import connected_components
-from .shared import binary_column, fixed, forget
+from .shared import binary_column, by_place, fixed, forget
 
 BITS, RADIUS, WORDS, SEED = 64, 3, 3, 42
 #: Nodes of a bucket from which it is dealt out by further masks.
@@ -131,6 +131,7 @@ def simhash_groups(docs, id_col="doc_id", text_col="text", words=WORDS, radius=R
     )
 
 
+@by_place
 def drop_near_copies(docs, id_col="doc_id", text_col="text", **options):
     """``docs`` with one document of each component: the one whose id is the component's.
 
