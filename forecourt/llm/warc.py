@@ -17,7 +17,7 @@ import pyarrow as pa
 import zstandard
 from pyspark.sql import functions as F
 
-from .shared import binary_column, file_system, fixed, folder, put_file
+from .shared import binary_column, drawn, file_system, fixed, folder, put_file
 
 MAGIC = 0x184D2A5D
 #: Payload bytes from which an archive is closed; and what the dictionary is fitted on: pages, bytes of each, its size.
@@ -142,7 +142,7 @@ def frames(data):
 def fit_dictionary(pages, id_col="page_id", html_col="html"):
     """A Zstandard dictionary from a bounded sample of pages, drawn by a hash of their ids; empty if they are too few."""
     sample = pages.select(F.substring(html_col, 1, SAMPLE_BYTES).alias("html"), F.xxhash64(id_col, html_col).alias("draw"))
-    rows = sample.where("html is not null").orderBy("draw").limit(SAMPLE_PAGES).collect()
+    rows = drawn(sample.where("html is not null"), "draw", SAMPLE_PAGES).collect()
     try:
         return zstandard.train_dictionary(DICTIONARY_BYTES, [r.html.encode() for r in rows]).as_bytes()
     except (zstandard.ZstdError, ValueError):
@@ -223,5 +223,6 @@ def read_archives(manifest, payloads=True):
             names = CONTENT.replace(" long", "").replace(" string", "").split(", ") + ["payload"]
             yield pa.RecordBatch.from_arrays([pa.array(c, k) for c, k in zip(zip(*rows), kinds)], names[: len(rows[0])])
 
-    files = manifest.repartition(F.col("path"))
+    # The number is stated: by its size adaptive execution would leave the manifest to one task, which read every file.
+    files = manifest.repartition(max(1, manifest.count()), "path")
     return files.mapInArrow(read, CONTENT + (", payload binary" if payloads else ""))
