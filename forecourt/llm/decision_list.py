@@ -11,7 +11,7 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import functions as F
 
-from .shared import binary_column, fixed, forget
+from .shared import binary_column, by_place, drawn, fixed, forget
 
 #: A text fails with fewer words, or with a larger percentage of its words in repeated windows of five.
 LEAST_WORDS, MOST_REPEATED, WINDOW = 10, 20, 5
@@ -182,7 +182,7 @@ def fit_list(counts, labels, id_col="doc_id", label_col="quality", limits=FitLim
     labelled = labels.select(F.col(id_col).alias("doc_id"), F.col(label_col).alias("label")).where("label in (0, 1)")
     rows = counts.where(~base_failed()).join(labelled, "doc_id")
     rows = rows.select(F.xxhash64("doc_id").alias("draw"), "doc_id", "label", *[c.alias(n) for n, c in _features().items()])
-    sample = np.array(rows.orderBy("draw", "doc_id", "label").limit(limits.rows).drop("draw", "doc_id").collect(), dtype=float)
+    sample = np.array(drawn(rows, "draw", limits.rows).drop("draw", "doc_id").collect(), dtype=float)
     if len(sample) == 0:
         return []
     return learn_list(sample[:, 1:], sample[:, 0] == 0, limits)
@@ -201,13 +201,14 @@ def judge_quality(docs, labels, id_col="doc_id", text_col="text", label_col="qua
     )
 
 
-def drop_low_quality(docs, labels, id_col="doc_id", text_col="text", label_col="quality", limits=FitLimits()):
+@by_place
+def drop_low_quality(docs, labels, id_col="doc_id", text_col="text", label_col="quality", limits=FitLimits(), label_id_col="doc_id"):
     """``docs`` without the documents that :func:`judge_quality` rejects.
 
     The list is learned from counts without texts; for the verdict they are taken once more beside each row, so no text
     is shuffled.
     """
-    rules = fit_list(fixed(quality_counts(docs, id_col, text_col)), labels, id_col, label_col, limits)
+    rules = fit_list(fixed(quality_counts(docs, id_col, text_col)), labels, label_id_col, label_col, limits)
     names = docs.columns
 
     def counted(batches):

@@ -1,0 +1,63 @@
+"""Columns of the caller whose names the operators use inside come through as they are; samples and readers that spread."""
+
+import pytest
+from llm_cases import ODD, importable
+from pyspark.sql import functions as F
+
+from forecourt.llm.decision_list import drop_low_quality
+from forecourt.llm.exact_dedup import drop_copies
+from forecourt.llm.jaccard import drop_similar
+from forecourt.llm.shared import drawn, folder
+from forecourt.llm.simhash import drop_near_copies
+from forecourt.llm.suffix_dedup import drop_passages
+from forecourt.llm.token_files import token_checksums, write_token_files
+from forecourt.llm.warc import read_archives, write_archives
+from forecourt.llm.queries import tokenizer
+
+INSIDE = [
+    "_id", "_hash", "_spans", "_owner", "_owner_hash", "_segments", "_kept_id", "_kept_twins", "_kept_digest", "_kept_doc_id", "_kept_n",
+    "_doc_digest", "_counts", "_row", "_text", "c0", "c1", "digest", "row", "node", "n", "h", "marks", "bucket", "kind", "n_words", "DOC",
+]
+DROPS = {
+    "exact": drop_copies,
+    "near": drop_similar,
+    "simhash": drop_near_copies,
+    "passages": drop_passages,
+    "quality": lambda docs, **o: drop_low_quality(docs, docs.sparkSession.createDataFrame([], "doc_id long, quality int"), **o),
+}
+
+
+@pytest.mark.parametrize("name", sorted(DROPS))
+def test_columns_come_through(spark, name):
+    importable(spark)
+    rows = [(i, t) for i, t in ODD if i is not None] + [(20 + k, f"words of a document that is long enough to keep, number {k}") for k in range(5)]
+    plain = spark.createDataFrame(rows, "doc_id long, text string").distinct()
+    wide = plain.select(F.col("text").alias("Body"), F.col("doc_id").alias("key"), *[F.concat(F.lit(c), F.col("doc_id").cast("string")).alias(c) for c in INSIDE])
+    kept = DROPS[name](wide, id_col="key", text_col="body")
+    assert kept.columns == wide.columns
+    got = {(r.key, r.Body): r for r in kept.collect()}
+    assert set(got) == {tuple(r) for r in DROPS[name](plain).select("doc_id", "text").collect()} and got
+    assert all(r[c] == f"{c}{r.key}" for r in got.values() for c in INSIDE)
+
+
+def test_a_sample_is_the_smallest_draws(spark):
+    rows = spark.range(20_000).select(F.xxhash64("id").alias("draw"), "id").repartition(16)
+    want = sorted(tuple(r) for r in rows.collect())[:50]
+    assert [tuple(r) for r in drawn(rows, "draw", 50).collect()] == want
+    assert drawn(rows.limit(10), "draw", 50).count() == 10 and drawn(rows.limit(0), "draw", 5).count() == 0
+    assert drawn(rows.where(f"draw <= {want[-1][0]}"), "draw", 1000).count() == 50
+
+
+def tasks_with_rows(df):
+    return df.select(F.spark_partition_id().alias("p")).distinct().count()
+
+
+def test_files_are_read_back_by_many_tasks(spark):
+    importable(spark)
+    docs = spark.range(400).select(F.col("id").alias("doc_id"), F.repeat(F.lit("some words here "), 60).alias("text"))
+    at = folder(spark, "many")
+    manifest = write_token_files(docs, tokenizer("byte_bpe_50k.json"), at, file_bytes_=20_000)
+    assert manifest.count() > 4 and tasks_with_rows(token_checksums(manifest, at)) > 2
+    pages = docs.select(F.col("doc_id").alias("page_id"), F.lit("http://a.org/").alias("url"), F.concat("text", F.sha2(F.col("doc_id").cast("string"), 512)).alias("html"))
+    archives = write_archives(pages, archive_bytes=20_000)
+    assert archives.count() > 4 and tasks_with_rows(read_archives(archives, payloads=False)) > 2
