@@ -198,7 +198,8 @@ def _placed(manifest):
     """(path, tokens of all documents before it) of each file; the running sum sees one row per file."""
     before = Window.orderBy("number").rowsBetween(Window.unboundedPreceding, -1)
     placed = manifest.withColumn("start", F.coalesce(F.sum("tokens").over(before), F.lit(0)))
-    return placed.select("path", "start").repartition(F.col("path"))
+    # The number is stated: by its size adaptive execution would leave the manifest to one task, which read every file.
+    return placed.select("path", "start").repartition(max(1, manifest.count()), "path")
 
 
 def _documents(batches, at):
