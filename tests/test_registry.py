@@ -12,6 +12,7 @@ from conftest import SF_SMALL
 import __spark_entry__ as entry_point
 
 from forecourt.queries import ORACLES, QUERIES  # noqa: E402
+from forecourt.schema import PREDICTION_COLUMNS  # noqa: E402
 
 
 @pytest.fixture(scope="module")
@@ -58,3 +59,7 @@ def test_no_python_worker_and_no_pair_join_in_any_plan(spark):
         plan = QUERIES[name](spark, SF_SMALL)._jdf.queryExecution().executedPlan().toString()
         for bad in ("ArrowEvalPython", "BatchEvalPython", "MapInPandas", "FlatMapGroups", "CartesianProduct", "NestedLoop"):
             assert bad not in plan, (name, bad)
+
+
+def test_partial_upsert_gives_every_prediction_column(spark):
+    assert QUERIES["upsert_partial"](spark, SF_SMALL).columns == PREDICTION_COLUMNS
