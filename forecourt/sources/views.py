@@ -74,6 +74,10 @@ FROM {listings}
 _VERSIONS_SPARK = "LATERAL VIEW explode(array('1', '2')) v AS model_version"
 _VERSIONS_SQL = ", unnest(['1', '2']) v(model_version)"
 
+#: HotSpot leaves methods of more than 8000 bytes of code uncompiled. The views' expressions, with rules and features on top,
+#: exceed that in one generated method per stage; beyond this limit Spark runs a stage operator by operator instead.
+_METHOD_BYTES = ("spark.sql.codegen.hugeMethodLimit", "8000")
+
 _DERIVED = {"listings_dirty": LISTINGS_DIRTY, "predictions": PREDICTIONS, "listings_priced": LISTINGS_PRICED}
 
 
@@ -85,7 +89,11 @@ def view_sql(name) -> str:
 
 
 def view(spark: SparkSession, sf_dir, name) -> DataFrame:
-    """An input view over the tables in ``sf_dir``, read in place by whatever uses it."""
+    """An input view over the tables in ``sf_dir``, read in place by whatever uses it.
+
+    The session's stages get a size limit that keeps what is built on the view compiled.
+    """
+    spark.conf.set(*_METHOD_BYTES)
     listings = LISTINGS.format(**{t: f"parquet.`{sf_dir}/{t}.parquet`" for t in BASE_TABLES})
     if name == "listings":
         return spark.sql(listings)
