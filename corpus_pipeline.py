@@ -27,7 +27,8 @@ def exact_copies(spark, docs, sf_dir):
 
 
 def near_copies(spark, docs, sf_dir):
-    """One document of each group of near duplicates: those whose five-word shingles have a Jaccard similarity of 0.8."""
+    """One document of each group of near duplicates: those whose five-word shingles have a Jaccard similarity of 0.8, the
+    almost equal ones of them found by SimHash, the others by prefixes."""
     importable(spark)
     return drop_similar(docs)
 

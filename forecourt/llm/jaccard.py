@@ -1,10 +1,13 @@
-"""Near duplicates by the Jaccard similarity of word shingles: every pair of 0.8 or more, found by prefix filtering.
+"""Near duplicates by word shingles: SimHash, then every other pair of a Jaccard similarity of 0.8 by prefix filtering.
 
 A text is the set of the 64-bit hashes of its five-word shingles. With all sets in one order, two sets that are similar
 enough have a hash in common among the first fifth of each, so only those prefixes are shuffled. The pairs that meet are
 checked on the whole sets; no such pair is missed, whatever the order. The order puts hashes that a sample of the texts
 has more than once last, so that common lines are no meeting point.
 
+SimHash comes first: sets whose fingerprints differ in three bits or fewer are linked, if their Jaccard similarity agrees.
+That finds the almost equal ones; most pairs of 0.8 are further apart and are left to the prefixes.
+
 Large groups are not sent on pair by pair: first every bucket's nodes are checked against one of them, and of what that
 leaves in different components only pairs go on whose marks are close. A set's marks are 2048 bits, each toggled by the
 hashes that fall on it; the marks of two sets differ in no more bits than the sets do in elements, so that no similar pair
@@ -19,7 +22,7 @@ from pyspark.sql import functions as F
 
 from .components import connected_components
 from .shared import binary_column, by_place, fixed, forget
-from .simhash import SEED, shingles
+from .simhash import SEED, link_forest, shingles, simhash, signed
 
 #: Words of a shingle; the similarity from which texts are linked is OF / BY.
 WORDS, OF, BY = 5, 4, 5
@@ -99,10 +102,21 @@ def _described(docs, common, words):
             ends = pa.array(np.append(0, np.cumsum([len(x) for x in heads])), pa.int32())
             lists = pa.ListArray.from_arrays(ends, pa.array(np.concatenate([*heads, np.zeros(0, np.int64)])))
             nodes, sizes = pa.array([node_of(x) for x in found], pa.int64()), pa.array([len(x) for x in found], pa.int64())
-            columns = [batch.column(0), nodes, sizes, lists, pa.array([marks(x) for x in found], pa.binary())]
-            yield pa.RecordBatch.from_arrays(columns, ["doc_id", "node", "size", "head", "marks"])
+            prints = pa.array([signed(simhash(x)) for x in found], pa.int64())
+            columns = [batch.column(0), nodes, sizes, lists, pa.array([marks(x) for x in found], pa.binary()), prints]
+            yield pa.RecordBatch.from_arrays(columns, ["doc_id", "node", "size", "head", "marks", "print"])
+
+    return docs.mapInArrow(task, "doc_id long, node long, size long, head array<long>, marks binary, print long")
+
 
-    return docs.mapInArrow(task, "doc_id long, node long, size long, head array<long>, marks binary")
+def _by_fingerprint(rows, met):
+    """Pairs (a, b) of nodes that SimHash links: a spanning forest of the fingerprints, and each one's nodes with its first."""
+    nodes = rows.select("node", "print").join(met, "node", "left_semi").distinct()
+    firsts = fixed(nodes.groupBy("print").agg(F.min("node").alias("first")))
+    same = nodes.join(firsts, "print").where("node <> first").select(F.col("first").alias("a"), F.col("node").alias("b"))
+    ends = [firsts.select(F.col("print").alias(e), F.col("first").alias(f"first_{e}")) for e in "ab"]
+    links = link_forest(firsts.select(F.col("print").alias("mark"))).join(ends[0], "a").join(ends[1], "b")
+    return same.union(links.select(F.least("first_a", "first_b"), F.greatest("first_a", "first_b")))
 
 
 def _blocks(batches):
@@ -206,16 +220,18 @@ def _checked(pairs, texts, words):
     """Those of the pairs (a, b) of nodes that are similar."""
 
     def task(batches):
-        restore, known = zstandard.ZstdDecompressor().decompress, (None, None)
+        restore, known = zstandard.ZstdDecompressor().decompress, [(None, None)] * 2
         for batch in batches:
             a, b = (batch.column(k).to_pylist() for k in (0, 1))
             good = []
             for i, node in enumerate(a):
-                if known[0] != node:
-                    known = node, hashes(restore(batch.column(2)[i].as_py()), words)
-                other = hashes(restore(batch.column(3)[i].as_py()), words)
-                shared = len(np.intersect1d(known[1], other, assume_unique=True))
-                good.append(bool(similar(shared, len(known[1]), len(other))))
+                # The rows come in the order of one of the ends, depending on the join.
+                for end, name in enumerate((node, b[i])):
+                    if known[end][0] != name:
+                        known[end] = name, hashes(restore(batch.column(2 + end)[i].as_py()), words)
+                one, other = known[0][1], known[1][1]
+                shared = len(np.intersect1d(one, other, assume_unique=True))
+                good.append(bool(similar(shared, len(one), len(other))))
             yield pa.RecordBatch.from_arrays([pa.array(a, pa.int64()), pa.array(b, pa.int64())], ["a", "b"]).filter(pa.array(good, pa.bool_()))
 
     with_a = pairs.join(texts.select(F.col("node").alias("a"), F.col("text").alias("text_a")), "a")
@@ -238,7 +254,8 @@ def similar_groups(docs, id_col="doc_id", text_col="text", words=WORDS, sampled=
     shared = fixed(_by_hash(heads).mapInArrow(_shared, shape))
     met = shared.select("node").distinct()
     texts = fixed(_texts(docs, words).join(met, "node", "left_semi").dropDuplicates(["node"]))
-    near = fixed(_by_hash(shared).mapInArrow(_with_hubs, "a long, b long").distinct())
+    hubs = _by_hash(shared).mapInArrow(_with_hubs, "a long, b long")
+    near = fixed(_by_fingerprint(rows, met).union(hubs).distinct())
     links = fixed(_checked(near, texts, words))
     roots = connected_components(links)
     apart = shared.join(roots, "node", "left").select(*shared.columns, F.coalesce("root", "node").alias("root"))

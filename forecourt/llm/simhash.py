@@ -46,10 +46,8 @@ def shingles(text, words=WORDS):
     return [joined[s:e] for s, e in zip(starts, (ends[words - 1 :] - 1).tolist())]
 
 
-def fingerprint(text, words=WORDS):
-    """The SimHash of a text: a bit is set if it is set in over half of the shingles' hashes."""
-    digest = xxhash.xxh64_intdigest
-    hashes = np.array([digest(s, SEED) for s in shingles(text, words)], dtype=np.uint64)
+def simhash(hashes):
+    """The SimHash of 64-bit hashes: a bit is set if it is set in over half of them."""
     ones = np.zeros(BITS, np.int64)
     for at in range(0, len(hashes), 65536):
         bits = np.unpackbits(hashes[at : at + 65536].astype(">u8").view(np.uint8).reshape(-1, 8), axis=1)
@@ -57,6 +55,12 @@ def fingerprint(text, words=WORDS):
     return int.from_bytes(np.packbits(2 * ones > len(hashes)).tobytes(), "big")
 
 
+def fingerprint(text, words=WORDS):
+    """The SimHash of a text's shingles, repeats included."""
+    digest = xxhash.xxh64_intdigest
+    return simhash(np.array([digest(s, SEED) for s in shingles(text, words)], dtype=np.uint64))
+
+
 def forest(nodes, radius=RADIUS):
     """Edges (smallest node, other node) that connect what links of ``radius`` differing bits connect.
 

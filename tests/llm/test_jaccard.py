@@ -77,3 +77,17 @@ def test_similar_sets_share_a_hash_of_their_prefixes(a, b, common):
     x, y, last = (np.array(sorted(s), dtype=np.uint64) for s in (a, b, common))
     if 5 * len(a & b) >= 4 * len(a | b):
         assert set(jaccard.prefix(x, last).tolist()) & set(jaccard.prefix(y, last).tolist())
+
+
+def test_simhash_links_come_first(spark):
+    base = " ".join(f"w{k * k % 977}" for k in range(900))
+    texts = [base, base + " more", "first " + base, " ".join(f"v{k}" for k in range(300)), "v1 v2 v3 v4 v5 v6"]
+    docs = spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string")
+    rows = jaccard._described(docs, np.zeros(0, np.uint64), jaccard.WORDS)
+    found = {tuple(r) for r in jaccard._by_fingerprint(rows, rows.select("node")).collect()}
+    sets = [jaccard.hashes(t.encode()) for t in texts]
+    nodes, prints = [jaccard.node_of(s) for s in sets], [jaccard.simhash(s) for s in sets]
+    near = {(i, j) for i, j in itertools.combinations(range(5), 2) if (prints[i] ^ prints[j]).bit_count() <= 3}
+    assert len(near) > 0 and found <= {(min(nodes[i], nodes[j]), max(nodes[i], nodes[j])) for i, j in near}
+    label, expected = brute_components([(nodes.index(a), nodes.index(b)) for a, b in found]), brute_components(list(near))
+    assert label == expected
