@@ -4,6 +4,7 @@ Nothing is shuffled by value: every pass over a side ends in an aggregate whose
 categories), so its partial counts leave a task as few rows, however many rows share a value.
 """
 
+import math
 from functools import reduce
 
 from pyspark.sql import DataFrame, Window
@@ -36,13 +37,11 @@ def known_values(df: DataFrame, columns, numeric) -> DataFrame:
 
 
 def value_counts(reference: DataFrame, current: DataFrame, columns, numeric) -> DataFrame:
-    """``(feature, value, n_ref, n_cur)`` per distinct value of the columns, from one pass over each side."""
-    sides = known_values(reference, columns, numeric).withColumn("is_ref", F.lit(1)).unionByName(
-        known_values(current, columns, numeric).withColumn("is_ref", F.lit(0))
-    )
-    return sides.groupBy("feature", "value").agg(
-        F.sum("is_ref").alias("n_ref"), F.sum(1 - F.col("is_ref")).alias("n_cur")
-    )
+    """``(feature, value, n_ref, n_cur)`` per distinct value of the columns, from one pass over each side, counted by itself."""
+    one, none = F.count("*"), F.lit(0).cast("long")
+    sides = [known_values(side, columns, numeric).groupBy("feature", "value") for side in (reference, current)]
+    counts = sides[0].agg(one.alias("n_ref"), none.alias("n_cur")).unionByName(sides[1].agg(none.alias("n_ref"), one.alias("n_cur")))
+    return counts.groupBy("feature", "value").agg(F.sum("n_ref").alias("n_ref"), F.sum("n_cur").alias("n_cur"))
 
 
 def number_rows(reference: DataFrame, current: DataFrame, columns) -> DataFrame:
@@ -93,42 +92,53 @@ def exact_quantiles(counts: DataFrame, probabilities) -> DataFrame:
     Exact, yet no task ever holds the values of a feature, as ``percentile`` would: the wanted ranks are located with a
     histogram whose cells are 1/1000 of a decade wide, the few cells that hold a wanted rank are divided into equal parts
     of the range of their own values, those again, and only what remains is counted by value and put in order. The size
-    of every histogram is bounded whatever the data.
+    of every histogram is bounded whatever the data. A part of a single value is settled and not looked into again, so
+    that a pass reads on only for features that need it; at most two parts per feature and probability reach the driver.
     """
-    wanted = "array({})".format(", ".join(f"{float(q)!r}D" for q in probabilities))
+    probabilities = [float(q) for q in probabilities]
+    wanted = "array({})".format(", ".join(f"{q!r}D" for q in probabilities))
     lower, upper = "floor((total - 1) * q)", "least(floor((total - 1) * q) + 1, total - 1)"
     ranks = f"array_distinct(flatten(transform({wanted}, q -> array({lower}, {upper}))))"
-    ranks_here = f"filter({ranks}, r -> r BETWEEN below AND below + n - 1)"
+    ranks_here = F.expr(f"filter({ranks}, r -> r BETWEEN below AND below + n - 1)")
 
     def preceding(order, *by):
         window = Window.partitionBy(*by).orderBy(order).rowsBetween(Window.unboundedPreceding, -1)
         return F.coalesce(F.sum("n").over(window), F.lit(0))
 
+    def holding(parts):
+        named = parts.select("feature", "cell", "total", "below", "low", "high", ranks_here.alias("ranks"))
+        return named.where(F.size("ranks") > 0).collect()
+
     size = [F.sum("n").alias("n"), F.min("value").alias("low"), F.max("value").alias("high")]
-    found = ["feature", "total", "below", "low", "high"]
-    coarse = counts.groupBy("feature", F.expr(_MAGNITUDE_CELL).alias("cell")).agg(*size).withColumns(
+    celled = counts.withColumn("cell", F.expr(_MAGNITUDE_CELL))
+    coarse = celled.groupBy("feature", "cell").agg(*size).withColumns(
         {"total": F.sum("n").over(Window.partitionBy("feature")), "below": preceding("cell", "feature")}
     )
-    # Every probability keeps at most two parts per feature: this bounds the broadcasts and what is read beside a part.
-    parts = coarse.where(f"size({ranks_here}) > 0").select(*found)
-    for _ in range(_DIVISIONS):
-        inside = counts.join(F.broadcast(parts), "feature").where("value BETWEEN low AND high")
-        finer = inside.groupBy("feature", "total", "below", F.expr(_RANGE_PART).alias("part")).agg(*size)
-        finer = finer.withColumn("start", F.col("below") + preceding("part", "feature", F.col("below")))
-        parts = finer.drop("below").withColumnRenamed("start", "below").where(f"size({ranks_here}) > 0").select(*found)
-
-    ordered = counts.join(F.broadcast(parts), "feature").where("value BETWEEN low AND high")
-    ordered = ordered.groupBy("feature", "total", "below", "value").agg(F.sum("n").alias("n"))
-    ordered = ordered.withColumn("start", F.col("below") + preceding("value", "feature", F.col("below")))
-    ordered = ordered.drop("below").withColumnRenamed("start", "below")
-    at_rank = ordered.select("feature", "total", "value", F.explode(F.expr(ranks_here)).alias("r"))
-    at_rank = at_rank.groupBy("feature", "total").agg(
-        F.map_from_entries(F.collect_list(F.struct("r", "value"))).alias("at")
-    )
-    # Measured from the nearer end, as numpy does, so that both give the same double.
-    ends = f"transform({wanted}, q -> struct(at[{lower}] AS a, at[{upper}] AS b, (total - 1) * q - {lower} AS w))"
-    between = "CASE WHEN e.a = e.b THEN e.a WHEN e.w < 0.5 THEN e.a + (e.b - e.a) * e.w ELSE e.b - (e.b - e.a) * (1 - e.w) END"
-    return at_rank.select("feature", F.expr(f"transform({ends}, e -> {between})").alias("quantiles"))
+    totals, at, found = {}, {}, holding(coarse)
+    for part in [_RANGE_PART] * _DIVISIONS + ["value"]:
+        totals |= {p.feature: p.total for p in found}
+        at |= {(p.feature, r): p.low + 0.0 for p in found if p.low == p.high for r in p.ranks}
+        unsettled = [tuple(p)[:6] for p in found if p.low != p.high]
+        if not unsettled:
+            break
+        layout = "feature string, cell long, total long, below long, low double, high double"
+        parts = F.broadcast(counts.sparkSession.createDataFrame(unsettled, layout))
+        inside = celled.where(F.col("feature").isin(sorted({p[0] for p in unsettled}))).join(parts, ["feature", "cell"])
+        finer = inside.where("value BETWEEN low AND high").groupBy("feature", "cell", "total", "below", F.expr(part).alias("part")).agg(*size)
+        start = F.col("below") + preceding("part", "feature", F.col("below"))
+        found = holding(finer.withColumn("start", start).drop("below").withColumnRenamed("start", "below"))
+    else:
+        at |= {(p.feature, r): p.low + 0.0 for p in found for r in p.ranks}
+
+    def between(feature, q):
+        # Measured from the nearer end, as numpy does, so that both give the same double.
+        last = totals[feature] - 1
+        below = math.floor(last * q)
+        a, b, w = at[feature, below], at[feature, min(below + 1, last)], last * q - below
+        return a if a == b else a + (b - a) * w if w < 0.5 else b - (b - a) * (1 - w)
+
+    rows = [(f, [between(f, q) for q in probabilities]) for f in sorted(totals)]
+    return counts.sparkSession.createDataFrame(rows, "feature string, quantiles array<double>")
 
 
 def quantile_edges(counts: DataFrame, bins=BINS) -> DataFrame:
@@ -143,13 +153,14 @@ def bin_counts(counts: DataFrame, bins=BINS) -> DataFrame:
 
     A reference with a single edge is constant: bin 0 then holds the values equal to it and bin 1 all others.
     """
-    reached = " + ".join(
-        ["0"] + [f"IF({i} < size(edges) - 1 AND value >= get(edges, {i}), 1, 0)" for i in range(1, bins)]
-    )
-    place = F.expr(f"IF(size(edges) = 1, IF(value = get(edges, 0), 0, 1), {reached})")
+    inner = [F.expr(f"IF({i} < size(edges) - 1, get(edges, {i}), NULL)").alias(f"_edge_{i}") for i in range(1, bins)]
+    only = F.expr("IF(size(edges) = 1, get(edges, 0), NULL)").alias("_only")
+    reached = " + ".join(["0"] + [f"IF(value >= _edge_{i}, 1, 0)" for i in range(1, bins)])
+    place = F.expr(f"IF(_only IS NOT NULL, IF(value = _only, 0, 1), {reached})")
     # The edges are one row per column, a bound that does not depend on the data.
+    edges = quantile_edges(counts, bins).select("feature", only, *inner)
     return (
-        counts.join(F.broadcast(quantile_edges(counts, bins)), "feature")
+        counts.join(F.broadcast(edges), "feature")
         .groupBy("feature", place.alias("bin"))
         .agg(F.sum("n_ref").alias("n_ref"), F.sum("n_cur").alias("n_cur"))
     )

@@ -85,9 +85,9 @@ def _folder(spark):
     return f"{checkpoint_dir(spark)}/check-{uuid.uuid4().hex}"
 
 
-def _once(spark, sf_dir, name, *columns):
-    """A view that the query reads several times, joined together once; of its columns those that are needed."""
-    return read_once(view(spark, sf_dir, name).select(*(columns or ["*"])))
+def _once(spark, sf_dir, name, *columns, where="true"):
+    """A view that the query reads several times, joined together once; of its rows and columns those that are needed."""
+    return read_once(view(spark, sf_dir, name).where(where).select(*(columns or ["*"])))
 
 
 def _year_index(listings):
@@ -360,7 +360,7 @@ def category_frequency(spark, sf_dir):
 
 def _champion_drift(spark, sf_dir):
     columns = [LISTING_DATE, MODEL_VERSION, PREDICTION, *DRIFT_NUMERIC, *DRIFT_CATEGORICAL]
-    return drift_of_window(*_periods(_once(spark, sf_dir, "predictions", *columns).where(F.col(MODEL_VERSION) == "1")))
+    return drift_of_window(*_periods(_once(spark, sf_dir, "predictions", *columns, where=F.col(MODEL_VERSION) == "1")))
 
 
 @query(sql.DRIFT_REPORT)
@@ -377,26 +377,28 @@ def drift_summary(spark, sf_dir):
     )
 
 
-def _baseline_and_later(spark, sf_dir):
-    """The first model's predictions before the period starts, and those of all models from then on."""
+def _baseline_and_later(spark, sf_dir, later):
+    """The first model's predictions before the period starts, and those wanted from then on."""
     columns = [LISTING_DATE, SCORED_AT, MODEL_VERSION, PREDICTION, *DRIFT_NUMERIC, *{*DRIFT_CATEGORICAL, *regression.SLICES}]
-    before, after = _periods(_once(spark, sf_dir, "predictions", *columns))
-    return before.where(F.col(MODEL_VERSION) == "1"), after
+    first = F.col(MODEL_VERSION) == "1"
+    before = F.col(LISTING_DATE) < F.lit(sql.PERIOD_START).cast("date")
+    rows = _once(spark, sf_dir, "predictions", *columns, where=F.when(before, first).otherwise(later))
+    return _periods(rows)
 
 
 @query(sql.DRIFT_REPORT)
 def profile_drift(spark, sf_dir):
     # The baseline is stored with its profile; the report reads the profile and the window alone.
-    baseline, later = _baseline_and_later(spark, sf_dir)
+    baseline, later = _baseline_and_later(spark, sf_dir, F.col(MODEL_VERSION) == "1")
     name = f"baseline_{uuid.uuid4().hex}"
     refresh_baseline(spark, name, "1", lambda: baseline, path=_folder(spark), profile=profile.baseline_profile)
-    drift = profile.drift_from_profile(spark.table(profile_name(name)), later.where(F.col(MODEL_VERSION) == "1"))
+    drift = profile.drift_from_profile(spark.table(profile_name(name)), later)
     return _rounded(drift_rows(drift, sql.RUN_DATE, "1"), "psi")
 
 
 @query(sql.SLICED_DRIFT)
 def sliced_drift(spark, sf_dir):
-    baseline, later = _baseline_and_later(spark, sf_dir)
+    baseline, later = _baseline_and_later(spark, sf_dir, F.lit(True))
     path = _folder(spark)
     profile.baseline_profile(baseline).write.parquet(path)
     return _rounded(profile.sliced_drift(spark.read.parquet(path), later), "psi_baseline", "psi_previous")

@@ -132,3 +132,25 @@ def test_summary_without_any_known_psi(spark):
     some, none = frame(spark, x=[1.0]), frame(spark, x=[1.0]).where("false")
     summary = drift_summary(compute_drift(some, none, numeric_cols=["x"], categorical_cols=[])).first()
     assert (summary.max_feature_psi, summary.prediction_psi, summary.drifted_features) == (0.0, None, [])
+
+
+def test_settled_features_are_not_read_again(spark):
+    # A value that fills its cell needs no finer look: fewer jobs run than for one whose neighbours share the cell.
+    def jobs(values):
+        spark.sparkContext.setJobGroup(f"quantiles of {len(values)}", "quantiles")
+        counts = spark.createDataFrame([("x", v, 1) for v in values], "feature string, value double, n long")
+        assert exact_quantiles(counts, [0.0, 0.5, 1.0]).first().quantiles == [values[0], values[len(values) // 2], values[-1]]
+        return len(spark.sparkContext.statusTracker().getJobIdsForGroup(f"quantiles of {len(values)}"))
+
+    try:
+        assert jobs([1.0, 2.0, 3.0]) < jobs([1.0, 1.0001, 1.0002, 1.0003, 1.0004])
+    finally:
+        spark.sparkContext.setLocalProperty("spark.jobGroup.id", None)
+
+
+def test_a_value_meets_only_the_parts_of_its_own_cell(spark, monkeypatch):
+    counts = number_rows(frame(spark, x=list(rng.random(50))), frame(spark, x=[0.5]), ["x"])
+    joined, join = [], type(counts).join
+    monkeypatch.setattr(type(counts), "join", lambda left, right, on=None, how=None: joined.append(on) or join(left, right, on, how))
+    quantile_edges(counts).collect()
+    assert joined and all(on == ["feature", "cell"] for on in joined)
