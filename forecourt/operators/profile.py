@@ -35,10 +35,10 @@ def _numeric_cell(column, edges):
     v = number(column)
     if len(edges) == 1:
         return F.when(v.isNotNull(), F.when(v == edges[0], "0").otherwise("1"))
-    reached = F.lit(0)
-    for edge in edges[1:-1]:
-        reached = reached + F.when(v >= edge, 1).otherwise(0)
-    return F.when(v.isNotNull(), reached.cast("string"))
+    reached = F.when(v.isNull(), F.lit(None).cast("string"))
+    for i in range(len(edges) - 2, 0, -1):
+        reached = reached.when(v >= edges[i], str(i))
+    return reached.otherwise("0")
 
 
 def _text_cell(df, column):
@@ -52,14 +52,19 @@ def cell_counts(df: DataFrame, edges, categorical, by=(), slices=()) -> DataFram
     """``(*by, slice_name, slice_value, feature, cells, total)``: histograms of all columns, whole and per slice value.
 
     ``edges`` maps numeric columns to their ascending edges. One pass; counts are combined before the shuffle, whose
-    groups are slices times columns times cells for each value of ``by``.
+    groups are slices times columns times cells for each value of ``by``. With ``by`` the rows, by then slices and cells
+    alone, are laid out in its ranges first: a task would otherwise hold every group of every day.
     """
     known = {c: _numeric_cell(c, e) for c, e in edges.items()} | {c: _text_cell(df, c) for c in categorical}
-    pairs = F.array(*[F.struct(F.lit(c).alias("feature"), cell.alias("cell")) for c, cell in known.items()])
-    by_columns = [F.col(c) for c in by]
-    named = [F.col(s).cast("string").alias(f"_slice_{k}") for k, s in enumerate(slices)]
-    rows = df.select(*by_columns, *named, F.inline(F.filter(pairs, lambda p: p["cell"].isNotNull())))
-    common, places = [*by, "feature", "cell"], [f"_slice_{k}" for k in range(len(slices))]
+    places = [f"_slice_{k}" for k in range(len(slices))]
+    cells = [cell.alias(f"_cell_{k}") for k, cell in enumerate(known.values())]
+    narrow = df.select(*by, *[F.col(s).cast("string").alias(p) for p, s in zip(places, slices)], *cells)
+    if by:
+        # The hash parts one crowded day over several tasks.
+        narrow = narrow.repartitionByRange(*by, F.xxhash64(*[c for c in narrow.columns if c not in by]))
+    listed = F.posexplode(F.array(*[f"_cell_{k}" for k in range(len(known))])).alias("_place", "cell")
+    rows = narrow.select(*by, *places, listed).where(F.col("cell").isNotNull())
+    common = [*by, "_place", "cell"]
     if slices:
         sets = [[F.col(c) for c in [*common, *place]] for place in ([], *[[p] for p in places])]
         name, value = F.lit(ALL_ROWS), F.lit(None).cast("string")
@@ -69,8 +74,9 @@ def cell_counts(df: DataFrame, edges, categorical, by=(), slices=()) -> DataFram
         grouped = rows.groupingSets(sets, *[F.col(c) for c in [*common, *places]])
     else:
         name, value, grouped = F.lit(ALL_ROWS), F.lit(None).cast("string"), rows.groupBy(*common)
+    feature = F.element_at(F.array(*[F.lit(c) for c in known]), F.col("_place") + 1)
     counts = grouped.agg(F.count(F.lit(1)).alias("n"), name.alias("slice_name"), value.alias("slice_value"))
-    return counts.groupBy(*by, "slice_name", "slice_value", "feature").agg(
+    return counts.withColumn("feature", feature).groupBy(*by, "slice_name", "slice_value", "feature").agg(
         F.map_from_entries(F.collect_list(F.struct("cell", "n"))).alias("cells"), F.sum("n").alias("total")
     )
 

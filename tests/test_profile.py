@@ -110,3 +110,11 @@ def test_slices_are_counted_in_one_pass(spark):
     profile = spark.createDataFrame(baseline_profile(rows(spark, 50, 1), NUMERIC, TEXT, SLICED).collect(), PROFILE)
     plan = sliced_drift(profile, rows(spark, 50, 2), SLICED)._jdf.queryExecution().optimizedPlan().toString()
     assert plan.count("Expand") == 1 and plan.count("Generate") == 1
+
+
+def test_days_are_laid_out_before_their_groups_are_counted(spark):
+    # Each task then holds the groups of a few days; one crowded day still goes to several tasks.
+    profile = spark.createDataFrame(baseline_profile(rows(spark, 50, 1), NUMERIC, TEXT, SLICED).collect(), PROFILE)
+    plan = sliced_drift(profile, rows(spark, 50, 2), SLICED)._jdf.queryExecution().optimizedPlan().toString()
+    below = plan[plan.index("Generate"):]
+    assert "RepartitionByExpression" in below and "xxhash64" in below
