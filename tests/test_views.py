@@ -1,5 +1,6 @@
 from conftest import SF_SMALL
 
+from forecourt import queries
 from forecourt.sources.views import view
 
 
@@ -8,3 +9,10 @@ def test_stages_on_a_view_stay_below_what_the_jvm_compiles(spark):
         spark.conf.unset("spark.sql.codegen.hugeMethodLimit")
         view(spark, SF_SMALL, name)
         assert int(spark.conf.get("spark.sql.codegen.hugeMethodLimit")) <= 8000
+
+
+def test_a_run_and_its_rerun_look_at_the_predictions_once(spark, monkeypatch):
+    looked, once = [], queries._once
+    monkeypatch.setattr(queries, "_once", lambda *args, **more: looked.append(args[2]) or once(*args, **more))
+    assert queries.QUERIES["history_merge"](spark, SF_SMALL).count() == 1
+    assert looked == ["predictions"]
