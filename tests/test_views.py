@@ -1,6 +1,6 @@
 from conftest import SF_SMALL
 
-from forecourt import queries
+from forecourt import queries, staging
 from forecourt.sources.views import view
 
 
@@ -16,3 +16,10 @@ def test_a_run_and_its_rerun_look_at_the_predictions_once(spark, monkeypatch):
     monkeypatch.setattr(queries, "_once", lambda *args, **more: looked.append(args[2]) or once(*args, **more))
     assert queries.QUERIES["history_merge"](spark, SF_SMALL).count() == 1
     assert looked == ["predictions"]
+
+
+def test_a_refreshed_baseline_is_copied_once_for_each_champion(spark, monkeypatch):
+    copies, copy = [], staging._copy
+    monkeypatch.setattr(staging, "_copy", lambda df: copies.append(df.columns) or copy(df))
+    queries.QUERIES["baseline_refresh"](spark, SF_SMALL)
+    assert len(copies) == 2
