@@ -37,8 +37,8 @@ SLICE, BATCH = 1 << 19, 8 << 20
 BUCKET_BYTES, CROWD = 6 << 20, 8192
 #: A null id is larger than all others, and stands for this plus a hash of its text.
 NO_ID = 1 << 62
-#: Bytes of cut segments that a task holds before it sends them on.
-CUT_BYTES = 4 << 20
+#: Bytes of cut segments that a task holds before it sends them on, or compares them; windows that it sorts at a time.
+CUT_BYTES, SORTED = 4 << 20, 1 << 18
 
 _RANDOM = np.random.default_rng(20_240_917)
 _TABLE = _RANDOM.integers(0, 1 << 64, 256, dtype=np.uint64)
@@ -401,45 +401,77 @@ def suffix_before(data, hashes, a, b, limit=LENGTH):
     return (same < limit) & (data[a + last] < data[b + last])
 
 
+class Suffixes:
+    """Comparison of the suffixes ``at``, named by their numbers, by their first ``limit`` bytes.
+
+    Most are told apart by their first eight bytes or found equal by the hash of all; the others go by their common extension.
+    """
+
+    def __init__(self, data, hashes, at, limit):
+        self.data, self.hashes, self.at, self.limit = data, hashes, at, limit
+        self.whole, self.head = hashes.of(at, limit), np.zeros(len(at), np.uint64)
+        for k in range(min(8, limit)):
+            self.head = (self.head << np.uint64(8)) | data[at + k]
+
+    def equal(self, a, b):
+        return (self.whole[a] == self.whole[b]) & (self.head[a] == self.head[b])
+
+    def before(self, a, b):
+        one, other = self.head[a], self.head[b]
+        out = one < other
+        close = np.flatnonzero(one == other)
+        close = close[self.whole[a[close]] != self.whole[b[close]]]
+        out[close] = suffix_before(self.data, self.hashes, self.at[a[close]], self.at[b[close]], self.limit)
+        return out
+
+
 def sort_suffixes(data, hashes, group, at, limit=LENGTH):
     """Order of the suffixes ``at`` by (group, first ``limit`` bytes): a stable bottom-up mergesort.
 
     ``group`` is sorted. In a round all pairs of neighbouring runs inside groups merge at once: an element's place is its
-    rank in its own run plus its rank in the other one, found by binary search with hash comparisons.
+    rank in its own run plus its rank in the other one, found by binary search. A suffix that meets an equal one in a
+    merge leaves the runs and follows that one, so that the rounds work on ever fewer suffixes where many are equal.
     """
-    order = np.arange(len(at))
-    starts, number = _groups(group)
-    ends = np.append(starts[1:], len(at))
-    width = 1
-    while len(at) and width < (ends - starts).max():
-        place = np.arange(len(at))
-        local = place - starts[number]
-        right = (local // width) % 2 == 1
-        pair = starts[number] + local // (2 * width) * (2 * width)
-        middle = np.minimum(pair + width, ends[number])
-        last = np.minimum(pair + 2 * width, ends[number])
-        moving = np.flatnonzero(middle < last)
-        low = np.where(right, pair, middle)[moving]
-        high = np.where(right, middle, last)[moving]
-        base, mine = low.copy(), at[order[moving]]
+    compared = Suffixes(data, hashes, at, limit)
+    leader = np.arange(len(at))
+    order, heads = np.arange(len(at)), np.arange(len(at))  # the elements run by run, and where the runs begin
+    while len(heads) > 1:
+        families, family = _groups(group[order[heads]])
+        if len(families) == len(heads):
+            break
+        sizes = np.diff(heads, append=len(order))
+        place = np.arange(len(heads)) - families[family]
+        right = place % 2 == 1
+        partner = np.where(right, np.arange(len(heads)) - 1, np.arange(len(heads)) + 1)
+        partner[~right & (np.append(family[1:], -1) != family)] = -1  # the last run of a group waits for the next round
+        run = np.repeat(np.arange(len(heads)), sizes)
+        moving = np.flatnonzero(partner[run] >= 0)
+        other, from_right, mine = partner[run[moving]], right[run[moving]], order[moving]
+        low = heads[other]
+        base, high = low.copy(), low + sizes[other]
         while (open_ := np.flatnonzero(low < high)).size:
             probe = (low[open_] + high[open_]) // 2
-            other, own = at[order[probe]], mine[open_]
-            from_right = right[moving][open_]
+            theirs, own, late = order[probe], mine[open_], from_right[open_]
             # A left element comes before equal right ones.
-            ahead = np.empty(len(open_), bool)
-            ahead[from_right] = ~suffix_before(data, hashes, own[from_right], other[from_right], limit)
-            ahead[~from_right] = suffix_before(data, hashes, other[~from_right], own[~from_right], limit)
+            ahead = compared.before(np.where(late, own, theirs), np.where(late, theirs, own)) ^ late
             low[open_] = np.where(ahead, probe + 1, low[open_])
             high[open_] = np.where(ahead, high[open_], probe)
-        run = np.where(right, middle, pair)
-        target = place.copy()
-        target[moving] = pair[moving] + (moving - run[moving]) + (low - base)
+        target = np.arange(len(order))
+        target[moving] = moving + np.where(from_right, low - base - sizes[other], low - base)
+        met = np.flatnonzero(from_right & (low > base))
+        met = met[compared.equal(mine[met], order[low[met] - 1])]
+        leader[mine[met]] = order[low[met] - 1]
+        stays = np.ones(len(order), bool)
+        stays[target[moving[met]]] = False
         merged = np.empty_like(order)
         merged[target] = order
-        order = merged
-        width *= 2
-    return order
+        firsts = heads[~right]
+        order, heads = merged[stays], (np.cumsum(stays) - stays)[firsts]
+    while (leader[leader] != leader).any():
+        leader = leader[leader]
+    rank = np.empty(len(at), np.int64)
+    rank[order] = np.arange(len(order))
+    return np.argsort(rank[leader], kind="stable")
 
 
 def _verified(data, a, b, limit=LENGTH):
@@ -450,33 +482,45 @@ def _verified(data, a, b, limit=LENGTH):
     return same
 
 
-def repeated_windows(data, group, first, count, ids):
-    """For segments (group, first byte in ``data``, number of windows, document id): (segment, window) pairs that repeat.
+def repeated_windows(data, group, first, count, ids, most=SORTED):
+    """For segments (group, first byte in ``data``, number of windows, document id): (segment, window) pairs that repeat,
+    in this order.
 
     A window repeats if its bytes are also a window of the same group in a document with a smaller id. Segments lie
     whole in ``data``, ``count + LENGTH - 1`` bytes each. Windows whose hash is alone in their group cannot agree with
-    any other and are not sorted.
+    any other and are not sorted. Of more than ``most`` windows, those of one share of the hashes are sorted at a time.
     """
-    segment = np.repeat(np.arange(len(first)), count)
-    window = np.arange(len(segment)) - np.repeat(np.cumsum(count) - count, count)
-    at = first[segment] + window
-    hashes = PrefixHash(data)
-    prefix = hashes.of(at, np.full(len(at), LENGTH))
-    order = np.lexsort((prefix, group[segment]))
-    starts, number = _groups(group[segment][order], prefix[order])
-    met = order[(np.bincount(number) > 1)[number]]
-    met = met[np.argsort(group[segment[met]], kind="stable")]
-    if not len(met):
-        return met, met
-    sorted_ = met[sort_suffixes(data, hashes, group[segment[met]], at[met])]
-    a, b = at[sorted_[:-1]], at[sorted_[1:]]
-    agree = (group[segment[sorted_[1:]]] == group[segment[sorted_[:-1]]]) & (common_extension(hashes, a, b) >= LENGTH)
-    agree[agree] = _verified(data, a[agree], b[agree])
-    starts = np.flatnonzero(np.append(True, ~agree))
-    number = np.cumsum(np.append(True, ~agree)) - 1
-    who = ids[segment[sorted_]]
-    hit = sorted_[who > np.minimum.reduceat(who, starts)[number]]
-    return segment[hit], window[hit]
+    hashes, begin, total = PrefixHash(data), np.cumsum(count) - count, int(count.sum())
+
+    def placed(windows):
+        segment = np.searchsorted(begin, windows, side="right") - 1
+        return segment, windows - begin[segment]
+
+    prefix = np.empty(total, np.uint64)
+    for low in range(0, total, most):
+        segment, window = placed(np.arange(low, min(low + most, total)))
+        prefix[low : low + most] = hashes.of(first[segment] + window, LENGTH)
+    shares = max(1, -(-total // most))
+    share = (mixed(prefix) % np.uint64(shares)).astype(np.int32)
+    found = [np.zeros(0, np.int64)]
+    for k in range(shares):
+        of_share = np.flatnonzero(share == k)
+        segment, window = placed(of_share)
+        at = first[segment] + window
+        order = np.lexsort((prefix[of_share], group[segment]))
+        _, number = _groups(group[segment][order], prefix[of_share][order])
+        met = order[(np.bincount(number) > 1)[number]] if len(order) else order
+        if not len(met):
+            continue
+        sorted_ = met[sort_suffixes(data, hashes, group[segment[met]], at[met])]
+        a, b = at[sorted_[:-1]], at[sorted_[1:]]
+        agree = (group[segment[sorted_[1:]]] == group[segment[sorted_[:-1]]]) & (common_extension(hashes, a, b) >= LENGTH)
+        agree[agree] = _verified(data, a[agree], b[agree])
+        starts = np.flatnonzero(np.append(True, ~agree))
+        number = np.cumsum(np.append(True, ~agree)) - 1
+        who = ids[segment[sorted_]]
+        found.append(of_share[sorted_[who > np.minimum.reduceat(who, starts)[number]]])
+    return placed(np.sort(np.concatenate(found)))
 
 
 def _compared(batches, buckets):
@@ -488,24 +532,26 @@ def _compared(batches, buckets):
         texts = rows.column(5).to_pylist()
         size = np.array([len(t) for t in texts])
         data = np.frombuffer(b"".join(texts), np.uint8)
-        segment, window = repeated_windows(data, group, np.cumsum(size) - size, size - LENGTH + 1, ids)
-        hits = np.zeros(len(segment), SEGMENT)
-        hits["id"], hits["text"] = ids[segment], hashes[segment]
-        hits["start"], hits["windows"] = start[segment] + window, 1
-        if len(hits):
+        segments_, windows = repeated_windows(data, group, np.cumsum(size) - size, size - LENGTH + 1, ids)
+        for low in range(0, len(windows), SORTED):
+            segment, window = segments_[low : low + SORTED], windows[low : low + SORTED]
+            hits = np.zeros(len(segment), SEGMENT)
+            hits["id"], hits["text"] = ids[segment], hashes[segment]
+            hits["start"], hits["windows"] = start[segment] + window, 1
             yield _spans(hits, buckets)
 
-    bucket, rows = None, []
+    anchor, rows, held = None, [], 0
     for batch in batches:
-        numbers = batch.column(0).to_numpy()
-        cuts = [0, *(np.flatnonzero(numbers[1:] != numbers[:-1]) + 1).tolist(), len(numbers)]
-        for a, b in zip(cuts[:-1], cuts[1:]):
-            if b > a:
-                if rows and numbers[a] != bucket:
-                    yield from compare(rows)
-                    rows = []
-                bucket = numbers[a]
-                rows.append(batch.slice(a, b - a))
+        numbers = batch.column(1).to_numpy()
+        if not len(numbers):
+            continue
+        new = np.flatnonzero(np.append(numbers[0] != anchor, numbers[1:] != numbers[:-1]))
+        if held > CUT_BYTES and len(new):
+            yield from compare([*rows, batch.slice(0, new[0])])
+            rows, held, batch = [], 0, batch.slice(new[0])
+        anchor = numbers[-1]
+        rows.append(batch)
+        held += batch.nbytes
     if rows:
         yield from compare(rows)
 

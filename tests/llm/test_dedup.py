@@ -231,3 +231,36 @@ def test_suffix_sort_is_the_order_of_the_prefixes(rows):
     order = suffix_dedup.sort_suffixes(arr, suffix_dedup.PrefixHash(arr), group, at, limit=8)
     got = [(int(group[i]), data[at[i] : at[i] + 8], int(i)) for i in order]
     assert got == sorted(got)
+
+
+def test_suffix_sort_works_on_few_of_many_equal_suffixes(monkeypatch):
+    rng = np.random.default_rng(5)
+    line = rng.integers(97, 123, 69).astype(np.uint8)
+    copies = [line.copy() for _ in range(1000)]
+    for text in copies:
+        text[rng.integers(0, 69)] = 64
+    data = np.concatenate(copies)
+    at = (np.arange(1000)[:, None] * 69 + np.arange(20)).ravel()
+    looked_at, extension = [], suffix_dedup.common_extension
+    monkeypatch.setattr(suffix_dedup, "common_extension", lambda h, a, b, limit: looked_at.append(len(a)) or extension(h, a, b, limit))
+    hashes = suffix_dedup.PrefixHash(data)
+    by_hash = np.argsort(hashes.of(at, 50), kind="stable")
+    order = suffix_dedup.sort_suffixes(data, hashes, np.zeros(len(at), np.int64), at[by_hash])
+    got = [data[at[i] : at[i] + 50].tobytes() for i in by_hash[order]]
+    assert got == sorted(got)
+    assert sum(looked_at) < 10 * len(at)  # each suffix was compared in every round, about 100 times
+
+
+def test_repeated_windows_by_shares_of_their_hashes():
+    rng = np.random.default_rng(6)
+    texts = [bytes(rng.integers(97, 99, 60).astype(np.uint8)) * 3 for _ in range(4)] * 3
+    group, ids = np.repeat([0, 1], 6), np.arange(12) // 2
+    size = np.array([len(t) for t in texts])
+    case = np.frombuffer(b"".join(texts), np.uint8), group, np.cumsum(size) - size, size - 49, ids
+    first = {}
+    for g, t, i in zip(group, texts, ids):
+        for k in range(len(t) - 49):
+            first.setdefault((g, t[k : k + 50]), i)
+    want = [(n, k) for n, (g, t, i) in enumerate(zip(group, texts, ids)) for k in range(len(t) - 49) if first[g, t[k : k + 50]] < i]
+    for most in (7, 1 << 18):
+        assert list(zip(*(x.tolist() for x in suffix_dedup.repeated_windows(*case, most=most)))) == want
