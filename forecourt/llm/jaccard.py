@@ -46,10 +46,11 @@ def node_of(found):
 
 
 def prefix(found, common):
-    """The first hashes of a set, common ones last: enough that similar sets share one."""
+    """The first hashes of a set, those of the sorted ``common`` last: enough that similar sets share one."""
     if not len(found):
         return found
-    last = np.isin(found, common, assume_unique=True)
+    # A look-up per hash: isin would sort all common ones with every text's.
+    last = common[np.minimum(np.searchsorted(common, found), len(common) - 1)] == found if len(common) else np.zeros(len(found), bool)
     return np.concatenate([found[~last], found[last]])[: len(found) - -(-len(found) * OF // BY) + 1]
 
 
@@ -70,7 +71,7 @@ def close(a, b, total):
 
 
 def _common(docs, words, sampled=SAMPLED):
-    """Hashes that several of the sampled texts have, the most frequent ones."""
+    """Hashes that several of the sampled texts have, the most frequent ones, sorted."""
 
     def task(batches):
         forget()
@@ -90,7 +91,7 @@ def _common(docs, words, sampled=SAMPLED):
             break
         least = n
     found = counts.where(F.col("n") >= least).collect() if least is not None else []
-    return np.array([r.h for r in found], dtype=np.int64).view(np.uint64)
+    return np.sort(np.array([r.h for r in found], dtype=np.int64).view(np.uint64))
 
 
 def _described(docs, common, words):

@@ -91,3 +91,11 @@ def test_simhash_links_come_first(spark):
     assert len(near) > 0 and found <= {(min(nodes[i], nodes[j]), max(nodes[i], nodes[j])) for i, j in near}
     label, expected = brute_components([(nodes.index(a), nodes.index(b)) for a, b in found]), brute_components(list(near))
     assert label == expected
+
+
+def test_common_hashes_are_looked_up_not_sorted_with_every_text(monkeypatch):
+    common, found = np.arange(0, 4000, 2, dtype=np.uint64), np.arange(100, 110, dtype=np.uint64)
+    monkeypatch.setattr(np, "isin", None)
+    assert jaccard.prefix(found, common).tolist() == [101, 103, 105]
+    assert jaccard.prefix(found, np.zeros(0, np.uint64)).tolist() == [100, 101, 102]
+    assert jaccard.prefix(np.array([5000], np.uint64), common).tolist() == [5000]
