@@ -33,19 +33,31 @@ def upsert(target: DataFrame, source: DataFrame, keys, update_cols=None, checked
     if update_cols is None:
         return target.join(source.select(*keys), keys, "left_anti").select(*target.columns).unionByName(source)
 
-    # Left, semi and anti joins all take the (usually far smaller) increment as their broadcast side, so the stored
-    # table stays where it is unless the increment is large; a full outer join would always move it.
-    changes = source.select(*keys, F.struct(*update_cols).alias("_new"))
-    kept = target.join(changes, keys, "left").select(
-        *[
-            F.when(F.col("_new").isNotNull(), F.col("_new")[c]).otherwise(F.col(c)).alias(c) if c in update_cols else c
-            for c in target.columns
-        ]
-    )
+    changes = source.select(*[F.col(c).alias(f"_{c}") for c in keys], F.struct(*target.columns).alias("_new"))
+    same = reduce(lambda a, b: a & b, [F.col(c) == F.col(f"_{c}") for c in keys])
+    given = F.col("_new").isNotNull()
+
+    def merged(rows, inserted):
+        taken = [(c, given if c in update_cols else inserted) for c in target.columns]
+        return rows.select(*[F.when(new, F.col("_new")[c]).otherwise(F.col(c)).alias(c) for c, new in taken])
+
+    if not _broadcast_by_estimate(source):
+        # The stored table has to move: once, by one full outer join, and it is read once.
+        rows = target.withColumn("_stored", F.lit(True)).join(changes, same, "full")
+        return merged(rows, F.col("_stored").isNull())
+
+    # Left, semi and anti joins all take the increment as their broadcast side, so the stored table stays where it is.
+    kept = merged(target.join(changes, same, "left"), F.lit(False))
     known = target.select(*keys).join(source.select(*keys), keys, "left_semi").distinct()
     return kept.unionByName(source.join(known, keys, "left_anti").select(*target.columns))
 
 
+def _broadcast_by_estimate(df):
+    """Whether Catalyst's own estimate of ``df`` lets it be a join's broadcast side."""
+    limit = df.sparkSession._jsparkSession.sessionState().conf().autoBroadcastJoinThreshold()
+    return df._jdf.queryExecution().optimizedPlan().stats().sizeInBytes() <= limit
+
+
 def newest_rows(target: DataFrame, source: DataFrame, keys, order) -> DataFrame:
     """One row per key of both frames: the newest by ``order``, that of ``source`` where they tie. Combines on the map side."""
     rest = [c for c in target.columns if c not in keys]
