@@ -17,6 +17,8 @@ from .psi import BINS, DRIFT_THRESHOLD, SHARE_FLOOR, known_values, quantile_edge
 from .regression import SLICES
 
 ALL_ROWS = "all"
+# Up to so many combinations of slice values, a baseline's rows are counted by all slices at once.
+_COMBINATIONS = 10_000
 #: Layout of a stored profile.
 PROFILE = T.StructType(
     [
@@ -48,12 +50,14 @@ def _text_cell(df, column):
     return known.cast("string")
 
 
-def cell_counts(df: DataFrame, edges, categorical, by=(), slices=()) -> DataFrame:
+def cell_counts(df: DataFrame, edges, categorical, by=(), slices=(), combined=False) -> DataFrame:
     """``(*by, slice_name, slice_value, feature, cells, total)``: histograms of all columns, whole and per slice value.
 
     ``edges`` maps numeric columns to their ascending edges. One pass; counts are combined before the shuffle, whose
     groups are slices times columns times cells for each value of ``by``. With ``by`` the rows, by then slices and cells
-    alone, are laid out in its ranges first: a task would otherwise hold every group of every day.
+    alone, are laid out in its ranges first: a task would otherwise hold every group of every day. ``combined`` counts the
+    rows by all slices at once and adds those counts up per slice, so that a row is counted once instead of once for each
+    slice column and the whole; the groups are then the combinations of slice values times columns times cells.
     """
     known = {c: _numeric_cell(c, e) for c, e in edges.items()} | {c: _text_cell(df, c) for c in categorical}
     places = [f"_slice_{k}" for k in range(len(slices))]
@@ -64,8 +68,10 @@ def cell_counts(df: DataFrame, edges, categorical, by=(), slices=()) -> DataFram
         narrow = narrow.repartitionByRange(*by, F.xxhash64(*[c for c in narrow.columns if c not in by]))
     listed = F.posexplode(F.array(*[f"_cell_{k}" for k in range(len(known))])).alias("_place", "cell")
     rows = narrow.select(*by, *places, listed).where(F.col("cell").isNotNull())
-    common = [*by, "_place", "cell"]
+    common, n = [*by, "_place", "cell"], F.count(F.lit(1))
     if slices:
+        if combined:
+            rows, n = rows.groupBy(*common, *places).agg(n.alias("n")), F.sum("n")
         sets = [[F.col(c) for c in [*common, *place]] for place in ([], *[[p] for p in places])]
         name, value = F.lit(ALL_ROWS), F.lit(None).cast("string")
         for place, s in zip(places, slices):
@@ -75,7 +81,7 @@ def cell_counts(df: DataFrame, edges, categorical, by=(), slices=()) -> DataFram
     else:
         name, value, grouped = F.lit(ALL_ROWS), F.lit(None).cast("string"), rows.groupBy(*common)
     feature = F.element_at(F.array(*[F.lit(c) for c in known]), F.col("_place") + 1)
-    counts = grouped.agg(F.count(F.lit(1)).alias("n"), name.alias("slice_name"), value.alias("slice_value"))
+    counts = grouped.agg(n.alias("n"), name.alias("slice_name"), value.alias("slice_value"))
     return counts.withColumn("feature", feature).groupBy(*by, "slice_name", "slice_value", "feature").agg(
         F.map_from_entries(F.collect_list(F.struct("cell", "n"))).alias("cells"), F.sum("n").alias("total")
     )
@@ -87,7 +93,8 @@ def baseline_profile(baseline: DataFrame, numeric=(*DRIFT_NUMERIC, PREDICTION),
     one, none = F.lit(1).cast("long"), F.lit(0).cast("long")
     values = known_values(baseline, numeric, numeric=True).select("*", one.alias("n_ref"), none.alias("n_cur"))
     edges = {r.feature: list(r.edges) for r in quantile_edges(values, bins).collect()} if numeric else {}
-    stored = cell_counts(baseline, edges, categorical, slices=slices)
+    few = bool(slices) and baseline.select(*slices).distinct().count() <= _COMBINATIONS
+    stored = cell_counts(baseline, edges, categorical, slices=slices, combined=few)
     none = F.lit(None).cast("array<double>")
     placed = none
     for c, e in edges.items():

@@ -6,11 +6,14 @@ from collections import Counter, defaultdict
 import pytest
 from pyspark.sql import functions as F
 
-from forecourt.operators.profile import PROFILE, baseline_profile, drift_from_profile, sliced_drift
+from forecourt.operators import profile as profiles
+from forecourt.operators.profile import PROFILE, baseline_profile, cell_counts, drift_from_profile, sliced_drift
 from forecourt.operators.psi import compute_drift
 from forecourt.plans.monitoring import stored_drift
 from forecourt.plans.names import Tables
+from forecourt.sources import tables as sources
 from forecourt.sources.tables import baseline_version, profile_name, refresh_baseline
+from forecourt.staging import staged
 
 NUMERIC, TEXT, SLICED = ["year", "mileage", "level", "predicted_price"], ["fuel_type", "region"], ["make", "region"]
 SCHEMA = (
@@ -106,6 +109,47 @@ def test_sliced_drift_against_brute_force(spark):
     assert any(k[3] is None and k[2] == "make" for k in got) and any(r.psi_previous is None for r in got.values())
 
 
+def test_few_combinations_of_slices_are_counted_together(spark, monkeypatch):
+    # A row is then counted once; with many combinations, or without slices, the profile is the same.
+    baseline = rows(spark, 400, 9)
+    counted = []
+    monkeypatch.setattr(profiles, "cell_counts", lambda *args, **more: counted.append(more["combined"]) or cell_counts(*args, **more))
+
+    def made(slices):
+        return sorted(map(str, baseline_profile(baseline, NUMERIC, TEXT, slices).withColumn("cells", F.array_sort(F.map_entries("cells"))).collect()))
+
+    together, whole = made(SLICED), made([])
+    edges = {r.feature: r.edges for r in baseline_profile(baseline, NUMERIC, TEXT, []).collect() if r.edges}
+    plan = cell_counts(baseline, edges, TEXT, slices=SLICED, combined=True)._jdf.queryExecution().optimizedPlan().toString()
+    below = plan[plan.index("Expand"):]
+    assert "Aggregate" in below and "Generate" in below[below.index("Aggregate"):]
+    monkeypatch.setattr(profiles, "_COMBINATIONS", 1)
+    assert made(SLICED) == together and set(whole) < set(together)
+    assert counted == [True, False, False, False]
+
+
+def test_a_first_baseline_is_written_in_place(spark, monkeypatch, tmp_path):
+    # Rows that replace a table or its files are copied all the same, as they may be read from there.
+    copied = []
+    monkeypatch.setattr(sources, "staged", lambda df: copied.append(df) or staged(df))
+    make = lambda df: baseline_profile(df, NUMERIC, TEXT, SLICED)
+    scored = lambda version: rows(spark, 60, 3).withColumn("model_version", F.lit(version))
+    name, path = "written_once", str(tmp_path / "baseline")
+    try:
+        assert refresh_baseline(spark, name, "1", lambda: scored("1"), path=path, profile=make, in_place=True) and not copied
+        assert spark.table(name).count() == 60 and spark.table(profile_name(name)).where("slice_name = 'all'").count() == len([*NUMERIC, *TEXT])
+        again = lambda: spark.table(name).withColumn("model_version", F.lit("2"))
+        assert refresh_baseline(spark, name, "2", again, path=path, profile=make, in_place=True) and len(copied) == 1
+        assert spark.table(name).where("model_version = '2'").count() == 60 and spark.catalog.tableExists(profile_name(name))
+        # The table is gone, its files are not.
+        spark.sql(f"DROP TABLE {name}")
+        assert refresh_baseline(spark, name, "3", lambda: spark.read.parquet(path).withColumn("model_version", F.lit("3")), path=path, in_place=True)
+        assert len(copied) == 2 and spark.table(name).where("model_version = '3'").count() == 60
+    finally:
+        for table in (name, profile_name(name)):
+            spark.sql(f"DROP TABLE IF EXISTS {table}")
+
+
 def test_slices_are_counted_in_one_pass(spark):
     profile = spark.createDataFrame(baseline_profile(rows(spark, 50, 1), NUMERIC, TEXT, SLICED).collect(), PROFILE)
     plan = sliced_drift(profile, rows(spark, 50, 2), SLICED)._jdf.queryExecution().optimizedPlan().toString()

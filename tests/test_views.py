@@ -23,3 +23,10 @@ def test_a_refreshed_baseline_is_copied_once_for_each_champion(spark, monkeypatc
     monkeypatch.setattr(staging, "_copy", lambda df: copies.append(df.columns) or copy(df))
     queries.QUERIES["baseline_refresh"](spark, SF_SMALL)
     assert len(copies) == 2
+
+
+def test_the_profiled_baseline_is_written_once_and_its_window_not_at_all(spark, monkeypatch):
+    copies, copy = [], staging._copy
+    monkeypatch.setattr(staging, "_copy", lambda df: copies.append(df.columns) or copy(df))
+    assert queries.QUERIES["profile_drift"](spark, SF_SMALL).count() == 10
+    assert not copies
