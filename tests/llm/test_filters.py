@@ -2,7 +2,9 @@
 
 import base64
 import hashlib
+import random
 import re
+import time
 from collections import Counter
 
 import numpy as np
@@ -215,6 +217,22 @@ def test_license_scans_against_python(docs, sample):  # noqa: F811
     assert "Python" not in plan and "Exchange" not in plan
 
 
+def test_detections_inside_others_are_told_apart_in_any_mixture(docs):  # noqa: F811
+    pieces = ["MIT License", "Licensed under the MIT License", "License: MIT", "SPDX-License-Identifier: GPL-2.0-or-later", "CC BY-NC 4.0",
+              "GNU Lesser General Public License, version 2.1", "license: BSD 3-Clause License", "é\n", "x", "zero clause BSD licence = the 0BSD"]
+    rows = [(n, " ".join(random.Random(n).choices(pieces, k=n % 23))) for n in range(120)]
+    got = {r.doc_id: tuple(r)[1:] for r in license_scan.scan_licenses(docs(rows)).collect()}
+    assert got == {i: brute_licenses(t) for i, t in rows}
+
+
+def test_many_mentions_in_one_text_do_not_stall_a_task(docs):  # noqa: F811
+    n = 20_000
+    began = time.monotonic()
+    row = license_scan.scan_licenses(docs([(1, "Licensed under the MIT License, " * n)])).first()
+    assert (row.n_words, row.labels, row.score) == (5 * n, "mit", 0.95)
+    assert time.monotonic() - began < 60
+
+
 def test_there_are_hundreds_of_signatures_and_each_finds_its_form():
     rules = license_scan.signatures()
     assert len(rules) > 280 and len(set(rules)) == len(rules)
