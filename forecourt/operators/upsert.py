@@ -7,6 +7,13 @@ from pyspark.sql import functions as F
 
 from ..functions.columns import all_known, fail_unless
 from ..schema import LABEL, LISTING_ID
+from ..staging import stage
+
+#: Slots that key hashes are dealt to where two large frames are held against each other, in words of 64: a map of
+#: 16 MB at most, whatever the frames.
+_WORDS = 1 << 20
+#: Bytes, by Catalyst's estimate, up to which two frames are moved whole rather than read twice.
+_MOVED = 256 << 20
 
 
 def unique_source(source: DataFrame, keys) -> DataFrame:
@@ -27,35 +34,85 @@ def upsert(target: DataFrame, source: DataFrame, keys, update_cols=None, checked
     the duplicate-key check for a source that is unique by construction.
     """
     keys = list(keys)
+    if update_cols is not None and not _broadcast_by_estimate(source):
+        large = _estimate(target) + _estimate(source) > _MOVED
+        return (_large_update if large else _outer)(target, source.select(*target.columns), keys, update_cols, checked)
     if checked:
         source = unique_source(source, keys)
     source = source.select(*target.columns)
     if update_cols is None:
         return target.join(source.select(*keys), keys, "left_anti").select(*target.columns).unionByName(source)
 
-    changes = source.select(*[F.col(c).alias(f"_{c}") for c in keys], F.struct(*target.columns).alias("_new"))
+    # Left, semi and anti joins all take the increment as their broadcast side, so the stored table stays where it is.
+    rows, given = _with_changes(target, source, keys, "left")
+    kept = rows.select(*[_merged(c, given, c in update_cols) for c in target.columns])
+    known = target.select(*keys).join(source.select(*keys), keys, "left_semi").distinct()
+    return kept.unionByName(source.join(known, keys, "left_anti").select(*target.columns))
+
+
+def _with_changes(target, source, keys, how):
+    """The stored rows joined to the increment's, which are in the column ``_new``, and whether a row has one."""
+    changes = source.select(*[F.col(c).alias(f"_{c}") for c in keys], F.struct(*source.columns).alias("_new"))
     same = reduce(lambda a, b: a & b, [F.col(c) == F.col(f"_{c}") for c in keys])
-    given = F.col("_new").isNotNull()
+    return target.join(changes, same, how), F.col("_new").isNotNull()
 
-    def merged(rows, inserted):
-        taken = [(c, given if c in update_cols else inserted) for c in target.columns]
-        return rows.select(*[F.when(new, F.col("_new")[c]).otherwise(F.col(c)).alias(c) for c, new in taken])
 
-    if not _broadcast_by_estimate(source):
-        # The stored table has to move: once, by one full outer join, and it is read once.
-        rows = target.withColumn("_stored", F.lit(True)).join(changes, same, "full")
-        return merged(rows, F.col("_stored").isNull())
+def _merged(c, taken, changes=True):
+    """Column ``c`` of a joined row: the increment's where ``taken`` holds and the column changes, else the stored one."""
+    return (F.when(taken, F.col("_new")[c]).otherwise(F.col(c)) if changes else F.col(c)).alias(c)
 
-    # Left, semi and anti joins all take the increment as their broadcast side, so the stored table stays where it is.
-    kept = merged(target.join(changes, same, "left"), F.lit(False))
-    known = target.select(*keys).join(source.select(*keys), keys, "left_semi").distinct()
-    return kept.unionByName(source.join(known, keys, "left_anti").select(*target.columns))
+
+def _large_update(target, source, keys, update_cols, checked):
+    """A partial update of a large table by an increment too large to broadcast.
+
+    Hashes of the keys are moved first, eight bytes a row: they tell which rows may meet one of the other frame, or of
+    their own in the increment. Only those rows are moved, to one full outer join; all others stay where they are. The
+    hashes that met are kept as a map of bits, so a few other rows move along. Where it is more than half full, most
+    rows meet, and all of them are moved without another pass.
+    """
+    old, new = [df.where(all_known(keys)).select(F.xxhash64(*keys).alias("_hash")) for df in (target, source)]
+    sides = old.withColumn("_fresh", F.lit(False)).unionByName(new.withColumn("_fresh", F.lit(True)))
+    both = sides.groupBy("_hash").agg(F.count_if("_fresh").alias("_n"), F.bool_and("_fresh").alias("_alone"))
+    met = both.where((F.col("_n") > 1) | ((F.col("_n") > 0) & ~F.col("_alone"))).select(*_place(F.col("_hash")))
+    words = stage(met.groupBy("_word").agg(F.bit_or(F.call_function("shiftleft", F.lit(1).cast("long"), F.col("_bit"))).alias("_bits")))
+    filled = words.agg(F.sum(F.bit_count("_bits"))).first()[0] or 0
+    if filled > _WORDS * 32:
+        return _outer(target, source, keys, update_cols, checked)
+
+    def parted(df):
+        """The rows of ``df`` that stay, and those that may meet another."""
+        placed = df.select("*", *_place(F.xxhash64(*keys)))
+        known = placed.join(F.broadcast(words), "_word", "left")
+        hit = F.coalesce(F.expr("shiftrightunsigned(_bits, _bit) & 1L") == 1, F.lit(False)) & all_known(keys)
+        return [known.where(rows).select(*df.columns) for rows in (~hit, hit)]
+
+    (kept, old), (added, new) = parted(target), parted(source)
+    return kept.unionByName(added).unionByName(_outer(old, new, keys, update_cols, checked))
+
+
+def _place(key_hash):
+    """The word of the map and the bit in it that belong to a hash."""
+    return [F.pmod(key_hash, F.lit(_WORDS)).alias("_word"), F.pmod(F.shiftright(key_hash, 32), F.lit(64)).cast("int").alias("_bit")]
+
+
+def _outer(target, source, keys, update_cols, checked):
+    """The stored table and the increment, each read and moved once, by one full outer join."""
+    if checked:
+        source = unique_source(source, keys)
+    rows, given = _with_changes(target.withColumn("_stored", F.lit(True)), source.select(*target.columns), keys, "full")
+    inserted = F.col("_stored").isNull()
+    return rows.select(*[_merged(c, given if c in update_cols else inserted) for c in target.columns])
 
 
 def _broadcast_by_estimate(df):
     """Whether Catalyst's own estimate of ``df`` lets it be a join's broadcast side."""
     limit = df.sparkSession._jsparkSession.sessionState().conf().autoBroadcastJoinThreshold()
-    return df._jdf.queryExecution().optimizedPlan().stats().sizeInBytes() <= limit
+    return _estimate(df) <= limit
+
+
+def _estimate(df):
+    """Catalyst's own estimate of the bytes of ``df``."""
+    return int(df._jdf.queryExecution().optimizedPlan().stats().sizeInBytes())
 
 
 def newest_rows(target: DataFrame, source: DataFrame, keys, order) -> DataFrame:

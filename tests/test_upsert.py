@@ -111,6 +111,38 @@ def test_large_increment_reads_and_moves_the_stored_table_once(spark, tmp_path):
     assert got == sorted(f"Row(k={k}, v={v}, w={w})" for k, v, w in want)
 
 
+def test_large_update_of_a_large_table_moves_only_rows_that_may_meet(spark, tmp_path, monkeypatch):
+    stored, source = str(tmp_path / "t"), str(tmp_path / "s")
+    spark.range(1000).selectExpr("nullif(id, 7) as k", "id % 2 as m", "1 as v", "id as w").union(
+        spark.sql("SELECT 950L, 0L, 1, 5000L UNION ALL SELECT NULL, 0L, 1, 6000L UNION ALL SELECT 2000L, 0L, 1, 7000L UNION ALL SELECT 2000L, 0L, 1, 7000L")
+    ).write.parquet(stored)
+    spark.range(900, 1100).selectExpr("nullif(id, 1007) as k", "id % 2 as m", "2 as v", "-id as w").union(
+        spark.sql("SELECT NULL, 0L, 2, -6000L")
+    ).write.parquet(source)
+    monkeypatch.setattr("forecourt.operators.upsert._MOVED", 0)
+    limit = spark.conf.get("spark.sql.autoBroadcastJoinThreshold")
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    try:
+        frames = spark.read.parquet(stored), spark.read.parquet(source)
+        once = upsert(*frames, ["k", "m"], ["v"])
+        got = sorted(map(str, once.collect()))
+        moved = once._jdf.queryExecution().optimizedPlan().toString()
+        assert "Union" in moved and "Join FullOuter" in moved
+        with pytest.raises(Exception, match="repeats a key"):
+            upsert(frames[0], frames[1].union(spark.sql("SELECT 1050L, 0L, 3, 0L")), ["k", "m"], ["v"]).collect()
+        # More than half of a map of one word: all rows are moved.
+        monkeypatch.setattr("forecourt.operators.upsert._WORDS", 1)
+        whole = upsert(*frames, ["k", "m"], ["v"])
+        assert "Union" not in whole._jdf.queryExecution().optimizedPlan().toString()
+        assert sorted(map(str, whole.collect())) == got
+    finally:
+        spark.conf.set("spark.sql.autoBroadcastJoinThreshold", limit)
+    want = [(None if i == 7 else i, i % 2, 2 if i >= 900 else 1, i) for i in range(1000)]
+    want += [(950, 0, 2, 5000), (None, 0, 1, 6000), (2000, 0, 1, 7000), (2000, 0, 1, 7000), (None, 0, 2, -6000)]
+    want += [(None if i == 1007 else i, i % 2, 2, -i) for i in range(1000, 1100)]
+    assert got == sorted(f"Row(k={k}, m={m}, v={v}, w={w})" for k, m, v, w in want)
+
+
 def test_small_increment_leaves_the_stored_table_in_place(spark, tmp_path):
     path = str(tmp_path / "t")
     spark.range(1000).select(F.col("id").cast("string").alias("k"), F.lit(1).alias("v")).write.parquet(path)
